@@ -5,6 +5,7 @@ from barlake.plans.jobs import (
     bronze_info_job,
     gold_metrics_job,
     gold_metrics_frame,
+    gold_source,
     silver_bars_job,
     silver_profile_job,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "bronze_info_job",
     "gold_metrics_frame",
     "gold_metrics_job",
+    "gold_source",
     "silver_bars_job",
     "silver_profile_job",
 ]

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.columns import stamp, to_float32
@@ -112,15 +112,28 @@ def gold_metrics_frame(bars: DataFrame, start: Any, end: Any, load_dttm: datetim
     return stamp(out, load_dttm)
 
 
+def _day_range(df: DataFrame, start: Any, end: Any) -> tuple[Column, Column]:
+    lo, hi = typed_bound(df, "datetime", start), typed_bound(df, "datetime", end)
+    return F.to_date(lo), F.to_date(hi)
+
+
+def gold_source(lake: Lake, start: Any, end: Any) -> DataFrame:
+    """Silver bars of the days in [start, end]: the bar-date predicate prunes
+    partitions, the time predicate (applied by the metrics frame) trims the ends."""
+    silver = lake.scan("silver", BARS_SILVER)
+    first_day, last_day = _day_range(silver, start, end)
+    return silver.filter(F.col(BARS_PARTITION).between(first_day, last_day))
+
+
 def gold_metrics_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str) -> None:
     """silver.ticker_ohlcv_1m in [start, end] -> daily metrics -> upsert into
     gold.ticker_daily_metrics. Both tables are read and written only for the days
     of the range (partition pruning on the bar date and the metric date)."""
-    silver = lake.scan("silver", BARS_SILVER)
-    lo, hi = typed_bound(silver, "datetime", start), typed_bound(silver, "datetime", end)
-    days = F.col(BARS_PARTITION).between(F.to_date(lo), F.to_date(hi))
-    frame = gold_metrics_frame(silver.filter(days), start, end, load_dttm)
-    scope = F.col(METRICS_PARTITION).between(F.to_date(lo), F.to_date(hi))
+    _require_range(start, end)
+    source = gold_source(lake, start, end)
+    frame = gold_metrics_frame(source, start, end, load_dttm)
+    first_day, last_day = _day_range(source, start, end)
+    scope = F.col(METRICS_PARTITION).between(first_day, last_day)
     upsert_table(
         lake.table("gold", METRICS_GOLD), frame, METRICS_KEYS, partition_col=METRICS_PARTITION, partition_filter=scope
     )
