@@ -1,7 +1,7 @@
 """Bronze, silver and gold jobs (JOB-1..5).
 
-Each job reads, transforms and writes with a single action at the end (two for
-silver bars, which stages its source once). Range arguments are required (D7):
+Each job reads, transforms, stages its result once in the shared folder (the
+merge reads it several times) and merges it into the target table. Range arguments are required (D7):
 a missing bound is an error, not an empty run.
 """
 
@@ -21,7 +21,7 @@ from barlake.operators.metrics import daily_metrics
 from barlake.operators.relational import filter_between, typed_bound
 from barlake.schemas import BARS_KEYS, METRICS_KEYS, PROFILE_KEYS
 from barlake.sinks.append import append_partitioned
-from barlake.sinks.tables import stage, upsert_table
+from barlake.sinks.tables import staged, upsert_table
 from barlake.sources.catalog import (
     BARS_BRONZE,
     BARS_PARTITION,
@@ -83,8 +83,10 @@ def silver_bars_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str)
     into silver.ticker_ohlcv_1m, rewriting only the days the load touches."""
     _require_range(start, end)
     conformed = conform_bars(lake.scan("bronze", BARS_BRONZE), load_dttm, start, end)
-    source = stage(conformed.withColumn(BARS_PARTITION, F.to_date("datetime")), "silver_bars")
-    upsert_table(lake.table("silver", BARS_SILVER), source, BARS_KEYS, partition_col=BARS_PARTITION)
+    with staged(conformed.withColumn(BARS_PARTITION, F.to_date("datetime")), "silver_bars") as source:
+        upsert_table(
+            lake.table("silver", BARS_SILVER), source, BARS_KEYS, partition_col=BARS_PARTITION, stage_source=False
+        )
 
 
 def silver_profile_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str) -> None:

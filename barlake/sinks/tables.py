@@ -14,6 +14,8 @@ Single writer per table; there is no snapshot isolation beyond that.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +29,27 @@ from barlake.session import scratch_path
 MAX_LISTED_PARTITIONS = 10_000
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to a fresh folder under the shared folder and read it back.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete a folder through the Hadoop file system of the path."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
-    Cuts the lineage: a frame used twice is computed once, and a lost executor
-    re-reads the files instead of recomputing the whole plan.
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """Write ``df`` to a fresh folder under the shared folder, yield it read back,
+    and delete the folder afterwards.
+
+    Cuts the lineage: a frame used several times is computed once, and a lost
+    executor re-reads the files instead of recomputing the whole plan.
     """
-    path = scratch_path(df.sparkSession, "staging", name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, "staging", name)
+    df.write.mode("errorifexists").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        delete_path(spark, path)
 
 
 def touched_partitions(source: DataFrame, partition_col: str) -> Column | DataFrame:
@@ -88,13 +102,30 @@ def upsert_table(
     keys: list[str],
     partition_col: str | None = None,
     partition_filter: Column | None = None,
+    stage_source: bool = True,
 ) -> None:
     """MERGE ``source`` into ``table`` on ``keys`` (SNK-3).
 
-    For a partitioned table, ``partition_filter`` names the partitions the source
-    can touch when the caller knows them (a job's date range); otherwise they are
-    read from the source, which should then be a staged frame.
+    The merge reads its source several times (key counts, rows, partition list),
+    so the source is staged first unless the caller already did
+    (``stage_source=False``). For a partitioned table, ``partition_filter`` names
+    the partitions the source can touch when the caller knows them (a job's date
+    range); otherwise they are read from the staged source.
     """
+    if stage_source:
+        with staged(source, "upsert_source") as frozen:
+            _upsert_table(table, frozen, keys, partition_col, partition_filter)
+    else:
+        _upsert_table(table, source, keys, partition_col, partition_filter)
+
+
+def _upsert_table(
+    table: str,
+    source: DataFrame,
+    keys: list[str],
+    partition_col: str | None,
+    partition_filter: Column | None,
+) -> None:
     spark = source.sparkSession
     target = spark.table(table)
     if partition_col is None:
