@@ -201,6 +201,8 @@ SELECT {VENDOR_COLS.format(close='value')}, {L1} AS load_dttm, {D1} AS load_prdt
 UNION ALL
 SELECT {VENDOR_COLS.format(close=f'value + {td.CORRECTION}')}, {L2} AS load_dttm, {D2} AS load_prdt
 FROM events WHERE event_type = '{td.CORRECTED_TYPE}'""",
+    "bronze_bars_stream": f"""
+SELECT {VENDOR_COLS.format(close='value')}, {L1} AS load_dttm, {D1} AS load_prdt FROM events""",
     "bronze_info": f"""
 SELECT ' ' || CAST(c_custkey AS VARCHAR) || ' ' AS ticker, {_profile_doc(False)} AS info,
        {L1} AS load_dttm, {D1} AS load_prdt FROM {PROFILE_FROM}

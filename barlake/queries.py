@@ -44,6 +44,7 @@ from barlake.schemas import METRICS_KEYS
 from barlake.session import pin_session, scratch_path
 from barlake.sinks.append import append_partitioned
 from barlake.sources.catalog import BARS_PARTITION, Lake
+from barlake.streaming import ingest_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -302,6 +303,14 @@ def bronze_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.scan("bronze", "market_data_1m")
 
 
+def bronze_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bar landing folder ingested by the incremental stream, then read back."""
+    first, _ = _bars_landings(spark, sf_dir)
+    lake = _lake(spark)
+    ingest_landing(lake, first, "bars", clock=lambda _batch: td.LOAD_1).awaitTermination()
+    return lake.scan("bronze", "market_data_1m")
+
+
 def _info_landings(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     pin_session(spark)
     customer, nation = td.table(spark, sf_dir, "customer"), td.table(spark, sf_dir, "nation")
@@ -389,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "bars_conform": bars_conform,
     "profile_conform": profile_conform,
     "bronze_bars": bronze_bars,
+    "bronze_bars_stream": bronze_bars_stream,
     "bronze_info": bronze_info,
     "silver_bars_job": silver_bars_job_q,
     "silver_profile_job": silver_profile_job_q,
