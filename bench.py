@@ -1,8 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3; the median is reported after one
-warm-up run). Queries write to Spark's ``noop`` sink, so the time is the full
+BENCH_RUNS (timed runs per query, default 5; the median is reported after two
+warm-up runs; jobs get one warm-up and max(2, BENCH_RUNS // 2) timed runs). Queries write to Spark's ``noop`` sink, so the time is the full
 plan without driver-side collection. The job queries include their table writes.
 """
 
@@ -60,19 +60,20 @@ def _time(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", app_name="barlake-bench", shuffle_partitions=cpus)
     results: dict[str, float] = {}
     for name, build in BENCH.items():
         def run(build=build):
             build(spark, sf_dir).write.format("noop").mode("overwrite").save()
         run()
+        run()
         results[name] = round(statistics.median(_time(run) for _ in range(runs)), 3)
     for name, job in JOBS.items():
         def run_job(job=job):
             job(spark, sf_dir).write.format("noop").mode("overwrite").save()
         run_job()
-        results[name] = round(statistics.median(_time(run_job) for _ in range(max(1, runs - 1))), 3)
+        results[name] = round(statistics.median(_time(run_job) for _ in range(max(2, runs // 2))), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_query_sec",
