@@ -9,12 +9,19 @@ INSERT *`` means, row by row:
 * keys compare with ``=``, so a null in any key column never matches (D10), and
   several target rows matched by one source row are each updated.
 
-The result is built from aggregates and one-sided joins rather than a full outer
-join: per-key counts are partial aggregates (a hot key costs one row per map
-task), the kept target rows are a left-anti join and the source rows a join with
-a one-row-per-key table, both of which AQE can split when a key is skewed. Rows
-with a null key skip the joins entirely, so a flood of null keys never lands in
-one reducer.
+The result is the union of four one-sided pieces, never a full outer join:
+
+* kept: target rows whose key is not in the source (left-anti join);
+* updated: for each target row with a matching key, the source row (inner join of
+  the target's keys to the source rows);
+* inserted: source rows whose key is not in the target (left-anti join);
+* rows with a null key on either side, which can never match and skip the joins,
+  so a flood of null keys never lands in one reducer.
+
+AQE can split a skewed partition on the big side of each of these joins, so a key
+holding a third of either table is spread over many tasks; a full outer join
+cannot be split. The duplicate check needs only per-key source counts, a partial
+aggregate.
 """
 
 from __future__ import annotations
@@ -51,21 +58,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     source_keyed, source_null = source.filter(~null_key), source.filter(null_key)
 
     source_counts = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n"))
-    target_counts = target_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_t_n"))
-    per_key = source_counts.join(target_counts, on=keys, how="left")
-
-    copies = F.coalesce(F.col("_t_n"), F.lit(0))
-    checked = F.when(
-        (F.col("_s_n") > 1) & (copies > 0),
-        F.raise_error(F.lit("upsert: several source rows match the same target row")),
-    ).otherwise(F.greatest(copies, F.lit(1)))
-
-    written = (
-        source_keyed.join(per_key, on=keys, how="inner")
-        .withColumn("_copies", checked.cast("int"))
-        # One output row per matched target row: normally exactly one.
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*columns)
+    counted = source_keyed.join(source_counts, on=keys, how="inner")
+    # Checked in the projection above the join, i.e. only for matched keys (D11).
+    guard = F.col("_s_n") > 1
+    error = F.raise_error(F.lit("upsert: several source rows match the same target row"))
+    updated = target_keyed.select(*keys).join(counted, on=keys, how="inner").select(
+        *[
+            (F.when(guard, error.cast(target.schema[c].dataType)).otherwise(F.col(c)) if c == keys[0] else F.col(c)).alias(c)
+            for c in columns
+        ]
+    )
+    kept = target_keyed.join(source_keyed.select(*keys), on=keys, how="left_anti")
+    inserted = source_keyed.join(target_keyed.select(*keys), on=keys, how="left_anti")
+    return (
+        kept.unionByName(updated).unionByName(inserted).unionByName(target_null).unionByName(source_null)
     )
-    kept = target_keyed.join(source_counts.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(written).unionByName(target_null).unionByName(source_null)

@@ -41,7 +41,7 @@ from barlake.plans import (
     silver_profile_job,
 )
 from barlake.schemas import METRICS_KEYS
-from barlake.session import pin_session, scratch_path
+from barlake.session import pin_session, scratch_path, shared_dir
 from barlake.sinks.append import append_partitioned
 from barlake.sources.catalog import BARS_PARTITION, Lake
 from barlake.streaming import ingest_landing
@@ -202,8 +202,13 @@ def sql_over_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of days 1-20 as the target, days 15-30 with doubled values as the source."""
-    metrics = daily_metrics(_bars_nulls(spark, sf_dir))
+    """Metrics of days 1-20 as the target, days 15-30 with doubled values as the source.
+
+    Both sides and every branch of the merge read the same metrics, so they are
+    computed once and checkpointed to the shared folder.
+    """
+    shared_dir(spark)
+    metrics = daily_metrics(_bars_nulls(spark, sf_dir)).checkpoint()
     target = stamp(metrics.filter(F.col("date") <= F.lit(UPSERT_SPLIT_HI).cast("date")), td.LOAD_1)
     source = stamp(
         metrics.filter(F.col("date") >= F.lit(UPSERT_SPLIT_LO).cast("date")).select(

@@ -56,3 +56,14 @@ def test_idempotent_for_non_null_keys(spark):
     once = upsert(t, s, ["k", "d"])
     twice = upsert(once, s, ["k", "d"])
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_hot_key_third_of_target(spark):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(3000).select(F.lit("hot").alias("k"), F.lit(1).alias("d"), F.col("id").cast("string").alias("v"))
+    cold = spark.range(6000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("d"), F.lit("c").alias("v"))
+    source = spark.createDataFrame([("hot", 1, "new"), ("x", 9, "ins")], SCHEMA)
+    out = upsert(hot.unionByName(cold), source, ["k", "d"])
+    counts = {r.v: r["count"] for r in out.groupBy("v").count().collect()}
+    assert counts == {"new": 3000, "c": 6000, "ins": 1}
