@@ -168,6 +168,14 @@ SELECT ticker, date, round(sqrt(sse / NULLIF(n, 0)), 6) AS daily_volatility FROM
         """SELECT CAST(l_suppkey AS VARCHAR) AS ticker,
        l_shipdate + to_seconds((l_orderkey % 1440) * 60 + l_linenumber) AS datetime,
        CAST(l_extendedprice AS FLOAT) AS open, CAST(l_extendedprice * (1 - l_discount) AS FLOAT) AS close
+FROM lineitem""",
+        tie_break=True,
+    ),
+    "monthly_metrics_lineitem": _rounded_metrics(
+        """SELECT CAST(l_suppkey AS VARCHAR) AS ticker,
+       date_trunc('month', l_shipdate)
+         + to_seconds((dayofmonth(l_shipdate) - 1) * 2760 + (l_orderkey % 46) * 60 + l_linenumber) AS datetime,
+       CAST(l_extendedprice AS FLOAT) AS open, CAST(l_extendedprice * (1 - l_discount) AS FLOAT) AS close
 FROM lineitem""",
         tie_break=True,
     ),

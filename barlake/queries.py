@@ -188,6 +188,12 @@ def daily_metrics_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric_cols(daily_metrics(td.lineitem_bars(td.table(spark, sf_dir, "lineitem")), tie_break=True))
 
 
+def monthly_metrics_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_session(spark)
+    bars = td.lineitem_month_bars(td.table(spark, sf_dir, "lineitem"))
+    return _metric_cols(daily_metrics(bars, tie_break=True))
+
+
 def sql_over_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"bars_{uuid.uuid4().hex[:8]}"
     _bars_nulls(spark, sf_dir).createOrReplaceTempView(view)
@@ -396,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "daily_returns_join": daily_returns_join_q,
     "daily_metrics_join": daily_metrics_join_q,
     "daily_metrics_lineitem": daily_metrics_lineitem,
+    "monthly_metrics_lineitem": monthly_metrics_lineitem,
     "sql_over_view": sql_over_view,
     "upsert_metrics": upsert_metrics,
     "append_partitioned": append_partitioned_q,

@@ -40,13 +40,37 @@ def bars(events: DataFrame, null_close_every: int | None = None) -> DataFrame:
     )
 
 
+def _seconds(n: Column) -> Column:
+    # Interval arithmetic keeps the zone-free timestamp type (no per-row zone work).
+    return F.expr("INTERVAL '1' SECOND") * n
+
+
+def _month_start(c: str) -> Column:
+    return F.trunc(F.col(c).cast("date"), "month").cast("timestamp_ntz")
+
+
 def lineitem_bars(lineitem: DataFrame) -> DataFrame:
     """Bars per supplier: ship date plus a minute offset from order and line number;
     open = extended price, close = discounted price."""
     offset = (F.col("l_orderkey") % 1440) * 60 + F.col("l_linenumber")
     return lineitem.select(
         F.col("l_suppkey").cast("string").alias("ticker"),
-        F.timestamp_add("SECOND", offset, F.col("l_shipdate")).alias("datetime"),
+        (F.col("l_shipdate") + _seconds(offset)).alias("datetime"),
+        F.col("l_extendedprice").cast("float").alias("open"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("float").alias("close"),
+    )
+
+
+def lineitem_month_bars(lineitem: DataFrame) -> DataFrame:
+    """Lineitem bars with one trading "day" per supplier-month: every bar of a
+    month is placed on the month's first day, in ship-date order (day of month,
+    then a minute and second offset from order and line number)."""
+    offset = (
+        (F.dayofmonth("l_shipdate") - 1) * 2760 + (F.col("l_orderkey") % 46) * 60 + F.col("l_linenumber")
+    )
+    return lineitem.select(
+        F.col("l_suppkey").cast("string").alias("ticker"),
+        (_month_start("l_shipdate") + _seconds(offset)).alias("datetime"),
         F.col("l_extendedprice").cast("float").alias("open"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("float").alias("close"),
     )
