@@ -49,9 +49,10 @@ def bronze_bars_job(
     tickers: Iterable[str] | None = None,
     since: Any = None,
     fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Landing minute bars -> stamped append to bronze.market_data_1m."""
-    bars = read_landing_bars(lake.spark, landing, fmt, tickers, since)
+    bars = read_landing_bars(lake.spark, landing, fmt, tickers, since, options)
     append_partitioned(
         stamp(bars, load_dttm, with_date=True),
         lake.table("bronze", BARS_BRONZE),
@@ -67,9 +68,10 @@ def bronze_info_job(
     load_dttm: datetime | str,
     tickers: Iterable[str] | None = None,
     fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Landing JSON documents -> stamped append to bronze.ticker_info."""
-    info = read_landing_info(lake.spark, landing, fmt, tickers)
+    info = read_landing_info(lake.spark, landing, fmt, tickers, options)
     append_partitioned(
         stamp(info, load_dttm, with_date=True),
         lake.table("bronze", INFO_BRONZE),

@@ -19,11 +19,23 @@ from barlake.operators.relational import typed_bound
 from barlake.schemas import LANDING_BARS, LANDING_INFO
 
 
-def read_landing(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """Read landing files of one format with a declared schema (no inference)."""
+def read_landing(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Read landing files of one format with a declared schema (no inference).
+
+    ``options`` go to the reader as they are (e.g. a ``timestampFormat`` for text
+    files); CSV files are read with a header line unless told otherwise.
+    """
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
+    for key, value in (options or {}).items():
+        reader = reader.option(key, value)
     return reader.load(path)
 
 
@@ -33,9 +45,10 @@ def read_landing_bars(
     fmt: str = "parquet",
     tickers: Iterable[str] | None = None,
     since: Any = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Minute bars for ``tickers`` (all when None) at or after ``since``."""
-    df = read_landing(spark, path, LANDING_BARS, fmt)
+    df = read_landing(spark, path, LANDING_BARS, fmt, options)
     if tickers is not None:
         df = df.filter(F.col("Ticker").isin(list(tickers)))
     if since is not None:
@@ -48,9 +61,10 @@ def read_landing_info(
     path: str,
     fmt: str = "parquet",
     tickers: Iterable[str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One raw JSON document per ticker; ``info`` stays an unparsed string."""
-    df = read_landing(spark, path, LANDING_INFO, fmt)
+    df = read_landing(spark, path, LANDING_INFO, fmt, options)
     if tickers is not None:
         df = df.filter(F.col("ticker").isin(list(tickers)))
     return df
