@@ -2,13 +2,19 @@
 
 Parquet tables have no MERGE, so the merged rows replace what they came from:
 
-* a partitioned table has only the partitions the source touches read, merged and
-  overwritten in place (dynamic partition overwrite); the partition value must
-  derive from the key so that a row never changes partition;
-* an unpartitioned (small) table is written whole to a new versioned folder and the
-  table is pointed at it, so readers see either the old or the new version.
-
-Single writer per table; there is no snapshot isolation beyond that.
+* a partitioned table has only the partitions the source touches read and merged;
+  the merged partitions are written to a new version folder and each partition is
+  then pointed at its new folder (``ALTER TABLE ... PARTITION ... SET LOCATION``).
+  The partition value must derive from the key so that a row never changes
+  partition;
+* an unpartitioned (small) table is written whole to a new version folder and the
+  table is pointed at it.
+
+Nothing is overwritten in place: until the switch the old files serve readers, a
+failed write leaves the table as it was, and each partition switch is atomic in the
+catalog, so a crash between switches leaves every partition either old or new
+(re-running the upsert is then safe: it is idempotent for non-null keys). Old
+version folders are left for a later clean-up. Single writer per table.
 """
 
 from __future__ import annotations
@@ -27,6 +33,8 @@ from barlake.session import scratch_path
 # Above this many touched partitions the partition list is not collected to the
 # driver; a null-safe semi-join restricts the target instead.
 MAX_LISTED_PARTITIONS = 10_000
+# Folder value Spark and Hive use for a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -73,23 +81,56 @@ def _restrict(target: DataFrame, partition_col: str, scope: Column | DataFrame)
     return target.filter(scope)
 
 
-def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Dynamic partition overwrite: only partitions present in ``rows`` change."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+def table_location(spark: SparkSession, table: str) -> str:
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return row["data_type"].rstrip("/")
+
+
+def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> list[tuple[str, str | None]]:
+    """(folder name, partition value) of the partition folders directly under path."""
+    jvm = spark._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = f"{partition_col}="
+    found = []
+    for status in fs.listStatus(jpath):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            raw = name[len(prefix):]
+            value = None if raw == NULL_PARTITION else jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(raw)
+            found.append((name, value))
+    return found
+
+
+def _spec(partition_col: str, value: str | None) -> str:
+    if value is None:
+        return f"`{partition_col}` = null"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"`{partition_col}` = '{escaped}'"
+
+
+def swap_partitions(spark: SparkSession, table: str, rows: DataFrame, partition_col: str) -> None:
+    """Write ``rows`` to a new version folder, partitioned, and point each written
+    partition of ``table`` at it: new partitions are added in one statement,
+    existing ones are switched one by one."""
+    version = f"{table_location(spark, table)}/_v/{uuid.uuid4().hex}"
+    rows.select(*spark.table(table).columns).write.partitionBy(partition_col).mode("errorifexists").parquet(version)
+    written = _partition_dirs(spark, version, partition_col)
+    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    added = [(f, v) for f, v in written if f not in existing]
+    if added:
+        specs = " ".join(f"PARTITION ({_spec(partition_col, v)}) LOCATION '{version}/{f}'" for f, v in added)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    for folder, value in written:
+        if folder in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(partition_col, value)}) SET LOCATION '{version}/{folder}'")
     spark.catalog.refreshTable(table)
 
 
 def replace_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Write ``rows`` to a new version folder next to the table's data and switch
     the table to it (ALTER TABLE ... SET LOCATION)."""
-    current = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
-    base = current["data_type"].rstrip("/").rsplit("/", 1)[0]
+    base = table_location(spark, table).rsplit("/", 1)[0]
     target = f"{base}/v-{uuid.uuid4().hex}"
     rows.select(*spark.table(table).columns).write.mode("errorifexists").parquet(target)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
@@ -133,4 +174,4 @@ def _upsert_table(
         return
     scope = partition_filter if partition_filter is not None else touched_partitions(source, partition_col)
     scoped = _restrict(target, partition_col, scope)
-    overwrite_partitions(spark, table, upsert(scoped, source, keys))
+    swap_partitions(spark, table, upsert(scoped, source, keys), partition_col)
