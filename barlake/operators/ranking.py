@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.operators.relational import typed_bound
@@ -12,20 +13,80 @@ from barlake.operators.relational import typed_bound
 ROW_NUMBER = "row_number"
 
 
+# Most hot groups handled by range numbering; their offsets table (hot groups x
+# shuffle partitions rows) is broadcast, so this bounds its size.
+MAX_HOT_GROUPS = 1_000
+
+
+def _ordering(order_cols: list[str], order: str) -> list[Column]:
+    if order not in ("asc", "desc"):
+        raise ValueError(f"order must be 'asc' or 'desc', got {order!r}")
+    return [F.col(c).asc() if order == "asc" else F.col(c).desc() for c in order_cols]
+
+
 def row_number_by(
     df: DataFrame,
     partition_cols: list[str],
     order_cols: list[str],
     order: str = "asc",
     name: str = ROW_NUMBER,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Row number per partition, ascending (nulls first) or descending (nulls last)
-    over every order column (WIN-1, WIN-2)."""
-    if order not in ("asc", "desc"):
-        raise ValueError(f"order must be 'asc' or 'desc', got {order!r}")
-    ordering = [F.col(c).asc() if order == "asc" else F.col(c).desc() for c in order_cols]
+    over every order column (WIN-1, WIN-2).
+
+    A window numbers each group in one task. With ``hot_rows``, groups larger than
+    that are numbered by :func:`_range_row_number` instead, spread over many tasks;
+    the others still use the window. Finding the hot groups costs one extra
+    key-only aggregation.
+    """
+    ordering = _ordering(order_cols, order)
     window = Window.partitionBy(*[F.col(c) for c in partition_cols]).orderBy(*ordering)
-    return df.withColumn(name, F.row_number().over(window))
+    if hot_rows is None:
+        return df.withColumn(name, F.row_number().over(window))
+    sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
+    hot = sizes.filter(F.col("_group_rows") > hot_rows).select(*partition_cols)
+    hot_keys = hot.limit(MAX_HOT_GROUPS + 1).collect()
+    if not hot_keys:
+        return df.withColumn(name, F.row_number().over(window))
+    if len(hot_keys) > MAX_HOT_GROUPS:
+        raise ValueError(f"more than {MAX_HOT_GROUPS} groups above {hot_rows} rows: raise hot_rows")
+    is_hot = reduce(
+        lambda a, b: a | b,
+        [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_cols, row)]) for row in hot_keys],
+    )
+    cold = df.filter(~is_hot).withColumn(name, F.row_number().over(window))
+    return cold.unionByName(_range_row_number(df.filter(is_hot), partition_cols, ordering, name))
+
+
+def _range_row_number(df: DataFrame, keys: list[str], ordering: list[Column], name: str) -> DataFrame:
+    """Exact row numbers for a few very large groups, computed in parallel.
+
+    Range partitioning on (keys, ordering) cuts a large group into consecutive
+    slices held by different tasks; sorted within each task, a group's rows form
+    one contiguous run, so ``monotonically_increasing_id`` minus the run's first id
+    numbers them inside the slice. A slice's offset is the number of the group's
+    rows in earlier slices: a running sum over a table of (group, slice) counts,
+    whose size is at most groups x slices, small enough to broadcast.
+    """
+    sort_keys = [F.col(k).asc() for k in keys] + ordering
+    ranged = df.repartitionByRange(*sort_keys).sortWithinPartitions(*sort_keys)
+    tagged = ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
+    slices = tagged.groupBy(*keys, "_slice").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_len"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_slice").alias("_of_slice"),
+        "_first",
+        F.coalesce(F.sum("_len").over(before), F.lit(0)).alias("_offset"),
+    )
+    cond = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)] + [F.col("_slice") == F.col("_of_slice")],
+    )
+    joined = tagged.join(F.broadcast(offsets), cond, "inner")
+    numbered = joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
+    return numbered.select(*df.columns, name)
 
 
 def _rank_one(df: DataFrame, partition_cols: list[str], order_cols: list[str], order: str) -> DataFrame:

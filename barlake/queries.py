@@ -110,13 +110,17 @@ def _event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("event_id", "user_id", "ts", "value", F.to_date("ts").alias("day"))
 
 
+# Groups above this many rows are numbered in parallel slices (skew-safe path).
+HOT_GROUP_ROWS = 1_000_000
+
+
 def row_number_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "asc")
+    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "asc", hot_rows=HOT_GROUP_ROWS)
     return ranked.select("event_id", "user_id", "day", "row_number")
 
 
 def row_number_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "desc")
+    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "desc", hot_rows=HOT_GROUP_ROWS)
     return ranked.select("event_id", "user_id", "day", "row_number")
 
 

@@ -80,3 +80,21 @@ def test_lower_bound_pushdown_equals_plain_rank(spark):
         .drop("rn")
     )
     assert sorted(map(tuple, pushed.collect())) == sorted(map(tuple, reference.collect()))
+
+
+def test_hot_group_numbering_equals_window(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = (
+        [("hot", i, rng.random()) for i in range(3000)]
+        + [(None, i, rng.random()) for i in range(1200)]
+        + [(f"k{i % 40}", i, rng.random()) for i in range(2000)]
+    )
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    for order in ("asc", "desc"):
+        split = row_number_by(df, ["k"], ["t"], order, hot_rows=300)
+        plain = row_number_by(df, ["k"], ["t"], order)
+        assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    plan = row_number_by(df, ["k"], ["t"], "asc", hot_rows=300)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "BroadcastExchange" in plan
