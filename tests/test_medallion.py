@@ -1,0 +1,73 @@
+"""Landing -> bronze -> silver -> gold on hand-made bars, with a corrected re-delivery."""
+
+import uuid
+from datetime import date, datetime
+
+import pytest
+
+from barlake.plans import bronze_bars_job, bronze_info_job, gold_metrics_job, silver_bars_job, silver_profile_job
+from barlake.schemas import LANDING_BARS, LANDING_INFO
+from barlake.session import scratch_path
+from barlake.sources import Lake
+
+DAY = "2024-01-02 00:00:00", "2024-01-02 23:59:59.999999"
+
+
+def _bar(ticker, minute, open_, close):
+    return (ticker, datetime(2024, 1, 2, 9, minute), open_, open_, open_, close, 1000, 0.0, 0.0)
+
+
+def _lake(spark):
+    tag = uuid.uuid4().hex[:8]
+    return Lake(spark, scratch_path(spark, "medallion"), {k: f"m{k}_{tag}" for k in ("bronze", "silver", "gold")}).create()
+
+
+def _landing(spark, rows, schema):
+    path = scratch_path(spark, "medallion-landing")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    return path
+
+
+def test_bars_to_gold_with_correction(spark):
+    lake = _lake(spark)
+    first = [_bar("AAA", 30, 100.0, 101.0), _bar("AAA", 31, 101.0, 103.0), _bar("AAA", 32, 103.0, 102.0)]
+    bronze_bars_job(lake, _landing(spark, first, LANDING_BARS), "2024-01-02 18:00:00")
+    silver_bars_job(lake, "2024-01-02 18:00:00", "2024-01-02 18:00:00", "2024-01-02 18:05:00")
+    gold_metrics_job(lake, *DAY, "2024-01-02 18:10:00")
+    gold = lake.scan("gold", "ticker_daily_metrics").collect()
+    assert len(gold) == 1
+    assert gold[0].daily_returns == pytest.approx(0.02, abs=1e-6)
+    assert gold[0].daily_volatility == pytest.approx(0.816497, abs=1e-6)
+
+    # The vendor re-delivers the last bar with a corrected close.
+    bronze_bars_job(lake, _landing(spark, [_bar("AAA", 32, 103.0, 106.0)], LANDING_BARS), "2024-01-03 06:00:00")
+    silver_bars_job(lake, "2024-01-03 06:00:00", "2024-01-03 06:00:00", "2024-01-03 06:05:00")
+    silver = {r.datetime.minute: (r.close, r.load_dttm) for r in lake.scan("silver", "ticker_ohlcv_1m").collect()}
+    assert silver[32] == (106.0, datetime(2024, 1, 3, 6, 5))
+    assert silver[30] == (101.0, datetime(2024, 1, 2, 18, 5))
+    gold_metrics_job(lake, *DAY, "2024-01-03 06:10:00")
+    gold = lake.scan("gold", "ticker_daily_metrics").collect()
+    assert len(gold) == 1 and gold[0].date == date(2024, 1, 2)
+    assert gold[0].daily_returns == pytest.approx(0.06, abs=1e-6)
+    mean = (101 + 103 + 106) / 3
+    expected = (sum((c - mean) ** 2 for c in (101, 103, 106)) / 3) ** 0.5
+    assert gold[0].daily_volatility == pytest.approx(expected, abs=1e-5)
+    assert gold[0].load_dttm == datetime(2024, 1, 3, 6, 10)
+    assert lake.scan("bronze", "market_data_1m").count() == 4  # history is kept
+
+
+def test_profile_to_silver(spark):
+    lake = _lake(spark)
+    docs = [(" AAA ", '{"longName": " Acme ", "currency": "USD", "marketCap": 16777217, "industry": " "}')]
+    bronze_info_job(lake, _landing(spark, docs, LANDING_INFO), "2024-01-02 18:00:00")
+    silver_profile_job(lake, "2024-01-02", "2024-01-03", "2024-01-02 19:00:00")
+    row = lake.scan("silver", "ticker_profile").first()
+    assert (row.ticker, row.company_name, row.currency, row.market_cap, row.industry) == (
+        "AAA", "Acme", "USD", 16777216.0, None,
+    )
+
+
+def test_jobs_require_both_bounds(spark):
+    lake = _lake(spark)
+    with pytest.raises(ValueError):
+        silver_bars_job(lake, None, "2024-01-02", "2024-01-02 18:00:00")
