@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from barlake.plans import jobs
-from barlake.session import pin_session
+from barlake.session import pin_session, tune_for_scale
 from barlake.sources.catalog import Lake
 
 
@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"barlake-{args.job}").getOrCreate()
     pin_session(spark)
+    tune_for_scale(spark)
     lake = Lake(spark, args.root, catalog=args.catalog).create()
     load_dttm = args.load_dttm or datetime.now(timezone.utc).replace(tzinfo=None)
     if args.job in ("bronze-bars", "bronze-info") and not args.landing:

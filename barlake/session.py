@@ -19,6 +19,27 @@ SESSION_DEFAULTS = {
 }
 
 
+# Sizing for large inputs, applied by the command line unless the submitter set a
+# value: start with many shuffle partitions and let AQE coalesce them towards the
+# advisory size; split skewed join partitions; read files in 256 MB splits.
+SCALE_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
+def tune_for_scale(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Apply :data:`SCALE_DEFAULTS` for keys the submitter did not set."""
+    submitted = spark.sparkContext.getConf()
+    for key, value in {**SCALE_DEFAULTS, **(overrides or {})}.items():
+        if overrides and key in overrides or not submitted.contains(key):
+            spark.conf.set(key, value)
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "barlake",
