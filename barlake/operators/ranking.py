@@ -51,12 +51,16 @@ def row_number_by(
         return df.withColumn(name, F.row_number().over(window))
     if len(hot_keys) > MAX_HOT_GROUPS:
         raise ValueError(f"more than {MAX_HOT_GROUPS} groups above {hot_rows} rows: raise hot_rows")
-    is_hot = reduce(
-        lambda a, b: a | b,
-        [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_cols, row)]) for row in hot_keys],
+    # At most MAX_HOT_GROUPS rows: broadcast for a null-safe semi/anti split.
+    hot_table = F.broadcast(
+        df.sparkSession.createDataFrame(hot_keys, hot.schema).select(
+            *[F.col(c).alias(f"_hot{i}") for i, c in enumerate(partition_cols)]
+        )
     )
-    cold = df.filter(~is_hot).withColumn(name, F.row_number().over(window))
-    return cold.unionByName(_range_row_number(df.filter(is_hot), partition_cols, ordering, name))
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_hot{i}")) for i, c in enumerate(partition_cols)])
+    cold = df.join(hot_table, match, "left_anti").withColumn(name, F.row_number().over(window))
+    hot_rows_df = df.join(hot_table, match, "left_semi")
+    return cold.unionByName(_range_row_number(hot_rows_df, partition_cols, ordering, name))
 
 
 def _range_row_number(df: DataFrame, keys: list[str], ordering: list[Column], name: str) -> DataFrame:

@@ -59,14 +59,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
     source_counts = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n"))
     counted = source_keyed.join(source_counts, on=keys, how="inner")
-    # Checked in the projection above the join, i.e. only for matched keys (D11).
-    guard = F.col("_s_n") > 1
+    # Checked in the projection above the join, i.e. only for matched keys (D11):
+    # the first key column carries the check, so it cannot be pruned away.
+    first_key = keys[0]
     error = F.raise_error(F.lit("upsert: several source rows match the same target row"))
+    checked_key = F.when(F.col("_s_n") > 1, error.cast(target.schema[first_key].dataType)).otherwise(F.col(first_key))
     updated = target_keyed.select(*keys).join(counted, on=keys, how="inner").select(
-        *[
-            (F.when(guard, error.cast(target.schema[c].dataType)).otherwise(F.col(c)) if c == keys[0] else F.col(c)).alias(c)
-            for c in columns
-        ]
+        *[(checked_key if c == first_key else F.col(c)).alias(c) for c in columns]
     )
     kept = target_keyed.join(source_keyed.select(*keys), on=keys, how="left_anti")
     inserted = source_keyed.join(target_keyed.select(*keys), on=keys, how="left_anti")

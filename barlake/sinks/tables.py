@@ -23,6 +23,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> list[
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith(prefix):
             raw = name[len(prefix):]
-            value = None if raw == NULL_PARTITION else jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(raw)
+            value = None if raw == NULL_PARTITION else unquote(raw)  # folder names are %XX-escaped
             found.append((name, value))
     return found
 
@@ -123,7 +124,8 @@ def swap_partitions(spark: SparkSession, table: str, rows: DataFrame, partition_
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     for folder, value in written:
         if folder in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(partition_col, value)}) SET LOCATION '{version}/{folder}'")
+            spec = _spec(partition_col, value)
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{version}/{folder}'")
     spark.catalog.refreshTable(table)
 
 
