@@ -28,11 +28,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False  # set by --exact: compare floats bit for bit
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0 if EXACT else round(v, 6) + 0.0
     if isinstance(v, dt.datetime) and v.tzinfo is not None:
         return v.astimezone(dt.timezone.utc).replace(tzinfo=None)
     return v
@@ -71,6 +74,10 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from barlake.session import build_session
 
+    global EXACT
+    if "--exact" in argv:
+        EXACT = True
+        argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = build_session("local[8]")
