@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from barlake.plans import jobs
 from barlake.session import pin_session, tune_for_scale
 from barlake.sources.catalog import Lake
+from barlake.sources.landing import period_start
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", help="landing file format: parquet, json or csv")
     p.add_argument("--ticker", nargs="+", help="tickers to load (bronze jobs; default all)")
     p.add_argument("--since", help="earliest bar time to load (bronze bars)")
+    p.add_argument("--period", help="bar window ending at the load time: 5d, 1wk, 1mo, 1y, ytd, max")
     p.add_argument("--start-date", help="range start (silver: load time, gold: bar time)")
     p.add_argument("--end-date", help="range end, inclusive")
     p.add_argument("--load-dttm", help="load time to stamp (default: now, UTC)")
@@ -47,7 +49,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.job in ("bronze-bars", "bronze-info") and not args.landing:
         raise SystemExit("--landing is required for bronze jobs")
     if args.job == "bronze-bars":
-        jobs.bronze_bars_job(lake, args.landing, load_dttm, args.ticker, args.since, args.format)
+        since = args.since
+        if args.period and since is None:
+            as_of = load_dttm if isinstance(load_dttm, datetime) else datetime.fromisoformat(load_dttm)
+            since = period_start(args.period, as_of)
+        jobs.bronze_bars_job(lake, args.landing, load_dttm, args.ticker, since, args.format)
     elif args.job == "bronze-info":
         jobs.bronze_info_job(lake, args.landing, load_dttm, args.ticker, args.format)
     elif args.job == "silver-bars":

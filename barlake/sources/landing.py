@@ -8,7 +8,9 @@ predicates that reach the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,24 @@ from barlake.operators.relational import typed_bound
 from barlake.schemas import LANDING_BARS, LANDING_INFO
 
 
+# Period words accepted for the bar download window (vendor style), fixed values:
+# <n>d days, <n>wk weeks, <n>mo months (30 days), <n>y years (365 days), ytd, max.
+_PERIOD = re.compile(r"^(\d+)(d|wk|mo|y)$")
+_PERIOD_DAYS = {"d": 1, "wk": 7, "mo": 30, "y": 365}
+
+
+def period_start(period: str, as_of: datetime) -> datetime | None:
+    """Earliest bar time of a download ``period`` ending at ``as_of``; None for max."""
+    if period == "max":
+        return None
+    if period == "ytd":
+        return datetime(as_of.year, 1, 1)
+    m = _PERIOD.match(period)
+    if m is None:
+        raise ValueError(f"unknown period {period!r}")
+    return as_of - timedelta(days=int(m.group(1)) * _PERIOD_DAYS[m.group(2)])
+
+
 def read_landing(
     spark: SparkSession,
     path: str,

@@ -40,3 +40,17 @@ def test_landing_info_keeps_raw_json(spark):
     got = read_landing_info(spark, path, "json")
     assert got.count() == docs.count()
     assert got.filter(F.col("info").startswith('{"longName": ')).count() == docs.count()
+
+
+def test_period_start():
+    from datetime import datetime
+
+    from barlake.sources.landing import period_start
+
+    now = datetime(2024, 3, 10, 12, 0)
+    assert period_start("5d", now) == datetime(2024, 3, 5, 12, 0)
+    assert period_start("1wk", now) == datetime(2024, 3, 3, 12, 0)
+    assert period_start("ytd", now) == datetime(2024, 1, 1)
+    assert period_start("max", now) is None
+    with pytest.raises(ValueError):
+        period_start("5x", now)
