@@ -13,8 +13,9 @@ from barlake.operators.relational import typed_bound
 ROW_NUMBER = "row_number"
 
 
-# Most hot groups handled by range numbering; their offsets table (hot groups x
-# shuffle partitions rows) is broadcast, so this bounds its size.
+# Most hot groups handled by range numbering. Slices are consecutive ranges of the
+# sorted rows, so the broadcast offsets table has at most (hot groups + slices - 1)
+# rows, one per (group, slice) pair.
 MAX_HOT_GROUPS = 1_000
 
 
@@ -70,8 +71,9 @@ def _range_row_number(df: DataFrame, keys: list[str], ordering: list[Column], na
     slices held by different tasks; sorted within each task, a group's rows form
     one contiguous run, so ``monotonically_increasing_id`` minus the run's first id
     numbers them inside the slice. A slice's offset is the number of the group's
-    rows in earlier slices: a running sum over a table of (group, slice) counts,
-    whose size is at most groups x slices, small enough to broadcast.
+    rows in earlier slices: a running sum over a table of (group, slice) counts.
+    Slices are consecutive ranges, so that table has at most groups + slices - 1
+    rows, small enough to broadcast.
     """
     sort_keys = [F.col(k).asc() for k in keys] + ordering
     ranged = df.repartitionByRange(*sort_keys).sortWithinPartitions(*sort_keys)
