@@ -115,7 +115,10 @@ def swap_partitions(spark: SparkSession, table: str, rows: DataFrame, partition_
     partition of ``table`` at it: new partitions are added in one statement,
     existing ones are switched one by one."""
     version = f"{table_location(spark, table)}/_v/{uuid.uuid4().hex}"
-    rows.select(*spark.table(table).columns).write.partitionBy(partition_col).mode("errorifexists").parquet(version)
+    # Rebalance: AQE sizes the output files per partition value and splits a very
+    # large day rather than writing it from one task.
+    out = rows.select(*spark.table(table).columns).hint("rebalance", partition_col)
+    out.write.partitionBy(partition_col).mode("errorifexists").parquet(version)
     written = _partition_dirs(spark, version, partition_col)
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     added = [(f, v) for f, v in written if f not in existing]
@@ -134,7 +137,7 @@ def replace_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
     the table to it (ALTER TABLE ... SET LOCATION)."""
     base = table_location(spark, table).rsplit("/", 1)[0]
     target = f"{base}/v-{uuid.uuid4().hex}"
-    rows.select(*spark.table(table).columns).write.mode("errorifexists").parquet(target)
+    rows.select(*spark.table(table).columns).hint("rebalance").write.mode("errorifexists").parquet(target)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
     spark.catalog.refreshTable(table)
 
