@@ -173,6 +173,8 @@ def _upsert_table(
     partition_filter: Column | None,
 ) -> None:
     spark = source.sparkSession
+    if source.isEmpty():  # the source is staged, so this reads one file footer
+        return
     target = spark.table(table)
     if partition_col is None:
         replace_table(spark, table, upsert(target, source, keys))

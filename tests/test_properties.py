@@ -50,3 +50,27 @@ def test_upsert_twice_equals_once(spark, seed):
     once = upsert(t, s, ["k", "d"])
     twice = upsert(once, s, ["k", "d"])
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000), lo=st.integers(1, 20), span=st.integers(0, 10))
+def test_lower_bound_pushdown_never_changes_latest_record(spark, seed, lo, span):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from barlake.operators import latest_record
+
+    rng = random.Random(seed)
+    rows = [
+        (f"K{rng.randrange(6)}", i, None if rng.random() < 0.05 else datetime(2024, 1, rng.randrange(1, 28), rng.randrange(24)))
+        for i in range(80)
+    ]
+    df = spark.createDataFrame(rows, "k string, v int, load_dttm timestamp")
+    start, end = f"2024-01-{lo:02d}", f"2024-01-{min(lo + span, 28):02d} 23:59:59"
+    pushed = latest_record(df, ["k"], ["load_dttm", "v"], start, end)
+    w = Window.partitionBy("k").orderBy(F.col("load_dttm").desc(), F.col("v").desc())
+    bounds = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    reference = (
+        df.withColumn("rn", F.row_number().over(w)).filter(F.col("load_dttm").between(*bounds)).filter("rn = 1").drop("rn")
+    )
+    assert sorted(map(tuple, pushed.collect())) == sorted(map(tuple, reference.collect()))

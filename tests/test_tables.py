@@ -51,3 +51,14 @@ def test_unpartitioned_upsert_switches_version(spark):
     assert sorted(map(tuple, spark.table(table).collect())) == [("a", 5), ("b", 2)]
     loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").first()["data_type"]
     assert "/v-" in loc and not loc.endswith("v-initial")
+
+
+def test_empty_source_leaves_table_alone(spark):
+    table = f"te_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "tables")
+    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
+    spark.createDataFrame([("k1", 1, "x")], "k string, v int, p string").write.insertInto(table)
+    before = _partition_locations(spark, table)
+    upsert_table(table, spark.createDataFrame([], "k string, v int, p string"), ["k", "p"], partition_col="p")
+    assert _partition_locations(spark, table) == before
+    assert spark.table(table).count() == 1
