@@ -31,11 +31,19 @@ def with_trading_date(bars: DataFrame, time_col: str = "datetime") -> DataFrame:
     return bars.withColumn("date", F.to_date(F.col(time_col)))
 
 
-def _keyed_days(bars: DataFrame, time_col: str) -> DataFrame:
-    # A null ticker or bar time never survives the reference's inner join of first
-    # and last bars, so such bars make no row.
-    kept = bars.filter(F.col("ticker").isNotNull() & F.col(time_col).isNotNull())
-    return with_trading_date(kept, time_col)
+def _keyed_day_groups(bars: DataFrame, time_col: str, *aggs: Column) -> DataFrame:
+    """``aggs`` per (ticker, date), plus ``_n`` = count(ticker).
+
+    A null ticker or bar time never survives the reference's inner join of first
+    and last bars, so such groups make no row. They are dropped after the
+    aggregation, by their counts: a row filter would be pushed below the bar
+    projection and, for a computed bar time, evaluate it twice per row.
+    """
+    days = with_trading_date(bars, time_col)
+    grouped = days.groupBy(*DAY_KEYS).agg(
+        *aggs, F.count("ticker").alias("_n"), F.count(time_col).alias("_n_timed")
+    )
+    return grouped.filter((F.col("_n") > 0) & (F.col("_n_timed") > 0))
 
 
 def _return(first_open: Column, last_close: Column) -> Column:
@@ -69,15 +77,15 @@ def _first_last(time_col: str, tie_break: bool) -> tuple[Column, Column]:
 def daily_metrics(bars: DataFrame, time_col: str = "datetime", tie_break: bool = False) -> DataFrame:
     """(ticker, date, daily_returns, daily_volatility) in one aggregate (CMP-4).
 
-    Bars with a null ticker or time have no row (see ``_keyed_days``).
+    Bars with a null ticker or time have no row (see ``_keyed_day_groups``).
     """
-    days = _keyed_days(bars, time_col)
     first_open, last_close = _first_last(time_col, tie_break)
-    agg = days.groupBy(*DAY_KEYS).agg(
+    agg = _keyed_day_groups(
+        bars,
+        time_col,
         first_open.alias("_first_open"),
         last_close.alias("_last_close"),
         _sse(F.col("close")).alias("_sse"),
-        F.count("ticker").alias("_n"),
     )
     return agg.select(
         *DAY_KEYS,
@@ -88,9 +96,8 @@ def daily_metrics(bars: DataFrame, time_col: str = "datetime", tie_break: bool =
 
 def daily_returns(bars: DataFrame, time_col: str = "datetime", tie_break: bool = False) -> DataFrame:
     """(ticker, date, daily_returns) (CMP-2) via ``min_by``/``max_by``."""
-    days = _keyed_days(bars, time_col)
     first_open, last_close = _first_last(time_col, tie_break)
-    agg = days.groupBy(*DAY_KEYS).agg(first_open.alias("_first_open"), last_close.alias("_last_close"))
+    agg = _keyed_day_groups(bars, time_col, first_open.alias("_first_open"), last_close.alias("_last_close"))
     return agg.select(*DAY_KEYS, _return(F.col("_first_open"), F.col("_last_close")).alias("daily_returns"))
 
 
