@@ -65,33 +65,45 @@ def _time(fn) -> float:
     return time.perf_counter() - t0
 
 
+def _median_or_none(fn, warmups: int, runs: int, errors: dict, name: str) -> float | None:
+    """Median of ``runs`` timings after ``warmups`` runs; None (and the error kept)
+    if the query fails, so one broken entry does not lose the others."""
+    try:
+        for _ in range(warmups):
+            fn()
+        return round(statistics.median(_time(fn) for _ in range(runs)), 3)
+    except Exception as e:  # noqa: BLE001 - reported in the JSON line
+        errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        return None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", app_name="barlake-bench", shuffle_partitions=cpus)
-    results: dict[str, float] = {}
+    results: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     # Warm the JVM once over every query shape before timing any of them.
-    for build in BENCH.values():
-        build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    for name, build in BENCH.items():
+        _median_or_none(lambda b=build: b(spark, sf_dir).write.format("noop").mode("overwrite").save(), 0, 1, {}, name)
     for name, build in BENCH.items():
         def run(build=build):
             build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        run()
-        results[name] = round(statistics.median(_time(run) for _ in range(runs)), 3)
+        results[name] = _median_or_none(run, 1, runs, errors, name)
     for name, job in JOBS.items():
         def run_job(job=job):
             job(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        run_job()
-        results[name] = round(statistics.median(_time(run_job) for _ in range(max(2, runs // 2))), 3)
+        results[name] = _median_or_none(run_job, 1, max(2, runs // 2), errors, name)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_query_sec",
-        "value": round(sum(results.values()), 3),
+        "value": round(sum(v for v in results.values() if v is not None), 3),
         "unit": "sec",
         "queries": results,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
