@@ -188,6 +188,15 @@ SELECT COALESCE(s.ticker, t.ticker) AS ticker, COALESCE(s.date, t.date) AS date,
        round(CASE WHEN s.ticker IS NOT NULL THEN s.daily_volatility ELSE t.daily_volatility END, 6) AS daily_volatility,
        CASE WHEN s.ticker IS NOT NULL THEN s.load_dttm ELSE t.load_dttm END AS load_dttm
 FROM t FULL JOIN s ON t.ticker = s.ticker AND t.date = s.date""",
+    "upsert_null_keys": f"""
+WITH k AS (SELECT CASE WHEN event_id % {q.NULL_KEY_EVERY} = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS ticker,
+                  ts AS datetime, value AS v FROM events),
+t AS (SELECT ticker, datetime, v FROM k WHERE datetime < TIMESTAMP '{q.NULL_KEY_SPLIT_HI}'),
+s AS (SELECT ticker, datetime, v * 2 AS v, 1 AS matched_side FROM k WHERE datetime >= TIMESTAMP '{q.NULL_KEY_SPLIT_LO}')
+SELECT CASE WHEN s.matched_side IS NOT NULL THEN s.ticker ELSE t.ticker END AS ticker,
+       CASE WHEN s.matched_side IS NOT NULL THEN s.datetime ELSE t.datetime END AS datetime,
+       CASE WHEN s.matched_side IS NOT NULL THEN s.v ELSE t.v END AS v
+FROM t FULL JOIN s ON t.ticker = s.ticker AND t.datetime = s.datetime""",
     "append_partitioned": f"""
 SELECT event_id, user_id, ts, event_type, value, {L1} AS load_dttm, {D1} AS load_prdt
 FROM events WHERE ts < TIMESTAMP '{q.APPEND_SPLIT}'

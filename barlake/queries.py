@@ -53,6 +53,8 @@ RANGE_LO, RANGE_HI = "2024-01-10 00:00:00", "2024-01-12 12:00:00"
 LATEST_LO, LATEST_HI = "2024-01-29 00:00:00", "2024-01-30 00:00:00"
 UPSERT_SPLIT_LO, UPSERT_SPLIT_HI = "2024-01-15", "2024-01-20"
 APPEND_SPLIT = "2024-01-16 00:00:00"
+NULL_KEY_EVERY = 17
+NULL_KEY_SPLIT_LO, NULL_KEY_SPLIT_HI = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 
 
 def _r6(c) -> F.Column:
@@ -234,6 +236,25 @@ def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _keyed_events(events: DataFrame) -> DataFrame:
+    # Every NULL_KEY_EVERY-th event has no ticker: such rows can never match (D10).
+    ticker = F.when(F.col("event_id") % NULL_KEY_EVERY == 0, F.lit(None).cast("string")).otherwise(
+        F.col("user_id").cast("string")
+    )
+    return events.select(ticker.alias("ticker"), F.col("ts").alias("datetime"), F.col("value").alias("v"))
+
+
+def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars before day 20 as the target, bars from day 10 with doubled values as
+    the source, keyed on (ticker, datetime) with some tickers null on both sides."""
+    keyed = _keyed_events(_events(spark, sf_dir))
+    target = keyed.filter(F.col("datetime") < F.lit(NULL_KEY_SPLIT_HI).cast("timestamp_ntz"))
+    source = keyed.filter(F.col("datetime") >= F.lit(NULL_KEY_SPLIT_LO).cast("timestamp_ntz")).withColumn(
+        "v", F.col("v") * 2
+    )
+    return upsert(target, source, ["ticker", "datetime"])
+
+
 def _scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
     db = f"scratch_{uuid.uuid4().hex[:10]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
@@ -409,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "monthly_metrics_lineitem": monthly_metrics_lineitem,
     "sql_over_view": sql_over_view,
     "upsert_metrics": upsert_metrics,
+    "upsert_null_keys": upsert_null_keys,
     "append_partitioned": append_partitioned_q,
     "append_evolved": append_evolved,
     "bars_conform": bars_conform,
