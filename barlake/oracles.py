@@ -181,6 +181,14 @@ FROM lineitem""",
     ),
     "sql_over_view": f"""SELECT ticker, CAST(datetime AS DATE) AS date, count(*) AS n_bars, count(close) AS n_closes,
        max(close) AS high_close FROM ({BARS_NULLS}) b GROUP BY ticker, CAST(datetime AS DATE)""",
+    "sql_over_tables": f"""
+SELECT CAST(user_id AS VARCHAR) AS ticker, {D1} AS load_prdt, count(*) AS n_rows, max(value) AS max_close,
+       min(CAST(ts AS TIMESTAMP)) AS first_bar
+FROM events GROUP BY user_id
+UNION ALL
+SELECT CAST(user_id AS VARCHAR) AS ticker, {D2} AS load_prdt, count(*) AS n_rows,
+       max(value + {td.CORRECTION}) AS max_close, min(CAST(ts AS TIMESTAMP)) AS first_bar
+FROM events WHERE event_type = '{td.CORRECTED_TYPE}' GROUP BY user_id""",
     "upsert_metrics": f"""WITH t AS ({_upsert_side(f"date <= DATE '{q.UPSERT_SPLIT_HI}'", '', L1)}),
 s AS ({_upsert_side(f"date >= DATE '{q.UPSERT_SPLIT_LO}'", ' * 2', L2)})
 SELECT COALESCE(s.ticker, t.ticker) AS ticker, COALESCE(s.date, t.date) AS date,

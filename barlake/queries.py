@@ -347,6 +347,20 @@ def bronze_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.scan("bronze", "market_data_1m")
 
 
+def sql_over_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-hoc SQL over a layer table in the catalog, after two bronze loads."""
+    first, second = _bars_landings(spark, sf_dir)
+    lake = _lake(spark)
+    bronze_bars_job(lake, first, td.LOAD_1)
+    bronze_bars_job(lake, second, td.LOAD_2)
+    return lake.sql(
+        f"""SELECT Ticker AS ticker, load_prdt, count(*) AS n_rows, max(Close) AS max_close,
+                   min(Datetime) AS first_bar
+            FROM {lake.table("bronze", "market_data_1m")}
+            GROUP BY Ticker, load_prdt"""
+    )
+
+
 def _info_landings(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     pin_session(spark)
     customer, nation = td.table(spark, sf_dir, "customer"), td.table(spark, sf_dir, "nation")
@@ -429,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "daily_metrics_lineitem": daily_metrics_lineitem,
     "monthly_metrics_lineitem": monthly_metrics_lineitem,
     "sql_over_view": sql_over_view,
+    "sql_over_tables": sql_over_tables,
     "upsert_metrics": upsert_metrics,
     "upsert_null_keys": upsert_null_keys,
     "append_partitioned": append_partitioned_q,
