@@ -18,13 +18,16 @@ from pyspark.sql import SparkSession
 
 from barlake.plans import jobs
 from barlake.session import pin_session, tune_for_scale
-from barlake.sources.catalog import Lake
+from barlake.sinks.tables import vacuum_versions
+from barlake.sources.catalog import BARS_SILVER, METRICS_GOLD, PROFILE_SILVER, Lake
 from barlake.sources.landing import period_start
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="barlake")
-    p.add_argument("job", choices=["bronze-bars", "bronze-info", "silver-bars", "silver-profile", "gold-metrics"])
+    p.add_argument(
+        "job", choices=["bronze-bars", "bronze-info", "silver-bars", "silver-profile", "gold-metrics", "vacuum"]
+    )
     p.add_argument("--root", required=True, help="shared folder holding the layer tables")
     p.add_argument("--catalog", default=None, help="catalog to USE before creating the layers")
     p.add_argument("--landing", help="landing folder (bronze jobs)")
@@ -35,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--start-date", help="range start (silver: load time, gold: bar time)")
     p.add_argument("--end-date", help="range end, inclusive")
     p.add_argument("--load-dttm", help="load time to stamp (default: now, UTC)")
+    p.add_argument("--retain-hours", type=float, default=168.0, help="vacuum: keep unused versions this long")
     return p
 
 
@@ -60,8 +64,12 @@ def main(argv: list[str] | None = None) -> None:
         jobs.silver_bars_job(lake, args.start_date, args.end_date, load_dttm)
     elif args.job == "silver-profile":
         jobs.silver_profile_job(lake, args.start_date, args.end_date, load_dttm)
-    else:
+    elif args.job == "gold-metrics":
         jobs.gold_metrics_job(lake, args.start_date, args.end_date, load_dttm)
+    else:
+        for layer, name in (("silver", BARS_SILVER), ("silver", PROFILE_SILVER), ("gold", METRICS_GOLD)):
+            removed = vacuum_versions(spark, lake.table(layer, name), args.retain_hours)
+            logging.info("vacuumed %d version folders of %s", len(removed), lake.table(layer, name))
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """Table writers: partitioned append with column evolution, keyed upsert."""
 
 from barlake.sinks.append import append_partitioned
-from barlake.sinks.tables import delete_path, staged, upsert_table
+from barlake.sinks.tables import delete_path, staged, upsert_table, vacuum_versions
 
-__all__ = ["append_partitioned", "delete_path", "staged", "upsert_table"]
+__all__ = ["append_partitioned", "delete_path", "staged", "upsert_table", "vacuum_versions"]

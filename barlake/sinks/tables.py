@@ -19,6 +19,8 @@ version folders are left for a later clean-up. Single writer per table.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -182,3 +184,45 @@ def _upsert_table(
     scope = partition_filter if partition_filter is not None else touched_partitions(source, partition_col)
     scoped = _restrict(target, partition_col, scope)
     swap_partitions(spark, table, upsert(scoped, source, keys), partition_col)
+
+
+def _fs_and_path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0) -> list[str]:
+    """Delete version folders ``table`` no longer reads, once older than ``retain_hours``.
+
+    A partitioned table keeps its versions in ``<table>/_v/<id>``; an unpartitioned
+    one in ``v-<id>`` folders next to its current location. The folders still in use
+    are those holding a file of the table now (``inputFiles`` lists them from the
+    catalog without reading data). The retention keeps folders that a query planned
+    before the last switch may still be reading. Returns the deleted folders.
+    """
+    location = table_location(spark, table)
+    in_use = set()
+    for f in spark.table(table).inputFiles():
+        m = re.search(r"/(_v/[^/]+|v-[^/]+)/", f)
+        if m:
+            in_use.add(m.group(1))
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    partitioned = details.filter("col_name = '# Partition Information'").count() > 0
+    root = f"{location}/_v" if partitioned else location.rsplit("/", 1)[0]
+    fs, jroot = _fs_and_path(spark, root)
+    if not fs.exists(jroot):
+        return []
+    cutoff_ms = (time.time() - retain_hours * 3600) * 1000
+    deleted = []
+    for status in fs.listStatus(jroot):
+        name = status.getPath().getName()
+        if not status.isDirectory():
+            continue
+        if partitioned:
+            unused = f"_v/{name}" not in in_use
+        else:
+            unused = name.startswith("v-") and name not in in_use and f"{root}/{name}" != location
+        if unused and status.getModificationTime() < cutoff_ms:
+            fs.delete(status.getPath(), True)
+            deleted.append(str(status.getPath()))
+    return deleted

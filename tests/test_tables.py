@@ -62,3 +62,36 @@ def test_empty_source_leaves_table_alone(spark):
     upsert_table(table, spark.createDataFrame([], "k string, v int, p string"), ["k", "p"], partition_col="p")
     assert _partition_locations(spark, table) == before
     assert spark.table(table).count() == 1
+
+
+def test_vacuum_keeps_versions_in_use(spark):
+    from barlake.sinks import vacuum_versions
+
+    table = f"tv_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "tables")
+    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
+    spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, p string").write.insertInto(table)
+    upsert_table(table, spark.createDataFrame([("a", 5, "x")], "k string, v int, p string"), ["k", "p"], partition_col="p")
+    upsert_table(table, spark.createDataFrame([("a", 6, "x")], "k string, v int, p string"), ["k", "p"], partition_col="p")
+    upsert_table(table, spark.createDataFrame([("b", 7, "y")], "k string, v int, p string"), ["k", "p"], partition_col="p")
+    expected = sorted(map(tuple, spark.table(table).collect()))
+    assert vacuum_versions(spark, table, retain_hours=1) == []  # too young
+    deleted = vacuum_versions(spark, table, retain_hours=0)
+    assert len(deleted) == 1  # only the first version of partition x is unused
+    spark.catalog.refreshTable(table)
+    assert sorted(map(tuple, spark.table(table).collect())) == expected == [("a", 6, "x"), ("b", 7, "y")]
+
+
+def test_vacuum_unpartitioned(spark):
+    from barlake.sinks import vacuum_versions
+
+    table = f"tw_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "tables")
+    spark.sql(f"CREATE TABLE {table} (k STRING, v INT) USING parquet LOCATION '{root}/v-initial'")
+    spark.createDataFrame([("a", 1)], "k string, v int").write.insertInto(table)
+    for v in (2, 3):
+        upsert_table(table, spark.createDataFrame([("a", v)], "k string, v int"), ["k"])
+    deleted = vacuum_versions(spark, table, retain_hours=0)
+    assert len(deleted) == 2 and any(d.endswith("v-initial") for d in deleted)
+    spark.catalog.refreshTable(table)
+    assert [tuple(r) for r in spark.table(table).collect()] == [("a", 3)]
