@@ -76,7 +76,10 @@ def _range_row_number(df: DataFrame, keys: list[str], ordering: list[Column], na
     rows, small enough to broadcast.
     """
     sort_keys = [F.col(k).asc() for k in keys] + ordering
-    ranged = df.repartitionByRange(*sort_keys).sortWithinPartitions(*sort_keys)
+    # An explicit slice count: AQE leaves it as is, so both uses of `tagged` (the
+    # offsets and the numbering) see the same slices.
+    slices_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices_n, *sort_keys).sortWithinPartitions(*sort_keys)
     tagged = ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
     slices = tagged.groupBy(*keys, "_slice").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_len"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
