@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.operators.relational import typed_bound
+from barlake.session import shared_dir
 
 ROW_NUMBER = "row_number"
 
@@ -76,11 +77,17 @@ def _range_row_number(df: DataFrame, keys: list[str], ordering: list[Column], na
     rows, small enough to broadcast.
     """
     sort_keys = [F.col(k).asc() for k in keys] + ordering
-    # An explicit slice count: AQE leaves it as is, so both uses of `tagged` (the
-    # offsets and the numbering) see the same slices.
     slices_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(slices_n, *sort_keys).sortWithinPartitions(*sort_keys)
-    tagged = ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
+    # Range bounds come from a sample seeded per shuffle, so two evaluations may cut
+    # the slices differently: slice and position are fixed once, in a reliable
+    # checkpoint in the shared folder, and both uses below read that.
+    shared_dir(df.sparkSession)
+    tagged = (
+        ranged.withColumn("_slice", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+    )
     slices = tagged.groupBy(*keys, "_slice").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_len"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(
