@@ -47,7 +47,13 @@ def align_to(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target after merging ``source`` into it on ``keys``; columns of ``target``."""
+    """The target after merging ``source`` into it on ``keys``; columns of ``target``.
+
+    ``source`` and ``target`` are each read more than once, so they must evaluate to
+    the same rows every time: pass stored or checkpointed frames when they come from
+    a non-deterministic step (e.g. a rank-1 pick among tied rows).
+    :func:`barlake.sinks.upsert_table` stages its source for this reason.
+    """
     if not keys:
         raise ValueError("upsert needs at least one key column")
     columns = target.columns
