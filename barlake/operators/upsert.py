@@ -9,19 +9,22 @@ INSERT *`` means, row by row:
 * keys compare with ``=``, so a null in any key column never matches (D10), and
   several target rows matched by one source row are each updated.
 
-The result is the union of four one-sided pieces, never a full outer join:
+The result is a union of one-sided pieces, never a full outer join:
 
-* kept: target rows whose key is not in the source (left-anti join);
-* updated: for each target row with a matching key, the source row (inner join of
-  the target's keys to the source rows);
-* inserted: source rows whose key is not in the target (left-anti join);
+* current: every target row, replaced by its source row when the key matches
+  (left outer join of whole target rows to the source rows);
+* inserted: source rows whose key is not in the target (left-anti join against the
+  distinct target keys);
+* conflicts: source keys repeated and present in the target, which raise;
 * rows with a null key on either side, which can never match and skip the joins,
   so a flood of null keys never lands in one reducer.
 
-AQE can split a skewed partition on the big side of each of these joins, so a key
-holding a third of either table is spread over many tasks; a full outer join
-cannot be split. The duplicate check needs only per-key source counts, a partial
-aggregate.
+AQE can split a skewed partition on the left side of both joins, so a key holding
+a third of the target (or, for inserts, of the source) is spread over many tasks; a
+full outer join cannot be split. The target side carries whole rows, so a hot key
+also shows up in the shuffle sizes AQE measures (a keys-only shuffle of identical
+keys compresses to nearly nothing). Key counts and distinct keys are partial
+aggregates.
 """
 
 from __future__ import annotations
@@ -63,18 +66,37 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     target_keyed, target_null = target.filter(~null_key), target.filter(null_key)
     source_keyed, source_null = source.filter(~null_key), source.filter(null_key)
 
-    source_counts = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n"))
-    counted = source_keyed.join(source_counts, on=keys, how="inner")
-    # Checked in the projection above the join, i.e. only for matched keys (D11):
-    # the first key column carries the check, so it cannot be pruned away.
-    first_key = keys[0]
-    error = F.raise_error(F.lit("upsert: several source rows match the same target row"))
-    checked_key = F.when(F.col("_s_n") > 1, error.cast(target.schema[first_key].dataType)).otherwise(F.col(first_key))
-    updated = target_keyed.select(*keys).join(counted, on=keys, how="inner").select(
-        *[(checked_key if c == first_key else F.col(c)).alias(c) for c in columns]
+    non_keys = [c for c in columns if c not in keys]
+    # Kept and updated rows in one pass: every target row, with its source row when
+    # the key matches. The target side carries whole rows, so a hot key shows up in
+    # the shuffle sizes and AQE splits it (left side of a left outer join).
+    incoming = source_keyed.select(
+        *keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys], F.lit(True).alias("_matched")
+    )
+    matched = F.col("_matched").isNotNull()
+    current = target_keyed.join(incoming, on=keys, how="left").select(
+        *[
+            F.col(c) if c in keys else F.when(matched, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
+            for c in columns
+        ]
+    )
+    # Distinct target keys: a partial aggregate, so a hot key costs one row per map task.
+    target_keys = target_keyed.select(*keys).distinct()
+    inserted = source_keyed.join(target_keys, on=keys, how="left_anti")
+    # D11: a key repeated in the source and present in the target is an error. The
+    # repeated keys come from a partial aggregate (normally none); the branch
+    # yields no row unless there is one, and then raises.
+    repeated = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n")).filter(F.col("_s_n") > 1)
+    # The raise depends on the row, so it runs only for a conflicting key.
+    error = F.when(
+        F.col("_s_n") > 1, F.raise_error(F.lit("upsert: several source rows match the same target row"))
+    )
+    conflicts = repeated.join(target_keys, on=keys, how="left_semi").select(
+        *[error.cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
-    kept = target_keyed.join(source_keyed.select(*keys), on=keys, how="left_anti")
-    inserted = source_keyed.join(target_keyed.select(*keys), on=keys, how="left_anti")
     return (
-        kept.unionByName(updated).unionByName(inserted).unionByName(target_null).unionByName(source_null)
+        current.unionByName(inserted)
+        .unionByName(target_null)
+        .unionByName(source_null)
+        .unionByName(conflicts)
     )

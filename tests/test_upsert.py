@@ -67,3 +67,45 @@ def test_hot_key_third_of_target(spark):
     out = upsert(hot.unionByName(cold), source, ["k", "d"])
     counts = {r.v: r["count"] for r in out.groupBy("v").count().collect()}
     assert counts == {"new": 3000, "c": 6000, "ins": 1}
+
+
+def test_aqe_splits_a_hot_target_key(spark):
+    """With skew thresholds scaled down to test size, AQE splits the hot key's partition."""
+    import re
+    from contextlib import contextmanager
+
+    from pyspark.sql import functions as F
+
+    @contextmanager
+    def confs(**kv):
+        before = {k: spark.conf.get(k, None) for k in kv}
+        for k, v in kv.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    with confs(**settings):
+        hot_or_own = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        target = spark.range(200000).select(hot_or_own.alias("k"), F.lit(1).alias("d"), F.col("id").cast("string").alias("v"))
+        source = spark.createDataFrame([("hot", 1, "new"), ("1", 1, "one")], SCHEMA)
+        out = upsert(target, source, ["k", "d"])
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*LeftOuter", plan)
+    assert sum(r.v == "new" for r in rows) == 100000 and sum(r.v == "one" for r in rows) == 1
+    assert len(rows) == 200000
