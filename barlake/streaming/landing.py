@@ -7,16 +7,19 @@ which files were already loaded, so each run appends only new deliveries.
 like the batch jobs. Each micro-batch is one load: it gets one load time and is
 appended with :func:`append_partitioned`.
 
-A micro-batch replayed after a failure is appended again with a newer load time;
-the copies are identical, and silver keeps one of them (latest record, D17).
+The load time is ``current_timestamp()`` in the stream, which Structured Streaming
+fixes per micro-batch and records in the checkpoint's offset log: a micro-batch
+replayed after a failure carries the same load time, so a replay can only repeat
+identical rows, of which silver keeps one (latest record, D17).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.columns import stamp
@@ -27,22 +30,19 @@ from barlake.sources.catalog import BARS_BRONZE, INFO_BRONZE, Lake
 KINDS = {"bars": (LANDING_BARS, BARS_BRONZE), "info": (LANDING_INFO, INFO_BRONZE)}
 
 
-def _utc_now(_batch_id: int) -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 def ingest_landing(
     lake: Lake,
     landing: str,
     kind: str = "bars",
     fmt: str = "parquet",
     checkpoint: str | None = None,
-    clock: Callable[[int], datetime | str] = _utc_now,
+    clock: Callable[[int], datetime | str] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; the caller waits with ``awaitTermination()``.
 
-    ``clock`` maps a batch id to its load time (tests pin it).
+    ``clock`` maps a batch id to its load time instead of the batch timestamp
+    (tests pin it).
     """
     schema, name = KINDS[kind]
     table, location = lake.table("bronze", name), lake.location("bronze", name)
@@ -52,9 +52,12 @@ def ingest_landing(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing)
+    if clock is None:
+        stream = stream.withColumn("load_dttm", F.current_timestamp()).withColumn("load_prdt", F.to_date("load_dttm"))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        append_partitioned(stamp(batch, clock(batch_id), with_date=True), table, "load_prdt", location)
+        stamped = batch if clock is None else stamp(batch, clock(batch_id), with_date=True)
+        append_partitioned(stamped, table, "load_prdt", location)
 
     return (
         stream.writeStream.foreachBatch(load_batch)

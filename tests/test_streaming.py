@@ -36,3 +36,15 @@ def test_stream_ingests_only_new_files(spark):
     corrected = events.filter("event_type = 'click'").count()
     assert spark.table(bronze).count() == events.count() + corrected
     assert spark.table(bronze).select("load_dttm").distinct().count() == 2
+
+
+def test_batch_timestamp_is_the_load_time(spark):
+    tag = uuid.uuid4().hex[:8]
+    lake = Lake(spark, scratch_path(spark, "stream-lake"), {k: f"{k}_{tag}" for k in ("bronze", "silver", "gold")})
+    lake.create()
+    landing = scratch_path(spark, "stream-landing")
+    td.vendor_bars(td.table(spark, SF, "events")).coalesce(1).write.parquet(landing)
+    ingest_landing(lake, landing, "bars").awaitTermination()
+    bronze = spark.table(lake.table("bronze", "market_data_1m"))
+    stamps = bronze.select("load_dttm", "load_prdt").distinct().collect()
+    assert len(stamps) == 1 and stamps[0].load_prdt == stamps[0].load_dttm.date()
