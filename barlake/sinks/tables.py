@@ -13,8 +13,9 @@ Parquet tables have no MERGE, so the merged rows replace what they came from:
 Nothing is overwritten in place: until the switch the old files serve readers, a
 failed write leaves the table as it was, and each partition switch is atomic in the
 catalog, so a crash between switches leaves every partition either old or new
-(re-running the upsert is then safe: it is idempotent for non-null keys). Old
-version folders are left for a later clean-up. Single writer per table.
+(re-running the upsert is then safe: it is idempotent for non-null keys). Version
+folders no longer read are removed by :func:`vacuum_versions` after a retention
+window. Single writer per table.
 """
 
 from __future__ import annotations
@@ -40,10 +41,16 @@ MAX_LISTED_PARTITIONS = 10_000
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+def _fs_and_path(spark: SparkSession, path: str):
+    """The Hadoop file system serving ``path``, and the path as a Hadoop Path."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete a folder through the Hadoop file system of the path."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    fs, jpath = _fs_and_path(spark, path)
+    fs.delete(jpath, True)
 
 
 @contextmanager
@@ -91,9 +98,7 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> list[tuple[str, str | None]]:
     """(folder name, partition value) of the partition folders directly under path."""
-    jvm = spark._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, jpath = _fs_and_path(spark, path)
     prefix = f"{partition_col}="
     found = []
     for status in fs.listStatus(jpath):
@@ -186,11 +191,6 @@ def _upsert_table(
     swap_partitions(spark, table, upsert(scoped, source, keys), partition_col)
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
 def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0) -> list[str]:
     """Delete version folders ``table`` no longer reads, once older than ``retain_hours``.
 
