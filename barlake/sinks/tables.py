@@ -117,33 +117,50 @@ def _spec(partition_col: str, value: str | None) -> str:
     return f"`{partition_col}` = '{escaped}'"
 
 
+def version_id() -> str:
+    """Time-ordered, unique folder name for a new table version."""
+    return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:12]}"
+
+
+def point_partitions(spark: SparkSession, table: str, partition_col: str, locations: dict[str, str]) -> None:
+    """Point partitions (folder name -> location) of ``table`` at new locations:
+    new partitions are added in one statement, existing ones switched one by one."""
+    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    values = dict(_folder_values(locations))
+    added = [f for f in locations if f not in existing]
+    if added:
+        specs = " ".join(f"PARTITION ({_spec(partition_col, values[f])}) LOCATION '{locations[f]}'" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    for folder, location in locations.items():
+        if folder in existing:
+            spec = _spec(partition_col, values[folder])
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+
+
+def _folder_values(locations: dict[str, str]):
+    for folder in locations:
+        raw = folder.split("=", 1)[1]
+        yield folder, (None if raw == NULL_PARTITION else unquote(raw))
+
+
 def swap_partitions(spark: SparkSession, table: str, rows: DataFrame, partition_col: str) -> None:
     """Write ``rows`` to a new version folder, partitioned, and point each written
-    partition of ``table`` at it: new partitions are added in one statement,
-    existing ones are switched one by one."""
-    version = f"{table_location(spark, table)}/_v/{uuid.uuid4().hex}"
+    partition of ``table`` at it."""
+    version = f"{table_location(spark, table)}/_v/{version_id()}"
     # Rebalance: AQE sizes the output files per partition value and splits a very
     # large day rather than writing it from one task.
     out = rows.select(*spark.table(table).columns).hint("rebalance", partition_col)
     out.write.partitionBy(partition_col).mode("errorifexists").parquet(version)
     written = _partition_dirs(spark, version, partition_col)
-    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    added = [(f, v) for f, v in written if f not in existing]
-    if added:
-        specs = " ".join(f"PARTITION ({_spec(partition_col, v)}) LOCATION '{version}/{f}'" for f, v in added)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-    for folder, value in written:
-        if folder in existing:
-            spec = _spec(partition_col, value)
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{version}/{folder}'")
-    spark.catalog.refreshTable(table)
+    point_partitions(spark, table, partition_col, {f: f"{version}/{f}" for f, _ in written})
 
 
 def replace_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Write ``rows`` to a new version folder next to the table's data and switch
     the table to it (ALTER TABLE ... SET LOCATION)."""
     base = table_location(spark, table).rsplit("/", 1)[0]
-    target = f"{base}/v-{uuid.uuid4().hex}"
+    target = f"{base}/v-{version_id()}"
     rows.select(*spark.table(table).columns).hint("rebalance").write.mode("errorifexists").parquet(target)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
     spark.catalog.refreshTable(table)
@@ -226,3 +243,48 @@ def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0
             fs.delete(status.getPath(), True)
             deleted.append(str(status.getPath()))
     return deleted
+
+
+def _committed_versions(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Version folders under ``root`` whose write completed (Spark's _SUCCESS
+    marker), oldest first (version names are time-ordered)."""
+    fs, jroot = _fs_and_path(spark, root)
+    if not fs.exists(jroot):
+        return []
+    names = sorted(
+        st.getPath().getName()
+        for st in fs.listStatus(jroot)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )
+    done = []
+    for name in names:
+        marker_fs, marker = _fs_and_path(spark, f"{root}/{name}/_SUCCESS")
+        if marker_fs.exists(marker):
+            done.append(f"{root}/{name}")
+    return done
+
+
+def recover_versions(spark: SparkSession, table: str, partition_col: str | None) -> int:
+    """Point ``table`` at its newest completed version(s), for a catalog that lost
+    them (a fresh session catalog, a restored metastore).
+
+    Every version folder holds complete merge results, so the newest completed one
+    of each partition is the current state; one written just before a crash and
+    never switched in is rolled forward. Returns the number of partitions (or 1
+    for an unpartitioned table) pointed at a version.
+    """
+    location = table_location(spark, table)
+    if partition_col is None:
+        versions = _committed_versions(spark, location.rsplit("/", 1)[0], "v-")
+        if versions and versions[-1] != location:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{versions[-1]}'")
+            spark.catalog.refreshTable(table)
+        return 1 if versions else 0
+    newest: dict[str, str] = {}
+    for version in _committed_versions(spark, f"{location}/_v"):
+        for folder, _ in _partition_dirs(spark, version, partition_col):
+            newest[folder] = f"{version}/{folder}"
+    if newest:
+        point_partitions(spark, table, partition_col, newest)
+    return len(newest)
+

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barlake.sinks.tables import _fs_and_path, recover_versions
+
 # Table names of the medallion, fixed by the jobs.
 BARS_BRONZE = "market_data_1m"
 INFO_BRONZE = "ticker_info"
@@ -21,6 +23,8 @@ METRICS_GOLD = "ticker_daily_metrics"
 # the upsert rewrites only the days a load touches.
 BARS_PARTITION = "bar_date"
 METRICS_PARTITION = "date"
+# First version folder of the profile table; sorts before every written version.
+INITIAL_VERSION = "v-0000000000000-initial"
 
 
 @dataclass
@@ -48,17 +52,50 @@ class Lake:
         return self.spark.sql(query)
 
     def create(self) -> "Lake":
-        """Create the databases and the silver/gold tables if absent."""
+        """Create the databases and the silver/gold tables if absent.
+
+        A table missing from the catalog whose folder holds data (a fresh session
+        catalog, a restored metastore) is registered again from storage: bronze
+        from its load-date folders, silver and gold from their newest completed
+        version of each partition.
+        """
         if self.catalog is not None:
             self.spark.catalog.setCurrentCatalog(self.catalog)
         for db in self.databases.values():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        missing = {
+            (layer, name): not self.spark.catalog.tableExists(self.table(layer, name))
+            for layer, name in (("silver", PROFILE_SILVER), ("silver", BARS_SILVER), ("gold", METRICS_GOLD))
+        }
+        self._create_tables()
+        for (layer, name), was_missing in missing.items():
+            if was_missing:
+                partition = {PROFILE_SILVER: None, BARS_SILVER: BARS_PARTITION, METRICS_GOLD: METRICS_PARTITION}[name]
+                recover_versions(self.spark, self.table(layer, name), partition)
+        for name in (BARS_BRONZE, INFO_BRONZE):
+            self._attach_bronze(name)
+        return self
+
+    def _attach_bronze(self, name: str) -> None:
+        """Register an existing bronze folder (tables are created by the first load)."""
+        table, location = self.table("bronze", name), self.location("bronze", name)
+        if self.spark.catalog.tableExists(table):
+            return
+        fs, path = _fs_and_path(self.spark, location)
+        if not fs.exists(path):
+            return
+        self.spark.sql(
+            f"CREATE TABLE {table} USING parquet OPTIONS ('mergeSchema' 'true') LOCATION '{location}'"
+        )
+        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+    def _create_tables(self) -> None:
         silver, gold = self.databases["silver"], self.databases["gold"]
         self.spark.sql(
             f"""CREATE TABLE IF NOT EXISTS {silver}.{PROFILE_SILVER} (
                 ticker STRING, company_name STRING, business_summary STRING,
                 currency STRING, market_cap FLOAT, industry STRING, load_dttm TIMESTAMP)
-            USING parquet LOCATION '{self.location("silver", PROFILE_SILVER)}/v-initial'"""
+            USING parquet LOCATION '{self.location("silver", PROFILE_SILVER)}/{INITIAL_VERSION}'"""
         )
         self.spark.sql(
             f"""CREATE TABLE IF NOT EXISTS {silver}.{BARS_SILVER} (
@@ -75,4 +112,3 @@ class Lake:
             USING parquet PARTITIONED BY ({METRICS_PARTITION})
             LOCATION '{self.location("gold", METRICS_GOLD)}'"""
         )
-        return self

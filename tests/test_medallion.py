@@ -71,3 +71,32 @@ def test_jobs_require_both_bounds(spark):
     lake = _lake(spark)
     with pytest.raises(ValueError):
         silver_bars_job(lake, None, "2024-01-02", "2024-01-02 18:00:00")
+
+
+def test_lake_recovers_tables_into_a_fresh_catalog(spark):
+    """Same storage, new database names: as if the session catalog had been lost."""
+    lake = _lake(spark)
+    first = [_bar("AAA", 30, 100.0, 101.0), _bar("BBB", 31, 50.0, 55.0)]
+    bronze_bars_job(lake, _landing(spark, first, LANDING_BARS), "2024-01-02 18:00:00")
+    silver_bars_job(lake, "2024-01-02 18:00:00", "2024-01-02 18:00:00", "2024-01-02 18:05:00")
+    gold_metrics_job(lake, *DAY, "2024-01-02 18:10:00")
+    bronze_bars_job(lake, _landing(spark, [_bar("AAA", 30, 100.0, 104.0)], LANDING_BARS), "2024-01-03 06:00:00")
+    silver_bars_job(lake, "2024-01-03 06:00:00", "2024-01-03 06:00:00", "2024-01-03 06:05:00")
+    gold_metrics_job(lake, *DAY, "2024-01-03 06:10:00")
+    docs = [("AAA", '{"longName": "Acme"}')]
+    bronze_info_job(lake, _landing(spark, docs, LANDING_INFO), "2024-01-02 18:00:00")
+    silver_profile_job(lake, "2024-01-02", "2024-01-03", "2024-01-02 19:00:00")
+
+    tag = uuid.uuid4().hex[:8]
+    fresh = Lake(spark, lake.root, {k: f"r{k}_{tag}" for k in ("bronze", "silver", "gold")}).create()
+    for layer, name in (
+        ("bronze", "market_data_1m"),
+        ("bronze", "ticker_info"),
+        ("silver", "ticker_ohlcv_1m"),
+        ("silver", "ticker_profile"),
+        ("gold", "ticker_daily_metrics"),
+    ):
+        old = sorted(map(tuple, lake.scan(layer, name).collect()), key=str)
+        new = sorted(map(tuple, fresh.scan(layer, name).select(*lake.scan(layer, name).columns).collect()), key=str)
+        assert new == old, (layer, name)
+    assert fresh.scan("gold", "ticker_daily_metrics").filter("ticker = 'AAA'").first().daily_returns == pytest.approx(0.04)
