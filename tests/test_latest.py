@@ -117,3 +117,21 @@ def test_range_numbering_across_slices(spark):
         ordering = [F.col("t").asc() if order == "asc" else F.col("t").desc()]
         out = _range_row_number(df, ["k"], ordering, "rn").collect()
         assert len(out) == 3400 and all(r.rn == expected(r) for r in out)
+
+
+def test_malformed_bound_raises(spark):
+    """D6: ANSI stays on, so a malformed range argument is an error, not an empty result."""
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from barlake.operators import filter_between
+
+    df = spark.createDataFrame([("K", "v1", d(1))], SCHEMA)
+    with pytest.raises(PySparkException):
+        filter_between(df, "load_dttm", "not-a-date", "2024-01-02").collect()
+
+
+def test_duplicate_rows_in_one_load_give_one_latest_row(spark):
+    """D17: a bar delivered twice in one load appears twice in bronze, once after ranking."""
+    df = spark.createDataFrame([("K", "v1", d(1)), ("K", "v1", d(1))], SCHEMA)
+    assert latest_record(df, ["k"]).count() == 1
