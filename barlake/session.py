@@ -53,6 +53,8 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("BARLAKE_DRIVER_MEMORY", "8g"))
+        # Checkpoints cut lineage; delete their files once nothing refers to them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
