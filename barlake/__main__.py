@@ -1,4 +1,7 @@
-"""Command line for the five jobs: ``spark-submit -m barlake <job> ...``.
+"""Command line for the five jobs and the version clean-up.
+
+Run ``python -m barlake <job> ...`` (or the ``barlake`` console script) locally, or
+``spark-submit --py-files barlake.zip barlake/__main__.py <job> ...`` on a cluster.
 
 Examples::
 
