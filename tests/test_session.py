@@ -10,14 +10,18 @@ def test_scratch_paths_live_in_the_configured_shared_folder(spark):
 
 def test_tune_for_scale_sets_unsubmitted_keys_and_honours_overrides(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
+    before = {k: spark.conf.get(k, None) for k in SCALE_DEFAULTS}
     try:
         tune_for_scale(spark, {key: "128m"})
         assert spark.conf.get(key) == "128m"
         tune_for_scale(spark)
         assert spark.conf.get(key) == SCALE_DEFAULTS[key]
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def test_pin_session_uses_utc(spark):
