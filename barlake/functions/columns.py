@@ -44,17 +44,25 @@ def stamp(df: DataFrame, load_dttm: datetime | str, with_date: bool = False) ->
     return out.withColumn("load_prdt", day) if with_date else out
 
 
+# Vendor bar column -> silver column, in table order.
+BAR_COLUMNS = [
+    ("Ticker", "ticker"),
+    ("Datetime", "datetime"),
+    ("Open", "open"),
+    ("High", "high"),
+    ("Low", "low"),
+    ("Close", "close"),
+    ("Volume", "volume"),
+    ("Dividends", "dividends"),
+    ("Stock Splits", "stock_splits"),
+]
+
+
 def conform_bars_columns() -> list[Column]:
-    """Vendor bar columns renamed to snake case and cast (PRJ-1, PRJ-3, PRJ-4)."""
+    """Vendor bar columns renamed to snake case and cast (PRJ-1, PRJ-3, PRJ-4):
+    the ticker stays a string, the bar time a timestamp, every number is FLOAT."""
+    casts = {"ticker": StringType(), "datetime": TimestampType()}
     return [
-        F.col("Ticker").cast(StringType()).alias("ticker"),
-        F.col("Datetime").cast(TimestampType()).alias("datetime"),
-        to_float32("Open").alias("open"),
-        to_float32("High").alias("high"),
-        to_float32("Low").alias("low"),
-        to_float32("Close").alias("close"),
-        to_float32("Volume").alias("volume"),
-        to_float32("Dividends").alias("dividends"),
-        to_float32(F.col("`Stock Splits`")).alias("stock_splits"),
+        F.col(f"`{vendor}`").cast(casts.get(name, FloatType())).alias(name) for vendor, name in BAR_COLUMNS
     ]
 

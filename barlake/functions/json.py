@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from barlake.functions.columns import cleanse_string, to_float32
-from barlake.schemas import PROFILE_JSON
+from barlake.schemas import PROFILE_FIELDS, PROFILE_JSON
 
 
 def parse_json(doc: Column | str, schema: StructType) -> Column:
@@ -27,13 +27,11 @@ def parse_profile(info: Column | str) -> Column:
 
 
 def profile_columns(parsed: str = "parsed_info", ticker: str = "ticker") -> list[Column]:
-    """The six profile columns (PRJ-2, PRJ-5) with string cleansing."""
+    """The six profile columns (PRJ-2, PRJ-5): strings cleansed, the market cap
+    narrowed to FLOAT (D12)."""
     p = F.col(parsed)
-    return [
-        cleanse_string(F.col(ticker)).cast(StringType()).alias("ticker"),
-        cleanse_string(p.getField("longName")).alias("company_name"),
-        cleanse_string(p.getField("longBusinessSummary")).alias("business_summary"),
-        cleanse_string(p.getField("currency")).alias("currency"),
-        to_float32(p.getField("marketCap")).alias("market_cap"),
-        cleanse_string(p.getField("industry")).alias("industry"),
-    ]
+    out = [cleanse_string(F.col(ticker)).cast(StringType()).alias("ticker")]
+    for field, name in PROFILE_FIELDS:
+        value = p.getField(field)
+        out.append((to_float32(value) if name == "market_cap" else cleanse_string(value)).alias(name))
+    return out

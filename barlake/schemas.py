@@ -11,7 +11,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Vendor minute bars as they land (bronze.market_data_1m without the stamps).
+# Vendor minute bars as they land (bronze.market_data_1m without the stamps); the
+# column names are the vendor's (fixed values, see functions.columns.BAR_COLUMNS).
 LANDING_BARS = StructType(
     [
         StructField("Ticker", StringType()),
@@ -77,17 +78,21 @@ GOLD_METRICS = StructType(
     ]
 )
 
+# Profile JSON field -> silver column, and the field's JSON type.
+PROFILE_FIELDS = [
+    ("longName", "company_name"),
+    ("longBusinessSummary", "business_summary"),
+    ("currency", "currency"),
+    ("marketCap", "market_cap"),
+    ("industry", "industry"),
+]
+_PROFILE_FIELD_TYPES = {"marketCap": LongType()}
+
 # Only the five fields the profile job reads: parsing 144 fields to keep five
 # costs CPU per record and gives the same values (schema pruning does not reach
 # inside from_json when several fields are read).
 PROFILE_JSON = StructType(
-    [
-        StructField("longName", StringType()),
-        StructField("longBusinessSummary", StringType()),
-        StructField("currency", StringType()),
-        StructField("marketCap", LongType()),
-        StructField("industry", StringType()),
-    ]
+    [StructField(field, _PROFILE_FIELD_TYPES.get(field, StringType())) for field, _ in PROFILE_FIELDS]
 )
 
 # Business keys.
