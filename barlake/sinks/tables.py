@@ -20,13 +20,12 @@ window. Single writer per table.
 
 from __future__ import annotations
 
-import re
 import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,6 +207,11 @@ def _upsert_table(
     swap_partitions(spark, table, upsert(scoped, source, keys), partition_col)
 
 
+def _bare(path: str) -> str:
+    parsed = urlparse(path)
+    return parsed.netloc + parsed.path.rstrip("/")
+
+
 def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0) -> list[str]:
     """Delete version folders ``table`` no longer reads, once older than ``retain_hours``.
 
@@ -218,14 +222,17 @@ def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0
     before the last switch may still be reading. Returns the deleted folders.
     """
     location = table_location(spark, table)
-    in_use = set()
-    for f in spark.table(table).inputFiles():
-        m = re.search(r"/(_v/[^/]+|v-[^/]+)/", f)
-        if m:
-            in_use.add(m.group(1))
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     partitioned = details.filter("col_name = '# Partition Information'").count() > 0
     root = f"{location}/_v" if partitioned else location.rsplit("/", 1)[0]
+    # Version folder names in use: the path segment right below `root` of each file
+    # (paths compared without their scheme: `file:/x` and `file:///x` are the same).
+    prefix = _bare(root) + "/"
+    in_use = set()
+    for f in spark.table(table).inputFiles():
+        bare = _bare(f)
+        if bare.startswith(prefix):
+            in_use.add(bare[len(prefix) :].split("/", 1)[0])
     fs, jroot = _fs_and_path(spark, root)
     if not fs.exists(jroot):
         return []
@@ -236,7 +243,7 @@ def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0
         if not status.isDirectory():
             continue
         if partitioned:
-            unused = f"_v/{name}" not in in_use
+            unused = name not in in_use
         else:
             unused = name.startswith("v-") and name not in in_use and f"{root}/{name}" != location
         if unused and status.getModificationTime() < cutoff_ms:

@@ -95,3 +95,17 @@ def test_vacuum_unpartitioned(spark):
     assert len(deleted) == 2 and any(d.endswith("v-initial") for d in deleted)
     spark.catalog.refreshTable(table)
     assert [tuple(r) for r in spark.table(table).collect()] == [("a", 3)]
+
+
+def test_vacuum_with_version_like_names_in_the_path(spark):
+    from barlake.sinks import vacuum_versions
+
+    table = f"tx_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "tables") + "/v-2/data"
+    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
+    spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "k string, v int, p string").write.insertInto(table)
+    for v in (2, 3):
+        upsert_table(table, spark.createDataFrame([("a", v, "x")], "k string, v int, p string"), ["k", "p"], partition_col="p")
+    assert len(vacuum_versions(spark, table, retain_hours=0)) == 1
+    spark.catalog.refreshTable(table)
+    assert sorted(map(tuple, spark.table(table).collect())) == [("a", 3, "x"), ("b", 1, "y")]
