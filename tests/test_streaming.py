@@ -48,3 +48,16 @@ def test_batch_timestamp_is_the_load_time(spark):
     bronze = spark.table(lake.table("bronze", "market_data_1m"))
     stamps = bronze.select("load_dttm", "load_prdt").distinct().collect()
     assert len(stamps) == 1 and stamps[0].load_prdt == stamps[0].load_dttm.date()
+
+
+def test_stream_ingests_profile_documents_from_json(spark):
+    tag = uuid.uuid4().hex[:8]
+    lake = Lake(spark, scratch_path(spark, "stream-lake"), {k: f"{k}_{tag}" for k in ("bronze", "silver", "gold")})
+    lake.create()
+    landing = scratch_path(spark, "stream-landing")
+    docs = td.profile_docs(td.table(spark, SF, "customer"), td.table(spark, SF, "nation"))
+    docs.write.json(landing)
+    ingest_landing(lake, landing, "info", fmt="json", clock=lambda _b: "2024-02-01 06:30:00").awaitTermination()
+    bronze = spark.table(lake.table("bronze", "ticker_info"))
+    assert bronze.count() == docs.count()
+    assert bronze.select("info").exceptAll(docs.select("info")).count() == 0
