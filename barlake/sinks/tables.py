@@ -69,18 +69,21 @@ def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
         delete_path(spark, path)
 
 
-def touched_partitions(source: DataFrame, partition_col: str) -> Column | DataFrame:
+def touched_partitions(source: DataFrame, partition_col: str) -> Column | DataFrame | None:
     """Predicate on the partitions ``source`` holds, or (when there are too many to
-    list) the distinct partition values as a frame to semi-join against."""
+    list) the distinct partition values as a frame to semi-join against; None when
+    ``source`` has no rows."""
     values = source.select(partition_col).distinct()
     listed = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if not listed:
+        return None
     if len(listed) > MAX_LISTED_PARTITIONS:
         return values
     present = [v for v in listed if v is not None]
     preds = [F.col(partition_col).isin(present)] if present else []
     if len(present) < len(listed):
         preds.append(F.col(partition_col).isNull())
-    return reduce(lambda a, b: a | b, preds) if preds else F.lit(False)
+    return reduce(lambda a, b: a | b, preds)
 
 
 def _restrict(target: DataFrame, partition_col: str, scope: Column | DataFrame) -> DataFrame:
@@ -196,14 +199,20 @@ def _upsert_table(
     partition_filter: Column | None,
 ) -> None:
     spark = source.sparkSession
-    if source.isEmpty():  # the source is staged, so this reads one file footer
-        return
-    target = spark.table(table)
     if partition_col is None:
-        replace_table(spark, table, upsert(target, source, keys))
+        if source.isEmpty():  # the source is staged: this reads one file footer
+            return
+        replace_table(spark, table, upsert(spark.table(table), source, keys))
         return
-    scope = partition_filter if partition_filter is not None else touched_partitions(source, partition_col)
-    scoped = _restrict(target, partition_col, scope)
+    if partition_filter is None:
+        scope = touched_partitions(source, partition_col)
+        if scope is None:  # the source is empty
+            return
+    else:
+        if source.isEmpty():
+            return
+        scope = partition_filter
+    scoped = _restrict(spark.table(table), partition_col, scope)
     swap_partitions(spark, table, upsert(scoped, source, keys), partition_col)
 
 
