@@ -100,3 +100,16 @@ def test_lake_recovers_tables_into_a_fresh_catalog(spark):
         new = sorted(map(tuple, fresh.scan(layer, name).select(*lake.scan(layer, name).columns).collect()), key=str)
         assert new == old, (layer, name)
     assert fresh.scan("gold", "ticker_daily_metrics").filter("ticker = 'AAA'").first().daily_returns == pytest.approx(0.04)
+
+
+def test_partial_day_range_replaces_the_full_day_row(spark):
+    """D9: metrics of a range that cuts a day overwrite that day's stored row."""
+    lake = _lake(spark)
+    bars = [_bar("AAA", 30, 100.0, 101.0), _bar("AAA", 31, 101.0, 110.0)]
+    bronze_bars_job(lake, _landing(spark, bars, LANDING_BARS), "2024-01-02 18:00:00")
+    silver_bars_job(lake, "2024-01-02 18:00:00", "2024-01-02 18:00:00", "2024-01-02 18:05:00")
+    gold_metrics_job(lake, *DAY, "2024-01-02 18:10:00")
+    assert lake.scan("gold", "ticker_daily_metrics").first().daily_returns == pytest.approx(0.10)
+    gold_metrics_job(lake, "2024-01-02 00:00:00", "2024-01-02 09:30:59", "2024-01-02 18:20:00")  # first bar only
+    row = lake.scan("gold", "ticker_daily_metrics").first()
+    assert row.daily_returns == pytest.approx(0.01) and row.load_dttm == datetime(2024, 1, 2, 18, 20)
