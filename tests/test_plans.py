@@ -66,3 +66,15 @@ def test_upsert_has_no_full_outer_join(spark):
     s = spark.range(50, 150).select(F.col("id").alias("k"), F.lit(2).alias("v"))
     p = plan(upsert(t, s, ["k"]))
     assert "FullOuter" not in p
+
+
+def test_no_python_evaluation_in_registered_queries(spark):
+    """Every expression stays in the JVM: no Python UDF nodes in any plan."""
+    import __spark_entry__ as entry
+
+    writes = ("bronze_", "silver_", "gold_", "append_", "sql_over_tables")
+    for name, query in entry.queries().items():
+        if name.startswith(writes):
+            continue  # these run jobs eagerly and return a table scan
+        p = plan(query(spark, SF))
+        assert "EvalPython" not in p and "PythonUDF" not in p and "MapInPandas" not in p, name
