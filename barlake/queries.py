@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import testdata as td
@@ -57,7 +57,7 @@ NULL_KEY_EVERY = 17
 NULL_KEY_SPLIT_LO, NULL_KEY_SPLIT_HI = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 
 
-def _r6(c) -> F.Column:
+def _r6(c: str | Column) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
