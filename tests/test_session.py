@@ -28,3 +28,25 @@ def test_pin_session_uses_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     pin_session(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    """On a cluster an unset spark.checkpoint.dir must not fall back to a local temp folder."""
+    import pytest
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Context()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session())
