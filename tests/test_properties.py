@@ -74,3 +74,44 @@ def test_lower_bound_pushdown_never_changes_latest_record(spark, seed, lo, span)
         df.withColumn("rn", F.row_number().over(w)).filter(F.col("load_dttm").between(*bounds)).filter("rn = 1").drop("rn")
     )
     assert sorted(map(tuple, pushed.collect())) == sorted(map(tuple, reference.collect()))
+
+
+def _brute_force_metrics(rows):
+    """Direct computation of the definitions, in plain Python (prices as float32)."""
+    import math
+    import struct
+    from collections import defaultdict
+
+    def f32(x):
+        return None if x is None else struct.unpack("f", struct.pack("f", x))[0]
+
+    groups = defaultdict(list)
+    for ticker, ts, open_, close in rows:
+        if ticker is not None and ts is not None:
+            groups[(ticker, ts.date())].append((ts, open_, close))
+    out = {}
+    for key, bars in groups.items():
+        bars.sort(key=lambda b: b[0])
+        fo, lc = f32(bars[0][1]), f32(bars[-1][2])
+        ret = None if fo is None or lc is None or fo == 0 else f32(lc - fo) / fo
+        closes = [f32(b[2]) for b in bars if b[2] is not None]
+        if closes:
+            mean = sum(closes) / len(closes)
+            vol = math.sqrt(sum((c - mean) ** 2 for c in closes) / len(bars))
+        else:
+            vol = None
+        out[key] = (ret, vol)
+    return out
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 150))
+def test_daily_metrics_equals_brute_force(spark, seed, n):
+    rows = _bars(seed, n)
+    got = {(r.ticker, r.date): (r.daily_returns, r.daily_volatility)
+           for r in daily_metrics(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = _brute_force_metrics(rows)
+    assert got.keys() == want.keys()
+    for k in want:
+        for x, y in zip(got[k], want[k]):
+            assert (x is None and y is None) or x == pytest.approx(y, rel=1e-6, abs=1e-6)
