@@ -115,3 +115,49 @@ def test_daily_metrics_equals_brute_force(spark, seed, n):
     for k in want:
         for x, y in zip(got[k], want[k]):
             assert (x is None and y is None) or x == pytest.approx(y, rel=1e-6, abs=1e-6)
+
+
+def _merge_model(target, source):
+    """MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *, row by row.
+    Rows are (k, d, v); keys (k, d). Returns the rows, or None for the error case."""
+    from collections import defaultdict
+
+    def key(r):
+        return (r[0], r[1])
+
+    def null_key(r):
+        return r[0] is None or r[1] is None
+
+    by_key = defaultdict(list)
+    for s in source:
+        if not null_key(s):
+            by_key[key(s)].append(s)
+    target_keys = {key(t) for t in target if not null_key(t)}
+    if any(len(rows) > 1 and k in target_keys for k, rows in by_key.items()):
+        return None
+    out = [t if null_key(t) or key(t) not in by_key else by_key[key(t)][0] for t in target]
+    out += [s for s in source if null_key(s) or key(s) not in target_keys]
+    return sorted(out, key=str)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000))
+def test_upsert_equals_row_by_row_merge(spark, seed):
+    from pyspark.errors import PySparkException
+
+    rng = random.Random(seed)
+
+    def row():
+        k = None if rng.random() < 0.1 else rng.choice("abcdef")
+        return (k, rng.randrange(2), rng.randrange(100))
+
+    target = [row() for _ in range(rng.randrange(0, 25))]
+    source = [row() for _ in range(rng.randrange(0, 15))]
+    schema = "k string, d int, v int"
+    want = _merge_model(target, source)
+    merged = upsert(spark.createDataFrame(target, schema), spark.createDataFrame(source, schema), ["k", "d"])
+    if want is None:
+        with pytest.raises(PySparkException):
+            merged.collect()
+    else:
+        assert sorted(map(tuple, merged.collect()), key=str) == want
