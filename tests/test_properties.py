@@ -75,6 +75,17 @@ def test_lower_bound_pushdown_never_changes_latest_record(spark, seed, lo, span)
     )
     assert sorted(map(tuple, pushed.collect())) == sorted(map(tuple, reference.collect()))
 
+    # And a plain-Python model of D1: newest load per key (nulls last, then v), kept
+    # only when its load time lies in the range.
+    lo, hi = datetime(2024, 1, lo), datetime(2024, 1, min(lo + span, 28), 23, 59, 59)
+    newest = {}
+    for k, v, t in rows:
+        rank = (t is not None, t or datetime.min, v)
+        if k not in newest or rank > newest[k][0]:
+            newest[k] = (rank, (k, v, t))
+    model = sorted(r for _, r in newest.values() if r[2] is not None and lo <= r[2] <= hi)
+    assert sorted(map(tuple, pushed.collect())) == model
+
 
 def _brute_force_metrics(rows):
     """Direct computation of the definitions, in plain Python (prices as float32)."""
