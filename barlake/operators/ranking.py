@@ -14,9 +14,9 @@ from barlake.session import shared_dir
 ROW_NUMBER = "row_number"
 
 
-# Most hot groups handled by range numbering. Slices are consecutive ranges of the
-# sorted rows, so the broadcast offsets table has at most (hot groups + slices - 1)
-# rows, one per (group, slice) pair.
+# Most groups numbered in parallel slices (the largest ones first; the rest use the
+# window). Slices are consecutive ranges of the sorted rows, so the broadcast
+# offsets table has at most (hot groups + slices - 1) rows, one per (group, slice).
 MAX_HOT_GROUPS = 1_000
 
 
@@ -38,21 +38,27 @@ def row_number_by(
     over every order column (WIN-1, WIN-2).
 
     A window numbers each group in one task. With ``hot_rows``, groups larger than
-    that are numbered by :func:`_range_row_number` instead, spread over many tasks;
-    the others still use the window. Finding the hot groups costs one extra
-    key-only aggregation.
+    that (the largest :data:`MAX_HOT_GROUPS` of them) are numbered by
+    :func:`_range_row_number` instead, spread over many tasks; the others still use
+    the window. Both are exact. Finding the hot groups costs one extra key-only
+    aggregation.
     """
     ordering = _ordering(order_cols, order)
     window = Window.partitionBy(*[F.col(c) for c in partition_cols]).orderBy(*ordering)
     if hot_rows is None:
         return df.withColumn(name, F.row_number().over(window))
     sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
-    hot = sizes.filter(F.col("_group_rows") > hot_rows).select(*partition_cols)
-    hot_keys = hot.limit(MAX_HOT_GROUPS + 1).collect()
+    # The largest groups above the threshold, at most MAX_HOT_GROUPS of them; any
+    # further large group is numbered by the window, which is exact at any size.
+    hot = (
+        sizes.filter(F.col("_group_rows") > hot_rows)
+        .orderBy(F.col("_group_rows").desc())
+        .limit(MAX_HOT_GROUPS)
+        .select(*partition_cols)
+    )
+    hot_keys = hot.collect()
     if not hot_keys:
         return df.withColumn(name, F.row_number().over(window))
-    if len(hot_keys) > MAX_HOT_GROUPS:
-        raise ValueError(f"more than {MAX_HOT_GROUPS} groups above {hot_rows} rows: raise hot_rows")
     # At most MAX_HOT_GROUPS rows: broadcast for a null-safe semi/anti split.
     hot_table = F.broadcast(
         df.sparkSession.createDataFrame(hot_keys, hot.schema).select(

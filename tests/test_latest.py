@@ -135,3 +135,14 @@ def test_duplicate_rows_in_one_load_give_one_latest_row(spark):
     """D17: a bar delivered twice in one load appears twice in bronze, once after ranking."""
     df = spark.createDataFrame([("K", "v1", d(1)), ("K", "v1", d(1))], SCHEMA)
     assert latest_record(df, ["k"]).count() == 1
+
+
+def test_more_hot_groups_than_the_limit_stays_exact(spark, monkeypatch):
+    from barlake.operators import ranking
+
+    monkeypatch.setattr(ranking, "MAX_HOT_GROUPS", 1)
+    rows = [("a", i, 0.0) for i in range(400)] + [("b", i, 0.0) for i in range(300)] + [("c", 1, 0.0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    split = row_number_by(df, ["k"], ["t"], "asc", hot_rows=100)  # a and b are hot; only a takes the slices
+    plain = row_number_by(df, ["k"], ["t"], "asc")
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
