@@ -15,6 +15,7 @@ identical rows, of which silver keeps one (latest record, D17).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime
 
@@ -59,9 +60,12 @@ def ingest_landing(
         stamped = batch if clock is None else stamp(batch, clock(batch_id), with_date=True)
         append_partitioned(stamped, table, "load_prdt", location)
 
+    # One checkpoint per (kind, landing folder): it records which files of that folder were loaded.
+    landing_id = hashlib.sha1(landing.encode()).hexdigest()[:16]
+    default_checkpoint = f"{lake.root.rstrip('/')}/_streams/{kind}/{landing_id}"
     return (
         stream.writeStream.foreachBatch(load_batch)
-        .option("checkpointLocation", checkpoint or f"{lake.root.rstrip('/')}/_streams/{kind}")
+        .option("checkpointLocation", checkpoint or default_checkpoint)
         .trigger(availableNow=True)
         .start()
     )
