@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 from barlake.plans import jobs
 from barlake.session import pin_session, tune_for_scale
 from barlake.sinks.tables import vacuum_versions
+from barlake.streaming import ingest_landing
 from barlake.sources.catalog import BARS_SILVER, METRICS_GOLD, PROFILE_SILVER, Lake
 from barlake.sources.landing import period_start
 
@@ -29,7 +30,11 @@ from barlake.sources.landing import period_start
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="barlake")
     p.add_argument(
-        "job", choices=["bronze-bars", "bronze-info", "silver-bars", "silver-profile", "gold-metrics", "vacuum"]
+        "job",
+        choices=[
+            "bronze-bars", "bronze-info", "ingest-bars", "ingest-info",
+            "silver-bars", "silver-profile", "gold-metrics", "vacuum",
+        ],
     )
     p.add_argument("--root", required=True, help="shared folder holding the layer tables")
     p.add_argument("--catalog", default=None, help="catalog to USE before creating the layers")
@@ -53,8 +58,13 @@ def main(argv: list[str] | None = None) -> None:
     tune_for_scale(spark)
     lake = Lake(spark, args.root, catalog=args.catalog).create()
     load_dttm = args.load_dttm or datetime.now(timezone.utc).replace(tzinfo=None)
-    if args.job in ("bronze-bars", "bronze-info") and not args.landing:
+    if args.job in ("bronze-bars", "bronze-info", "ingest-bars", "ingest-info") and not args.landing:
         raise SystemExit("--landing is required for bronze jobs")
+    if args.job in ("ingest-bars", "ingest-info"):
+        # Incremental: only files of the landing folder not loaded before, one load per micro-batch.
+        kind = "bars" if args.job == "ingest-bars" else "info"
+        ingest_landing(lake, args.landing, kind, fmt=args.format).awaitTermination()
+        return
     if args.job == "bronze-bars":
         since = args.since
         if args.period and since is None:
