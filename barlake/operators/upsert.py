@@ -12,16 +12,17 @@ INSERT *`` means, row by row:
 The result is a union of one-sided pieces, never a full outer join:
 
 * current: every target row, replaced by its source row when the key matches
-  (left outer join of whole target rows to the source rows);
+  (left outer join of whole target rows to the source rows whose key is unique);
 * inserted: source rows whose key is not in the target (left-anti join against the
   distinct target keys);
 * conflicts: source keys repeated and present in the target, which raise;
 * rows with a null key on either side, which can never match and skip the joins,
   so a flood of null keys never lands in one reducer.
 
-AQE can split a skewed partition on the left side of both joins, so a key holding
-a third of the target (or, for inserts, of the source) is spread over many tasks; a
-full outer join cannot be split. The target side carries whole rows, so a hot key
+AQE can split a skewed partition on the left side of the joins, so a key holding a
+third of the target (or, for inserts, of the source) is spread over many tasks,
+and the right side of the outer join holds at most one source row per key; a full
+outer join cannot be split. The target side carries whole rows, so a hot key
 also shows up in the shuffle sizes AQE measures (a keys-only shuffle of identical
 keys compresses to nearly nothing). Key counts and distinct keys are partial
 aggregates.
@@ -67,10 +68,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     source_keyed, source_null = source.filter(~null_key), source.filter(null_key)
 
     non_keys = [c for c in columns if c not in keys]
+    # Source keys that occur more than once: a partial aggregate, normally empty.
+    repeated = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n")).filter(F.col("_s_n") > 1)
+    # A repeated key either hits the target (an error, below) or is inserted, so the
+    # update side needs only source rows with a unique key: at most one per key, so
+    # no source key can pile up in one task of the outer join.
+    unique_source = source_keyed.join(repeated.select(*keys), on=keys, how="left_anti")
     # Kept and updated rows in one pass: every target row, with its source row when
     # the key matches. The target side carries whole rows, so a hot key shows up in
     # the shuffle sizes and AQE splits it (left side of a left outer join).
-    incoming = source_keyed.select(
+    incoming = unique_source.select(
         *keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys], F.lit(True).alias("_matched")
     )
     matched = F.col("_matched").isNotNull()
@@ -84,10 +91,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     target_keys = target_keyed.select(*keys).distinct()
     inserted = source_keyed.join(target_keys, on=keys, how="left_anti")
     # D11: a key repeated in the source and present in the target is an error. The
-    # repeated keys come from a partial aggregate (normally none); the branch
-    # yields no row unless there is one, and then raises.
-    repeated = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n")).filter(F.col("_s_n") > 1)
-    # The raise depends on the row, so it runs only for a conflicting key.
+    # branch yields no row unless there is one, and then raises; the raise depends
+    # on the row, so it runs only for a conflicting key.
     error = F.when(
         F.col("_s_n") > 1, F.raise_error(F.lit("upsert: several source rows match the same target row"))
     )
