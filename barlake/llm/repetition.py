@@ -141,6 +141,8 @@ def _repeat_words(ids: np.ndarray, doc: np.ndarray, end: np.ndarray, docs: int)
     bucket = (mixed >> np.uint64(42)).astype(np.int64)
     some = np.bincount(bucket, minlength=1 << 22)[bucket] > 1
     at, pair = at[some], pair[some]
+    if not len(at):
+        return np.zeros(docs, np.int64)
     order = np.lexsort((ids[at + 2], pair, doc[at]))
     at, pair = at[order], pair[order]
     same = (pair[1:] == pair[:-1]) & (ids[at[1:] + 2] == ids[at[:-1] + 2]) & (doc[at[1:]] == doc[at[:-1]])
