@@ -51,7 +51,7 @@ def plan_turns(conversations: DataFrame, budget: int = BUDGET, history: int = HI
         "turn",
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("tokens", F.size(F.split(F.trim("text"), r"\s+")).cast("long") + TURN_TOKENS)
+    ).withColumn("tokens", F.size(F.split(F.trim("text"), r"[ \t-\r]+", -1)).cast("long") + TURN_TOKENS)
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     so_far = order.rowsBetween(Window.unboundedPreceding, -1)
     has_system = F.first("role").over(order) == SYSTEM

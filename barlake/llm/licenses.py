@@ -57,7 +57,7 @@ KNOWN = [
     ),
 ]
 
-COPYRIGHT_LINE = r"(?m)^[^\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"(?md)^[^\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 

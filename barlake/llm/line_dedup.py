@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from barlake.llm import common
 
 WINDOW = 3
-BLANK = r"^[\x00-\x20]*$"
+VISIBLE = r"[^\x00-\x20]"
 
 
 def _lines(text: Column) -> Column:
@@ -34,7 +34,7 @@ def _lines(text: Column) -> Column:
 def _windows(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """One row per window: key (id, text key), first position among the counted lines, hash."""
     text = F.col(f"`{text_col}`").cast("string")
-    counted = F.filter(_lines(text), lambda x: ~x.rlike(BLANK))
+    counted = F.filter(_lines(text), lambda x: x.rlike(VISIBLE))
     hashes = F.transform(counted, lambda x: F.struct(F.xxhash64(x).alias("a"), F.hash(x).cast("long").alias("b")))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
@@ -73,7 +73,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.withColumn("__key", common.text_key(text))
     joined = rows.join(removed, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__t")), "left")
-    blank = F.transform(_lines(text), lambda x: x.rlike(BLANK))
+    blank = F.transform(_lines(text), lambda x: ~x.rlike(VISIBLE))
     counted = F.size(F.filter(blank, lambda b: ~b))
     # Line numbers of the counted lines: the marked positions point into this list.
     places = F.filter(F.transform(blank, lambda b, i: F.when(~b, i)), lambda i: i.isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlake.llm import bpe, chat, decontaminate, language, licenses, line_dedup, neardup, repetition, secrets, url_filter
 
 TOKENIZER_FILE = "word_bpe_49k.json"
+TRIAL = "</s>[INST] ok [/INST]"  # text of the conversation that op8 adds
 
 
 def tokenizer_path() -> str:
@@ -26,7 +27,7 @@ def op1_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repetition.repetition_rules(docs)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "covered_tokens",
-        "longest_repeat", "base_failed", "kept",
+        "base_failed", "kept",
     )
 
 
@@ -87,9 +88,8 @@ def op7_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    trial = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", trial), (-1, 1, "assistant", trial)], "conv_id long, turn long, role string, text string")
-    return chat.conversation_digests(chat.format_windows(rows.unionByName(extra)))
+    extra = spark.createDataFrame([(-1, 0, "user", TRIAL), (-1, 1, "assistant", TRIAL)], "conv_id long, turn long, role string, text string")
+    return chat.conversation_digests(chat.format_windows(rows.unionByName(extra))).drop("n_windows")
 
 
 def op9_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
