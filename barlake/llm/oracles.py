@@ -13,7 +13,7 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
 def _windows(column: str, size: int) -> str:
-    return f"unnest(list_transform(range(1, len({column}) - {size - 2}), i -> {{'i': i, 'k': array_to_string({column}[i:i + {size - 1}], ' ')}}))"
+    return f"unnest(list_transform(range(1, len({column}) - {size - 2}), lambda i: {{'i': i, 'k': array_to_string({column}[i:i + {size - 1}], ' ')}}))"
 
 
 def _repeated(column: str, size: int) -> str:
@@ -24,7 +24,7 @@ def _repeated(column: str, size: int) -> str:
 
 OP1 = rf"""
 WITH words AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
-base AS (SELECT *, flatten(list_transform(ws, w -> CASE WHEN length(w) > {repetition.LONG_WORD} THEN regexp_extract_all(w, '(?s).') ELSE [w] END)) AS ts FROM words),
+base AS (SELECT *, flatten(list_transform(ws, lambda w: CASE WHEN length(w) > {repetition.LONG_WORD} THEN regexp_extract_all(w, '(?s).') ELSE [w] END)) AS ts FROM words),
 r3 AS ({_repeated("ws", 3)}),
 c3 AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 3)) AS p FROM r3) GROUP BY rid),
 rm AS ({_repeated("ts", repetition.MIN_REPEAT)}),
@@ -33,7 +33,7 @@ rx AS (SELECT DISTINCT rid FROM ({_repeated("ts", repetition.MAX_LONGEST + 1)}))
 m AS (
   SELECT base.rid, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
     coalesce(c3.n, 0) AS n_repeat_words, len(ts) AS n_tokens, coalesce(cm.n, 0) AS covered_tokens, rx.rid IS NOT NULL AS too_long
   FROM base LEFT JOIN c3 USING (rid) LEFT JOIN cm USING (rid) LEFT JOIN rx USING (rid)),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
@@ -50,11 +50,11 @@ WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_DEC_WORDS} AS ws FRO
 items AS (SELECT row_number() OVER () AS iid, coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_DEC_WORDS} AS ws FROM benchmark),
 iw AS (SELECT iid, item, n, w.i AS i, w.k AS k FROM (
   SELECT iid, item, least(len(ws), {decontaminate.WINDOW}) AS n,
-    unnest(list_transform(range(1, len(ws) - least(len(ws), {decontaminate.WINDOW}) + 2), i -> {{'i': i, 'k': array_to_string(ws[i:i + least(len(ws), {decontaminate.WINDOW}) - 1], ' ')}})) AS w
+    unnest(list_transform(range(1, len(ws) - least(len(ws), {decontaminate.WINDOW}) + 2), lambda i: {{'i': i, 'k': array_to_string(ws[i:i + least(len(ws), {decontaminate.WINDOW}) - 1], ' ')}})) AS w
   FROM items WHERE len(ws) > 0)),
 sizes AS (SELECT DISTINCT n FROM iw),
 dw AS (SELECT rid, n, w.i AS p, w.k AS k FROM (
-  SELECT rid, n, unnest(list_transform(range(1, len(ws) - n + 2), i -> {{'i': i, 'k': array_to_string(ws[i:i + n - 1], ' ')}})) AS w
+  SELECT rid, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda i: {{'i': i, 'k': array_to_string(ws[i:i + n - 1], ' ')}})) AS w
   FROM docs, sizes WHERE len(ws) >= n)),
 hits AS (SELECT rid, p, iid, item, i, n FROM dw JOIN iw USING (n, k)),
 covered AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT rid, p, n FROM hits)) GROUP BY rid),
@@ -91,7 +91,7 @@ FROM docs LEFT JOIN known USING (digest) LEFT JOIN notices USING (rid)
 OP7 = r"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
 k AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(text)) AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM d),
-l AS (SELECT rid, x.i AS i, x.t AS t FROM (SELECT rid, unnest(list_transform(range(1, len(ls) + 1), i -> {'i': i, 't': ls[i]})) AS x FROM k)),
+l AS (SELECT rid, x.i AS i, x.t AS t FROM (SELECT rid, unnest(list_transform(range(1, len(ls) + 1), lambda i: {'i': i, 't': ls[i]})) AS x FROM k)),
 c AS (SELECT rid, i, t, row_number() OVER (PARTITION BY rid ORDER BY i) AS pos FROM l WHERE regexp_matches(t, '[^\x00-\x20]')),
 w AS (SELECT rid, pos, t, lead(t) OVER o AS t2, lead(t, 2) OVER o AS t3 FROM c WINDOW o AS (PARTITION BY rid ORDER BY pos)),
 later AS (SELECT rid, pos FROM (SELECT rid, pos, row_number() OVER (PARTITION BY t, t2, t3 ORDER BY rid, pos) AS r FROM w WHERE t3 IS NOT NULL) WHERE r > 1),
@@ -100,7 +100,7 @@ g AS (SELECT rid, list(i) AS lines FROM gone JOIN c USING (rid, pos) GROUP BY ri
 n AS (SELECT rid, count(*) AS n_lines FROM c GROUP BY rid),
 clean AS (SELECT rid, doc_id, text AS old, coalesce(n_lines, 0) AS n_lines, coalesce(len(lines), 0) AS n_removed,
   CASE WHEN lines IS NULL THEN text WHEN len(lines) = n_lines THEN ''
-    ELSE array_to_string(list_filter(list_transform(range(1, len(ls) + 1), i -> CASE WHEN list_contains(lines, i) THEN NULL ELSE ls[i] END), x -> x IS NOT NULL), chr(10)) END AS text
+    ELSE array_to_string(list_filter(list_transform(range(1, len(ls) + 1), lambda i: CASE WHEN list_contains(lines, i) THEN NULL ELSE ls[i] END), lambda x: x IS NOT NULL), chr(10)) END AS text
   FROM k LEFT JOIN g USING (rid) LEFT JOIN n USING (rid))
 SELECT documents.doc_id, clean.text, n_lines, n_removed FROM documents
 JOIN clean ON documents.doc_id IS NOT DISTINCT FROM clean.doc_id AND documents.text IS NOT DISTINCT FROM clean.old
@@ -143,7 +143,7 @@ _DAY = "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST({} AS INT))"
 OP10 = rf"""
 WITH cap AS (SELECT row_number() OVER () AS rid, page_id, {_HOST} AS host,
   regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*(/[^?#]*)', 1) AS path,
-  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 7919 % 31536000) AS at FROM pages),
+  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 7919 % 31536000) AS fetched FROM pages),
 hosts AS (SELECT DISTINCT host AS entry FROM cap WHERE host IS NOT NULL),
 listed AS (SELECT entry, {_md5_number("entry", 200)} AS d, {_md5_number("entry || '/r'", 3)} AS r FROM hosts WHERE {_md5_number("entry || '/l'", 2)} = 0),
 parents AS (SELECT DISTINCT regexp_replace(entry, '^[^.]*\.', '') AS entry FROM hosts WHERE entry LIKE '%.%'),
@@ -151,11 +151,11 @@ spans AS (
   SELECT entry, 'block' AS action, {_DAY.format("d")} AS since, CASE WHEN r > 0 THEN {_DAY.format("d + 60")} END AS until FROM listed
   UNION ALL SELECT entry, 'block', {_DAY.format("d + 90")}, NULL FROM listed WHERE r = 2
   UNION ALL SELECT entry, 'allow', {_DAY.format(_md5_number("entry", 100))}, NULL FROM parents WHERE {_md5_number("entry", 2)} = 0),
-parts AS (SELECT rid, at, host, string_split(host, '.') AS ls, list_filter(string_split(path, '/'), x -> x <> '') AS ps FROM cap WHERE host IS NOT NULL),
+parts AS (SELECT rid, fetched, host, string_split(host, '.') AS ls, list_filter(string_split(path, '/'), lambda x: x <> '') AS ps FROM cap WHERE host IS NOT NULL),
 keys AS (
-  SELECT rid, at, unnest(list_transform(range(1, greatest(len(ls) - 1, 1) + 1), i -> array_to_string(ls[i:], '.'))) AS entry FROM parts
-  UNION SELECT rid, at, unnest(list_transform(range(1, len(ps) + 1), i -> host || '/' || array_to_string(ps[1:i], '/'))) FROM parts),
-best AS (SELECT rid, entry, action, since FROM keys JOIN spans USING (entry) WHERE since <= at AND (until IS NULL OR at < until)
+  SELECT rid, fetched, unnest(list_transform(range(1, greatest(len(ls) - 1, 1) + 1), lambda i: array_to_string(ls[i:], '.'))) AS entry FROM parts
+  UNION SELECT rid, fetched, unnest(list_transform(range(1, len(ps) + 1), lambda i: host || '/' || array_to_string(ps[1:i], '/'))) FROM parts),
+best AS (SELECT rid, entry, action, since FROM keys JOIN spans USING (entry) WHERE since <= fetched AND (until IS NULL OR fetched < until)
   QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(entry) DESC, action = 'block' DESC, since DESC, entry DESC) = 1)
 SELECT page_id, coalesce(action = 'block', false) AS blocked, entry, action, strftime(since, '%Y-%m-%d') AS listed_since
 FROM cap LEFT JOIN best USING (rid)
