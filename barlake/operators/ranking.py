@@ -14,12 +14,6 @@ from barlake.session import shared_dir
 ROW_NUMBER = "row_number"
 
 
-# Most groups numbered in parallel slices (the largest ones first; the rest use the
-# window). Slices are consecutive ranges of the sorted rows, so the broadcast
-# offsets table has at most (hot groups + slices - 1) rows, one per (group, slice).
-MAX_HOT_GROUPS = 1_000
-
-
 def _ordering(order_cols: list[str], order: str) -> list[Column]:
     if order not in ("asc", "desc"):
         raise ValueError(f"order must be 'asc' or 'desc', got {order!r}")
@@ -32,93 +26,80 @@ def row_number_by(
     order_cols: list[str],
     order: str = "asc",
     name: str = ROW_NUMBER,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Row number per partition, ascending (nulls first) or descending (nulls last)
-    over every order column (WIN-1, WIN-2).
+    over every order column (WIN-1, WIN-2); ties in any order.
 
-    A window numbers each group in one task. With ``hot_rows``, groups larger than
-    that (the largest :data:`MAX_HOT_GROUPS` of them) are numbered by
-    :func:`_range_row_number` instead, spread over many tasks; the others still use
-    the window. Both are exact. Finding the hot groups costs one extra key-only
-    aggregation.
+    One path for groups of every size. Range partitioning on (keys, order, a unique
+    row number) cuts the sorted rows into slices of about equal size, so a group (or one repeated
+    order value) that holds a third of the rows is spread over many tasks; adaptive execution sizes
+    the slices from the shuffled bytes. A window numbers the rows
+    of each (slice, group). Only the first group of a slice can have begun in an
+    earlier slice, so there is one offset per slice: the group's rows before it.
+
+    Range bounds come from a sample drawn per shuffle, so the slices are fixed once, by
+    a checkpoint in the shared folder, before they are numbered.
     """
     ordering = _ordering(order_cols, order)
-    window = Window.partitionBy(*[F.col(c) for c in partition_cols]).orderBy(*ordering)
-    if hot_rows is None:
-        return df.withColumn(name, F.row_number().over(window))
-    sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
-    # The largest groups above the threshold, at most MAX_HOT_GROUPS of them; any
-    # further large group is numbered by the window, which is exact at any size.
-    hot = (
-        sizes.filter(F.col("_group_rows") > hot_rows)
-        .orderBy(F.col("_group_rows").desc())
-        .limit(MAX_HOT_GROUPS)
-        .select(*partition_cols)
-    )
-    hot_keys = hot.collect()
-    if not hot_keys:
-        return df.withColumn(name, F.row_number().over(window))
-    # At most MAX_HOT_GROUPS rows: broadcast for a null-safe semi/anti split.
-    hot_table = F.broadcast(
-        df.sparkSession.createDataFrame(hot_keys, hot.schema).select(
-            *[F.col(c).alias(f"_hot{i}") for i, c in enumerate(partition_cols)]
-        )
-    )
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_hot{i}")) for i, c in enumerate(partition_cols)])
-    cold = df.join(hot_table, match, "left_anti").withColumn(name, F.row_number().over(window))
-    hot_rows_df = df.join(hot_table, match, "left_semi")
-    return cold.unionByName(_range_row_number(hot_rows_df, partition_cols, ordering, name))
-
-
-def _range_row_number(df: DataFrame, keys: list[str], ordering: list[Column], name: str) -> DataFrame:
-    """Exact row numbers for a few very large groups, computed in parallel.
-
-    Range partitioning on (keys, ordering) cuts a large group into consecutive
-    slices held by different tasks; sorted within each task, a group's rows form
-    one contiguous run, so ``monotonically_increasing_id`` minus the run's first id
-    numbers them inside the slice. A slice's offset is the number of the group's
-    rows in earlier slices: a running sum over a table of (group, slice) counts.
-    Slices are consecutive ranges, so that table has at most groups + slices - 1
-    rows, small enough to broadcast.
-    """
-    sort_keys = [F.col(k).asc() for k in keys] + ordering
-    slices_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices_n, *sort_keys).sortWithinPartitions(*sort_keys)
-    # Range bounds come from a sample seeded per shuffle, so two evaluations may cut
-    # the slices differently: slice and position are fixed once, in a reliable
-    # checkpoint in the shared folder, and both uses below read that.
+    keys = [F.col(c) for c in partition_cols]
     shared_dir(df.sparkSession)
-    tagged = (
-        ranged.withColumn("_slice", F.spark_partition_id())
+    sort_keys = [k.asc() for k in keys] + ordering + [F.col("_row").asc()]
+    sliced = (
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(*sort_keys)
+        .sortWithinPartitions(*sort_keys)
+        .withColumn("_slice", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    slices = tagged.groupBy(*keys, "_slice").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_len"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
-        F.col("_slice").alias("_of_slice"),
-        "_first",
-        F.coalesce(F.sum("_len").over(before), F.lit(0)).alias("_offset"),
+    within = Window.partitionBy("_slice", *keys).orderBy("_pos")
+    numbered = sliced.withColumn("_in_slice", F.row_number().over(within))
+    joined = numbered.join(F.broadcast(_slice_offsets(sliced, partition_cols)), "_slice", "left")
+    begun = reduce(lambda a, b: a & b, [k.eqNullSafe(F.col(f"_key.k{i}")) for i, k in enumerate(keys)])
+    before = F.when(begun, F.col("_before")).otherwise(0)
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_in_slice") + before).cast("int").alias(name)
     )
-    cond = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)] + [F.col("_slice") == F.col("_of_slice")],
+
+
+def _slice_offsets(sliced: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """One row per slice: its first group (``_key``) and that group's rows in earlier slices.
+
+    In every earlier slice that holds it, that group is the last one: its offset is the sum of
+    its row counts there. The table has one row per slice, whatever the data.
+    """
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(partition_cols)])
+    ends = sliced.groupBy("_slice").agg(F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
+    edge = sliced.join(F.broadcast(ends), "_slice")
+    first = edge.where("_pos = _lo").select("_slice", key.alias("_key"))
+    last = edge.where("_pos = _hi").select("_slice", key.alias("_last"))
+    rows = sliced.join(F.broadcast(last), "_slice").where(key.eqNullSafe(F.col("_last")))
+    held = rows.groupBy("_slice", F.col("_last").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    both = held.select("_slice", "_key", "_n", F.lit(False).alias("_ask")).union(
+        first.select("_slice", "_key", F.lit(0).cast("long"), F.lit(True))
+    )
+    earlier = Window.partitionBy("_key").orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    return (
+        both.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .where("_ask")
+        .select("_slice", "_key", "_before")
     )
-    joined = tagged.join(F.broadcast(offsets), cond, "inner")
-    numbered = joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
-    return numbered.select(*df.columns, name)
 
 
 def _rank_one(df: DataFrame, partition_cols: list[str], order_cols: list[str], order: str) -> DataFrame:
     # `row_number = 1` right above the window lets Catalyst insert a partial
     # WindowGroupLimit before the shuffle: each map task sends at most one row per
     # group, so a hot group cannot flood one reducer.
-    ranked = row_number_by(df, partition_cols, order_cols, order, name="_rn")
+    ranked = df.withColumn("_rn", _plain_row_number(partition_cols, order_cols, order))
     return ranked.filter(F.col("_rn") == 1).drop("_rn")
 
 
+def _plain_row_number(partition_cols: list[str], order_cols: list[str], order: str) -> Column:
+    """Row number by a window, for ranks that a filter right above limits to the first."""
+    window = Window.partitionBy(*[F.col(c) for c in partition_cols]).orderBy(*_ordering(order_cols, order))
+    return F.row_number().over(window)
+
+
 def first_per_group(df: DataFrame, partition_cols: list[str], order_cols: list[str]) -> DataFrame:
     """First row per group in ascending order (TOP-1)."""
     return _rank_one(df, partition_cols, order_cols, "asc")
@@ -156,7 +137,7 @@ def latest_record(
         df = df.filter(F.col(time_col) >= lo)
         if date_partition_col is not None:
             df = df.filter(F.col(date_partition_col) >= F.to_date(lo))
-    ranked = row_number_by(df, keys, order_cols, "desc", name="_rn")
+    ranked = df.withColumn("_rn", _plain_row_number(keys, order_cols, "desc"))
     if ranged:
         ranked = ranked.filter(
             F.col(time_col).between(typed_bound(df, time_col, start), typed_bound(df, time_col, end))
