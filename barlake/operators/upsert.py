@@ -14,18 +14,18 @@ The result is a union of one-sided pieces, never a full outer join:
 * current: every target row, replaced by its source row when the key matches
   (left outer join of whole target rows to the source rows whose key is unique);
 * inserted: source rows whose key is not in the target (left-anti join against the
-  distinct target keys);
+  target keys);
 * conflicts: source keys repeated and present in the target, which raise;
 * rows with a null key on either side, which can never match and skip the joins,
   so a flood of null keys never lands in one reducer.
 
 AQE can split a skewed partition on the left side of the joins, so a key holding a
-third of the target (or, for inserts, of the source) is spread over many tasks,
-and the right side of the outer join holds at most one source row per key; a full
-outer join cannot be split. The target side carries whole rows, so a hot key
-also shows up in the shuffle sizes AQE measures (a keys-only shuffle of identical
-keys compresses to nearly nothing). Key counts and distinct keys are partial
-aggregates.
+third of the target (or, for inserts, of the source) is spread over many tasks;
+``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set by barlake's session defaults) lets
+it do so where another join on the same keys would otherwise need one more shuffle. The
+right side of the outer join holds at most one source row per key. The target side
+carries whole rows, so a hot key also shows up in the shuffle sizes AQE measures. Key
+counts are partial aggregates.
 """
 
 from __future__ import annotations
@@ -87,17 +87,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
             for c in columns
         ]
     )
-    # Distinct target keys: a partial aggregate, so a hot key costs one row per map task.
-    target_keys = target_keyed.select(*keys).distinct()
+    # An anti or semi join tolerates repeated target keys: no distinct is needed.
+    target_keys = target_keyed.select(*keys)
     inserted = source_keyed.join(target_keys, on=keys, how="left_anti")
-    # D11: a key repeated in the source and present in the target is an error. The
-    # branch yields no row unless there is one, and then raises; the raise depends
-    # on the row, so it runs only for a conflicting key.
-    error = F.when(
-        F.col("_s_n") > 1, F.raise_error(F.lit("upsert: several source rows match the same target row"))
-    )
-    conflicts = repeated.join(target_keys, on=keys, how="left_semi").select(
-        *[error.cast(f.dataType).alias(f.name) for f in target.schema.fields]
+    # D11: a key repeated in the source and present in the target is an error. The raise
+    # sits in a filter, which column pruning cannot drop: a count or a one-column select
+    # raises as well.
+    # It reads an aggregate over the join, so it cannot be pushed below the join either.
+    hit = repeated.join(target_keys, on=keys, how="left_semi").groupBy(*keys).agg(F.sum("_s_n").alias("_hits"))
+    error = F.raise_error(F.lit("upsert: several source rows match the same target row")).cast("boolean")
+    conflicts = hit.where(F.when(F.col("_hits") > 1, error).otherwise(F.lit(False))).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
     return (
         current.unionByName(inserted)

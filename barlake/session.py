@@ -16,6 +16,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -28,14 +29,28 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 
-def tune_for_scale(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
-    """Apply :data:`SCALE_DEFAULTS` for keys the submitter did not set."""
+ADVISORY_BYTES = 256 << 20
+
+
+def tune_for_scale(
+    spark: SparkSession, overrides: dict[str, str] | None = None, input_bytes: int | None = None
+) -> None:
+    """Apply :data:`SCALE_DEFAULTS` for keys the submitter did not set.
+
+    ``input_bytes`` (what the job is about to shuffle) raises the initial number of shuffle
+    partitions so that each gets about the advisory size.
+    """
     submitted = spark.sparkContext.getConf()
-    for key, value in {**SCALE_DEFAULTS, **(overrides or {})}.items():
+    defaults = dict(SCALE_DEFAULTS)
+    if input_bytes is not None:
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        defaults[key] = str(max(int(defaults[key]), input_bytes // ADVISORY_BYTES + 1))
+    for key, value in {**defaults, **(overrides or {})}.items():
         if overrides and key in overrides or not submitted.contains(key):
             spark.conf.set(key, value)
 
@@ -68,8 +83,10 @@ def pin_session(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def is_local(spark: SparkSession) -> bool:
+    """One JVM holds driver and executors; ``local-cluster`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -82,7 +99,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
         if configured is None:
-            if not _is_local(spark):
+            if not is_local(spark):
                 raise RuntimeError(
                     "spark.checkpoint.dir is not set; point it at shared storage"
                 )

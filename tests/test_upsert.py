@@ -109,3 +109,15 @@ def test_aqe_splits_a_hot_target_key(spark):
     assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*LeftOuter", plan)
     assert sum(r.v == "new" for r in rows) == 100000 and sum(r.v == "one" for r in rows) == 1
     assert len(rows) == 200000
+
+
+def test_conflict_raises_under_every_action(spark):
+    """Column pruning must not drop the conflict (D11): counts and one-column reads raise too."""
+    target = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    source = spark.createDataFrame([("a", 5), ("a", 6)], "k string, v int")
+    merged = upsert(target, source, ["k"])
+    for action in (merged.count, merged.isEmpty, merged.select("v").collect, merged.agg({"*": "count"}).collect):
+        with pytest.raises(Exception, match="several source rows"):
+            action()
+    lone = upsert(target, spark.createDataFrame([("z", 5), ("z", 6)], "k string, v int"), ["k"])
+    assert lone.count() == 5 and lone.select("v").count() == 5
