@@ -18,7 +18,7 @@ Definitions (bars ordered by ``datetime`` within a ticker-day):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.operators.ranking import first_per_group, last_per_group
@@ -59,34 +59,23 @@ def _sse(close: Column) -> Column:
     return F.var_pop(close) * F.count(close)
 
 
-def _first_last(time_col: str, tie_break: bool) -> tuple[Column, Column]:
-    """Open of the first bar and close of the last bar of the group.
-
-    Bars sharing the extreme time are picked arbitrarily, as by the reference's
-    row number (D2); with ``tie_break`` the smallest open and the largest close
-    (nulls lowest) win, so the result depends on values only.
-    """
-    if not tie_break:
-        return F.min_by("open", time_col), F.max_by("close", time_col)
-    return (
-        F.min_by("open", F.struct(F.col(time_col), F.col("open"))),
-        F.max_by("close", F.struct(F.col(time_col), F.col("close"))),
-    )
-
-
 def daily_metrics(bars: DataFrame, time_col: str = "datetime", tie_break: bool = False) -> DataFrame:
     """(ticker, date, daily_returns, daily_volatility) in one aggregate (CMP-4).
 
-    Bars with a null ticker or time have no row (see ``_keyed_day_groups``).
+    Bars with a null ticker or time have no row (see ``_keyed_day_groups``). Bars sharing
+    the extreme time are picked arbitrarily, as by the reference's row number (D2); with
+    ``tie_break`` the result depends on values only (see ``_tied_days``).
     """
-    first_open, last_close = _first_last(time_col, tie_break)
-    agg = _keyed_day_groups(
-        bars,
-        time_col,
-        first_open.alias("_first_open"),
-        last_close.alias("_last_close"),
-        _sse(F.col("close")).alias("_sse"),
-    )
+    if tie_break:
+        agg = _tied_days(bars, time_col)
+    else:
+        agg = _keyed_day_groups(
+            bars,
+            time_col,
+            F.min_by("open", time_col).alias("_first_open"),
+            F.max_by("close", time_col).alias("_last_close"),
+            _sse(F.col("close")).alias("_sse"),
+        )
     return agg.select(
         *DAY_KEYS,
         _return(F.col("_first_open"), F.col("_last_close")).alias("daily_returns"),
@@ -94,10 +83,49 @@ def daily_metrics(bars: DataFrame, time_col: str = "datetime", tie_break: bool =
     )
 
 
+def _tied_days(bars: DataFrame, time_col: str) -> DataFrame:
+    """The day groups of bars that may share a time: among the bars at the first time the
+    smallest open (nulls lowest) counts, among those at the last time the largest close.
+
+    Two levels with buffers of primitive type only: bars sharing a time are aggregated first
+    (partial sums before the shuffle), then the times of a day. The squared deviations of
+    a time's closes and those of its mean from the day's mean add up, which is stable. The
+    window over a day holds one row per distinct time.
+    """
+    times = (
+        with_trading_date(bars, time_col)
+        .groupBy(*DAY_KEYS, F.col(time_col).alias("_time"))
+        .agg(
+            F.min("open").alias("_open"),
+            F.count("open").alias("_opens"),
+            F.max("close").alias("_close"),
+            F.count("close").alias("_closes"),
+            F.avg("close").alias("_mean"),
+            _sse(F.col("close")).alias("_own_sse"),
+            F.count(F.lit(1)).alias("_bars"),
+        )
+    ).where(F.col("ticker").isNotNull() & F.col("_time").isNotNull())
+    day = Window.partitionBy(*DAY_KEYS)
+    mean = F.sum(F.col("_closes") * F.col("_mean")).over(day) / F.sum("_closes").over(day)
+    first_open = F.when(F.col("_opens") == F.col("_bars"), F.col("_open"))
+    spread = times.withColumn("_day_mean", F.when(F.sum("_closes").over(day) > 0, mean)).withColumn("_open", first_open)
+    between = F.col("_closes") * F.pow(F.col("_mean") - F.col("_day_mean"), 2)
+    return spread.groupBy(*DAY_KEYS).agg(
+        F.min_by("_open", "_time").alias("_first_open"),
+        F.max_by("_close", "_time").alias("_last_close"),
+        F.sum(F.col("_own_sse") + between).alias("_sse"),
+        F.sum("_bars").alias("_n"),
+    )
+
+
 def daily_returns(bars: DataFrame, time_col: str = "datetime", tie_break: bool = False) -> DataFrame:
     """(ticker, date, daily_returns) (CMP-2) via ``min_by``/``max_by``."""
-    first_open, last_close = _first_last(time_col, tie_break)
-    agg = _keyed_day_groups(bars, time_col, first_open.alias("_first_open"), last_close.alias("_last_close"))
+    if tie_break:
+        agg = _tied_days(bars, time_col)
+    else:
+        agg = _keyed_day_groups(
+            bars, time_col, F.min_by("open", time_col).alias("_first_open"), F.max_by("close", time_col).alias("_last_close")
+        )
     return agg.select(*DAY_KEYS, _return(F.col("_first_open"), F.col("_last_close")).alias("daily_returns"))
 
 
@@ -118,26 +146,34 @@ def daily_avg_close(bars: DataFrame, time_col: str = "datetime") -> DataFrame:
     return days.groupBy(*DAY_KEYS).agg(F.avg("close").alias("avg_close"))
 
 
-def join_back(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach per-group aggregates to each row with a left equi-join (JN-2).
+# Parts into which the rows of a key are cut for the join-back.
+SALTS = 32
+
 
-    The aggregate side has one row per key, so a hot key only makes the row side's
-    partition large, which AQE's skew handling splits for a left join.
+def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], salt: Column, salts: int = SALTS) -> DataFrame:
+    """Attach per-group aggregates to each row with a left equi-join (JN-2); adds ``_salt``.
+
+    ``salt`` (any well-spread column) cuts the rows of a key into ``salts`` parts, and the
+    aggregate side, one row per key, is repeated once per part: a hot key is spread over up to
+    that many tasks. Adaptive splitting would not do: it needs a shuffle right below both
+    sides, and the aggregate side ends in an aggregate.
     """
-    return rows.join(groups, on=keys, how="left")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
+    repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, on=[*keys, "_salt"], how="left")
 
 
 def daily_sse(bars: DataFrame, time_col: str = "datetime") -> DataFrame:
     """(ticker, date, sum_squared_errors, n) by joining each bar to its day's mean
-    close (AGG-1..3, JN-2, FN-2). ``n`` counts bars with a non-null ticker (AGG-3)."""
+    close (AGG-1..3, JN-2, FN-2). ``n`` counts bars with a non-null ticker (AGG-3).
+
+    The sums are taken per part of the join first, then per day."""
     days = with_trading_date(bars, time_col)
     means = days.groupBy(*DAY_KEYS).agg(F.avg("close").alias("_avg_close"))
-    squared = join_back(days, means, DAY_KEYS).withColumn(
-        "_sq", F.pow(F.col("close") - F.col("_avg_close"), 2)
-    )
-    return squared.groupBy(*DAY_KEYS).agg(
-        F.sum("_sq").alias("sum_squared_errors"), F.count("ticker").alias("n")
-    )
+    joined = join_back(days, means, DAY_KEYS, F.struct(time_col, "open", "close"))
+    squared = joined.withColumn("_sq", F.pow(F.col("close") - F.col("_avg_close"), 2))
+    parts = squared.groupBy(*DAY_KEYS, "_salt").agg(F.sum("_sq").alias("_sq"), F.count("ticker").alias("_n"))
+    return parts.groupBy(*DAY_KEYS).agg(F.sum("_sq").alias("sum_squared_errors"), F.sum("_n").alias("n"))
 
 
 def daily_returns_join(bars: DataFrame, time_col: str = "datetime") -> DataFrame:
