@@ -10,7 +10,7 @@ Where to start:
 * ``barlake.plans``: the jobs (``bronze_bars_job`` ... ``gold_metrics_job``).
 * ``barlake.operators``: ``daily_metrics``, ``latest_record``, ``upsert``,
   ``row_number_by`` and the other operators.
-* ``barlake.sinks``: ``append_partitioned``, ``upsert_table``, ``vacuum_versions``.
+* ``barlake.sinks``: ``append_partitioned``, ``upsert_table``.
 * ``barlake.streaming.ingest_landing``: incremental landing ingestion.
 * ``python -m barlake <job>``: the command line.
 """

@@ -1,4 +1,4 @@
-"""Command line for the five jobs and the version clean-up.
+"""Command line for the five jobs.
 
 Run ``python -m barlake <job> ...`` (or the ``barlake`` console script) locally, or
 ``spark-submit --py-files barlake.zip barlake/__main__.py <job> ...`` on a cluster.
@@ -21,9 +21,8 @@ from pyspark.sql import SparkSession
 
 from barlake.plans import jobs
 from barlake.session import pin_session, tune_for_scale
-from barlake.sinks.tables import vacuum_versions
 from barlake.streaming import ingest_landing
-from barlake.sources.catalog import BARS_SILVER, METRICS_GOLD, PROFILE_SILVER, Lake
+from barlake.sources.catalog import Lake
 from barlake.sources.landing import period_start
 
 
@@ -33,7 +32,7 @@ def _parser() -> argparse.ArgumentParser:
         "job",
         choices=[
             "bronze-bars", "bronze-info", "ingest-bars", "ingest-info",
-            "silver-bars", "silver-profile", "gold-metrics", "vacuum",
+            "silver-bars", "silver-profile", "gold-metrics",
         ],
     )
     p.add_argument("--root", required=True, help="shared folder holding the layer tables")
@@ -46,16 +45,16 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--start-date", help="range start (silver: load time, gold: bar time)")
     p.add_argument("--end-date", help="range end, inclusive")
     p.add_argument("--load-dttm", help="load time to stamp (default: now, UTC)")
-    p.add_argument("--retain-hours", type=float, default=168.0, help="vacuum: keep unused versions this long")
+    p.add_argument("--input-gb", type=float, help="size of the job's input, to size its shuffles")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(levelname)s - %(message)s")
+    logging.basicConfig(level=logging.INFO)
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"barlake-{args.job}").getOrCreate()
     pin_session(spark)
-    tune_for_scale(spark)
+    tune_for_scale(spark, input_bytes=None if args.input_gb is None else int(args.input_gb * 1e9))
     lake = Lake(spark, args.root, catalog=args.catalog).create()
     load_dttm = args.load_dttm or datetime.now(timezone.utc).replace(tzinfo=None)
     if args.job in ("bronze-bars", "bronze-info", "ingest-bars", "ingest-info") and not args.landing:
@@ -77,12 +76,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.silver_bars_job(lake, args.start_date, args.end_date, load_dttm)
     elif args.job == "silver-profile":
         jobs.silver_profile_job(lake, args.start_date, args.end_date, load_dttm)
-    elif args.job == "gold-metrics":
-        jobs.gold_metrics_job(lake, args.start_date, args.end_date, load_dttm)
     else:
-        for layer, name in (("silver", BARS_SILVER), ("silver", PROFILE_SILVER), ("gold", METRICS_GOLD)):
-            removed = vacuum_versions(spark, lake.table(layer, name), args.retain_hours)
-            logging.info("vacuumed %d version folders of %s", len(removed), lake.table(layer, name))
+        jobs.gold_metrics_job(lake, args.start_date, args.end_date, load_dttm)
 
 
 if __name__ == "__main__":

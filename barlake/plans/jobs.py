@@ -29,8 +29,10 @@ from barlake.sources.catalog import (
     INFO_BRONZE,
     METRICS_GOLD,
     METRICS_PARTITION,
+    PROFILE_PARTITION,
     PROFILE_SILVER,
     Lake,
+    profile_bucket,
 )
 from barlake.sources.landing import read_landing_bars, read_landing_info
 
@@ -93,10 +95,11 @@ def silver_bars_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str)
 
 def silver_profile_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str) -> None:
     """Latest JSON per ticker with load time in [start, end] -> parsed profile ->
-    upsert into silver.ticker_profile (small: replaced whole)."""
+    upsert into silver.ticker_profile, rewriting only the ticker buckets of the load."""
     _require_range(start, end)
     source = conform_profile(lake.scan("bronze", INFO_BRONZE), load_dttm, start, end)
-    upsert_table(lake.table("silver", PROFILE_SILVER), source, PROFILE_KEYS)
+    source = source.withColumn(PROFILE_PARTITION, profile_bucket())
+    upsert_table(lake.table("silver", PROFILE_SILVER), source, PROFILE_KEYS, PROFILE_PARTITION)
 
 
 def gold_metrics_frame(bars: DataFrame, start: Any, end: Any, load_dttm: datetime | str) -> DataFrame:
@@ -131,13 +134,9 @@ def gold_source(lake: Lake, start: Any, end: Any) -> DataFrame:
 
 def gold_metrics_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str) -> None:
     """silver.ticker_ohlcv_1m in [start, end] -> daily metrics -> upsert into
-    gold.ticker_daily_metrics. Both tables are read and written only for the days
-    of the range (partition pruning on the bar date and the metric date)."""
+    gold.ticker_daily_metrics. Silver is read for the days of the range only; gold is read
+    and written for the days that have metrics."""
     _require_range(start, end)
     source = gold_source(lake, start, end)
     frame = gold_metrics_frame(source, start, end, load_dttm)
-    first_day, last_day = _day_range(source, start, end)
-    scope = F.col(METRICS_PARTITION).between(first_day, last_day)
-    upsert_table(
-        lake.table("gold", METRICS_GOLD), frame, METRICS_KEYS, partition_col=METRICS_PARTITION, partition_filter=scope
-    )
+    upsert_table(lake.table("gold", METRICS_GOLD), frame, METRICS_KEYS, METRICS_PARTITION)

@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 
-def _ddl_type(field) -> str:
+# Numeric types that Spark's parquet reader widens in place (narrow -> wide).
+_WIDER = {
+    "tinyint": ["smallint", "int", "bigint", "double"],
+    "smallint": ["int", "bigint", "double"],
+    "int": ["bigint", "double"],
+    "float": ["double"],
+}
+
+
+def _ddl_type(field: StructField) -> str:
     return field.dataType.simpleString()
 
 
+def _merged_type(table: StructField, batch: StructField) -> str:
+    """The type that holds the table's and the batch's values without loss."""
+    old, new = _ddl_type(table), _ddl_type(batch)
+    if old == new or old in _WIDER.get(new, []) or new == "void":
+        return old
+    if new in _WIDER.get(old, []):
+        return new
+    raise ValueError(f"column {table.name}: the table has {old}, the batch has {new}")
+
+
 def append_partitioned(
     df: DataFrame,
     table: str,
@@ -20,7 +40,9 @@ def append_partitioned(
 
     Columns evolve: columns new to the table are added to its schema first
     (earlier rows read null in them), and table columns missing from the batch
-    are written as typed nulls. Columns are matched by name.
+    are written as typed nulls. Columns are matched by name, whatever the case. A batch of a
+    wider type (bigint for int, double for float) widens the table's column, one of a
+    narrower type is cast; any other change of type is an error.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -29,12 +51,35 @@ def append_partitioned(
             writer = writer.option("path", location)
         writer.saveAsTable(table)
         return
-    existing = spark.table(table).schema
-    added = [f for f in df.schema.fields if f.name not in existing.names]
+    existing = {f.name.lower(): f for f in spark.table(table).schema.fields}
+    incoming = {f.name.lower(): f for f in df.schema.fields}
+    if len(incoming) < len(df.columns):
+        raise ValueError(f"columns of the batch differ in case only: {df.columns}")
+    added = [f for k, f in incoming.items() if k not in existing]
+    wider = {k: t for k, f in existing.items() if k in incoming and (t := _merged_type(f, incoming[k])) != _ddl_type(f)}
+    if wider:
+        _widen(spark, table, {existing[k].name: t for k, t in wider.items()}, partition_col)
     if added:
         cols = ", ".join(f"`{f.name}` {_ddl_type(f)}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
-    for f in existing.fields:
-        if f.name not in df.columns:
-            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    df.write.format("parquet").partitionBy(partition_col).mode("append").saveAsTable(table)
+    columns = [
+        (F.col(f"`{incoming[k].name}`") if k in incoming else F.lit(None)).cast(wider.get(k, _ddl_type(f))).alias(f.name)
+        for k, f in existing.items()
+    ]
+    columns += [F.col(f"`{f.name}`") for f in added]
+    df.select(*columns).write.format("parquet").partitionBy(partition_col).mode("append").saveAsTable(table)
+
+
+def _widen(spark: SparkSession, table: str, types: dict[str, str], partition_col: str) -> None:
+    """Declare columns of an external parquet table with wider types. The files stay: the reader
+    widens their values. The table entry is replaced, then its partitions are registered again."""
+    fields = [(f.name, types.get(f.name, _ddl_type(f))) for f in spark.table(table).schema.fields]
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in fields)
+    kind = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").first()["data_type"]
+    if kind.upper() != "EXTERNAL":
+        raise ValueError(f"{table} is a managed table; only external tables are widened")
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{partition_col}`) LOCATION '{quoted}'")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")

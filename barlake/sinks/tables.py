@@ -1,43 +1,30 @@
 """Write an upsert back into a parquet table without rewriting all of it.
 
-Parquet tables have no MERGE, so the merged rows replace what they came from:
-
-* a partitioned table has only the partitions the source touches read and merged;
-  the merged partitions are written to a new version folder and each partition is
-  then pointed at its new folder (``ALTER TABLE ... PARTITION ... SET LOCATION``).
-  The partition value must derive from the key so that a row never changes
-  partition;
-* an unpartitioned (small) table is written whole to a new version folder and the
-  table is pointed at it.
-
-Nothing is overwritten in place: until the switch the old files serve readers, a
-failed write leaves the table as it was, and each partition switch is atomic in the
-catalog, so a crash between switches leaves every partition either old or new
-(re-running the upsert is then safe: it is idempotent for non-null keys). Version
-folders no longer read are removed by :func:`vacuum_versions` after a retention
-window. Single writer per table.
+Parquet tables have no MERGE, so the merged rows replace what they came from: the
+partitions that hold source rows are read, merged, staged in the shared folder and written
+with Spark's dynamic partition overwrite; other partitions are not touched. The partition value must
+derive from the key so that a row never changes partition. Single writer per table.
+
+The staged copy is complete before the overwrite begins. If the overwrite fails, the copy is
+kept and its path logged, so nothing is lost; running the upsert again is safe (it is
+idempotent for non-null keys).
 """
 
 from __future__ import annotations
 
-import time
-import uuid
+import logging
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
-from urllib.parse import unquote, urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.upsert import upsert
 from barlake.session import scratch_path
 
-# Above this many touched partitions the partition list is not collected to the
-# driver; a null-safe semi-join restricts the target instead.
-MAX_LISTED_PARTITIONS = 10_000
-# Folder value Spark and Hive use for a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+log = logging.getLogger(__name__)
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -53,254 +40,77 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+def staged(df: DataFrame, name: str = "stage", keep_on_error: bool = False) -> Iterator[DataFrame]:
     """Write ``df`` to a fresh folder under the shared folder, yield it read back,
-    and delete the folder afterwards.
+    and delete the folder afterwards (``keep_on_error``: unless the block failed).
 
     Cuts the lineage: a frame used several times is computed once, and a lost
     executor re-reads the files instead of recomputing the whole plan.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "staging", name)
+    schema = df.schema
     df.write.mode("errorifexists").parquet(path)
     try:
-        yield spark.read.parquet(path)
-    finally:
-        delete_path(spark, path)
-
-
-def touched_partitions(source: DataFrame, partition_col: str) -> Column | DataFrame | None:
-    """Predicate on the partitions ``source`` holds, or (when there are too many to
-    list) the distinct partition values as a frame to semi-join against; None when
-    ``source`` has no rows."""
-    values = source.select(partition_col).distinct()
-    listed = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if not listed:
-        return None
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return values
-    present = [v for v in listed if v is not None]
-    preds = [F.col(partition_col).isin(present)] if present else []
-    if len(present) < len(listed):
-        preds.append(F.col(partition_col).isNull())
-    return reduce(lambda a, b: a | b, preds)
-
-
-def _restrict(target: DataFrame, partition_col: str, scope: Column | DataFrame) -> DataFrame:
-    if isinstance(scope, DataFrame):
-        cond = target[partition_col].eqNullSafe(scope[partition_col])
-        return target.join(scope, cond, "left_semi")
-    return target.filter(scope)
-
-
-def table_location(spark: SparkSession, table: str) -> str:
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
-    return row["data_type"].rstrip("/")
-
-
-def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> list[tuple[str, str | None]]:
-    """(folder name, partition value) of the partition folders directly under path."""
-    fs, jpath = _fs_and_path(spark, path)
-    prefix = f"{partition_col}="
-    found = []
-    for status in fs.listStatus(jpath):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
-            raw = name[len(prefix):]
-            value = None if raw == NULL_PARTITION else unquote(raw)  # folder names are %XX-escaped
-            found.append((name, value))
-    return found
-
-
-def _spec(partition_col: str, value: str | None) -> str:
-    if value is None:
-        return f"`{partition_col}` = null"
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"`{partition_col}` = '{escaped}'"
-
-
-def version_id() -> str:
-    """Time-ordered, unique folder name for a new table version."""
-    return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:12]}"
-
-
-def point_partitions(spark: SparkSession, table: str, partition_col: str, locations: dict[str, str]) -> None:
-    """Point partitions (folder name -> location) of ``table`` at new locations:
-    new partitions are added in one statement, existing ones switched one by one."""
-    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    values = dict(_folder_values(locations))
-    added = [f for f in locations if f not in existing]
-    if added:
-        specs = " ".join(f"PARTITION ({_spec(partition_col, values[f])}) LOCATION '{locations[f]}'" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-    for folder, location in locations.items():
-        if folder in existing:
-            spec = _spec(partition_col, values[folder])
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
-    spark.catalog.refreshTable(table)
-
+        yield spark.read.schema(schema).parquet(path)
+    except BaseException:
+        if keep_on_error:
+            log.error("write failed; the complete rows are kept in %s", path)
+        else:
+            delete_path(spark, path)
+        raise
+    delete_path(spark, path)
 
-def _folder_values(locations: dict[str, str]):
-    for folder in locations:
-        raw = folder.split("=", 1)[1]
-        yield folder, (None if raw == NULL_PARTITION else unquote(raw))
 
+def overwrite_partitions(table: str, rows: DataFrame) -> None:
+    """Replace the partitions of ``table`` that ``rows`` hold; leave the others."""
+    spark = rows.sparkSession
+    before = spark.conf.get(OVERWRITE_MODE, "static")
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        rows.select(*[F.col(f"`{c}`") for c in spark.table(table).columns]).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
-def swap_partitions(spark: SparkSession, table: str, rows: DataFrame, partition_col: str) -> None:
-    """Write ``rows`` to a new version folder, partitioned, and point each written
-    partition of ``table`` at it."""
-    version = f"{table_location(spark, table)}/_v/{version_id()}"
-    # Rebalance: AQE sizes the output files per partition value and splits a very
-    # large day rather than writing it from one task.
-    out = rows.select(*spark.table(table).columns).hint("rebalance", partition_col)
-    out.write.partitionBy(partition_col).mode("errorifexists").parquet(version)
-    written = _partition_dirs(spark, version, partition_col)
-    point_partitions(spark, table, partition_col, {f: f"{version}/{f}" for f, _ in written})
 
+def touched(target: DataFrame, source: DataFrame, partition_col: str) -> DataFrame | None:
+    """Rows of ``target`` in partitions that hold source rows; None when ``source`` is empty.
 
-def replace_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Write ``rows`` to a new version folder next to the table's data and switch
-    the table to it (ALTER TABLE ... SET LOCATION)."""
-    base = table_location(spark, table).rsplit("/", 1)[0]
-    target = f"{base}/v-{version_id()}"
-    rows.select(*spark.table(table).columns).hint("rebalance").write.mode("errorifexists").parquet(target)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
-    spark.catalog.refreshTable(table)
+    The source's smallest and largest value prune the scan, a null-safe semi-join
+    against its distinct values does the rest, however many there are.
+    """
+    ends = source.agg(
+        F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
+        F.count(partition_col).alias("n"), F.count(F.lit(1)).alias("rows"),
+    ).first()
+    if not ends["rows"]:
+        return None
+    kind = target.schema[partition_col].dataType
+    inside = F.lit(False)
+    if ends["n"]:
+        inside = F.col(partition_col).between(F.lit(ends["lo"]).cast(kind), F.lit(ends["hi"]).cast(kind))
+    if ends["n"] < ends["rows"]:
+        inside = inside | F.col(partition_col).isNull()
+    values = source.select(F.col(partition_col).alias("_touched")).distinct()
+    return target.where(inside).join(values, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
 
 
-def upsert_table(
-    table: str,
-    source: DataFrame,
-    keys: list[str],
-    partition_col: str | None = None,
-    partition_filter: Column | None = None,
-    stage_source: bool = True,
-) -> None:
-    """MERGE ``source`` into ``table`` on ``keys`` (SNK-3).
+def upsert_table(table: str, source: DataFrame, keys: list[str], partition_col: str, stage_source: bool = True) -> None:
+    """MERGE ``source`` into ``table`` on ``keys`` (SNK-3), rewriting only partitions with source rows.
 
-    The merge reads its source several times (key counts, rows, partition list),
-    so the source is staged first unless the caller already did
-    (``stage_source=False``). For a partitioned table, ``partition_filter`` names
-    the partitions the source can touch when the caller knows them (a job's date
-    range); otherwise they are read from the staged source.
+    The merge reads its source several times, so the source is staged first unless the
+    caller already did (``stage_source=False``).
     """
     if stage_source:
         with staged(source, "upsert_source") as frozen:
-            _upsert_table(table, frozen, keys, partition_col, partition_filter)
-    else:
-        _upsert_table(table, source, keys, partition_col, partition_filter)
-
-
-def _upsert_table(
-    table: str,
-    source: DataFrame,
-    keys: list[str],
-    partition_col: str | None,
-    partition_filter: Column | None,
-) -> None:
+            upsert_table(table, frozen, keys, partition_col, stage_source=False)
+        return
     spark = source.sparkSession
-    if partition_col is None:
-        if source.isEmpty():  # the source is staged: this reads one file footer
-            return
-        replace_table(spark, table, upsert(spark.table(table), source, keys))
+    target = touched(spark.table(table), source, partition_col)
+    if target is None:
         return
-    if partition_filter is None:
-        scope = touched_partitions(source, partition_col)
-        if scope is None:  # the source is empty
-            return
-    else:
-        if source.isEmpty():
-            return
-        scope = partition_filter
-    scoped = _restrict(spark.table(table), partition_col, scope)
-    swap_partitions(spark, table, upsert(scoped, source, keys), partition_col)
-
-
-def _bare(path: str) -> str:
-    parsed = urlparse(path)
-    return parsed.netloc + parsed.path.rstrip("/")
-
-
-def vacuum_versions(spark: SparkSession, table: str, retain_hours: float = 168.0) -> list[str]:
-    """Delete version folders ``table`` no longer reads, once older than ``retain_hours``.
-
-    A partitioned table keeps its versions in ``<table>/_v/<id>``; an unpartitioned
-    one in ``v-<id>`` folders next to its current location. The folders still in use
-    are those holding a file of the table now (``inputFiles`` lists them from the
-    catalog without reading data). The retention keeps folders that a query planned
-    before the last switch may still be reading. Returns the deleted folders.
-    """
-    location = table_location(spark, table)
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    partitioned = details.filter("col_name = '# Partition Information'").count() > 0
-    root = f"{location}/_v" if partitioned else location.rsplit("/", 1)[0]
-    # Version folder names in use: the path segment right below `root` of each file
-    # (paths compared without their scheme: `file:/x` and `file:///x` are the same).
-    prefix = _bare(root) + "/"
-    in_use = set()
-    for f in spark.table(table).inputFiles():
-        bare = _bare(f)
-        if bare.startswith(prefix):
-            in_use.add(bare[len(prefix) :].split("/", 1)[0])
-    fs, jroot = _fs_and_path(spark, root)
-    if not fs.exists(jroot):
-        return []
-    cutoff_ms = (time.time() - retain_hours * 3600) * 1000
-    deleted = []
-    for status in fs.listStatus(jroot):
-        name = status.getPath().getName()
-        if not status.isDirectory():
-            continue
-        if partitioned:
-            unused = name not in in_use
-        else:
-            unused = name.startswith("v-") and name not in in_use and f"{root}/{name}" != location
-        if unused and status.getModificationTime() < cutoff_ms:
-            fs.delete(status.getPath(), True)
-            deleted.append(str(status.getPath()))
-    return deleted
-
-
-def _committed_versions(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
-    """Version folders under ``root`` whose write completed (Spark's _SUCCESS
-    marker), oldest first (version names are time-ordered)."""
-    fs, jroot = _fs_and_path(spark, root)
-    if not fs.exists(jroot):
-        return []
-    names = sorted(
-        st.getPath().getName()
-        for st in fs.listStatus(jroot)
-        if st.isDirectory() and st.getPath().getName().startswith(prefix)
-    )
-    done = []
-    for name in names:
-        marker_fs, marker = _fs_and_path(spark, f"{root}/{name}/_SUCCESS")
-        if marker_fs.exists(marker):
-            done.append(f"{root}/{name}")
-    return done
-
-
-def recover_versions(spark: SparkSession, table: str, partition_col: str | None) -> int:
-    """Point ``table`` at its newest completed version(s), for a catalog that lost
-    them (a fresh session catalog, a restored metastore).
-
-    Every version folder holds complete merge results, so the newest completed one
-    of each partition is the current state; one written just before a crash and
-    never switched in is rolled forward. Returns the number of partitions (or 1
-    for an unpartitioned table) pointed at a version.
-    """
-    location = table_location(spark, table)
-    if partition_col is None:
-        versions = _committed_versions(spark, location.rsplit("/", 1)[0], "v-")
-        if versions and versions[-1] != location:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{versions[-1]}'")
-            spark.catalog.refreshTable(table)
-        return 1 if versions else 0
-    newest: dict[str, str] = {}
-    for version in _committed_versions(spark, f"{location}/_v"):
-        for folder, _ in _partition_dirs(spark, version, partition_col):
-            newest[folder] = f"{version}/{folder}"
-    if newest:
-        point_partitions(spark, table, partition_col, newest)
-    return len(newest)
-
+    # Rebalance: adaptive execution sizes the files per partition value and splits a very
+    # large day rather than writing it from one task.
+    merged = upsert(target, source, keys).hint("rebalance", partition_col)
+    with staged(merged, "upsert_merged", keep_on_error=True) as rows:
+        overwrite_partitions(table, rows.hint("rebalance", partition_col))

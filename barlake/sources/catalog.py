@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from barlake.sinks.tables import _fs_and_path, recover_versions
+from barlake.schemas import BRONZE_BARS, BRONZE_INFO, GOLD_METRICS, SILVER_BARS, SILVER_PROFILE
+from barlake.session import is_local
+from barlake.sinks.tables import _fs_and_path
 
 # Table names of the medallion, fixed by the jobs.
 BARS_BRONZE = "market_data_1m"
@@ -19,12 +23,32 @@ BARS_SILVER = "ticker_ohlcv_1m"
 PROFILE_SILVER = "ticker_profile"
 METRICS_GOLD = "ticker_daily_metrics"
 
-# Silver bars carry a derived partition column: the gold job reads a date range, and
-# the upsert rewrites only the days a load touches.
+# Derived partition columns: the gold job reads a date range, and an upsert rewrites only
+# the days, or the hash buckets of tickers, that hold source rows.
+LOAD_PARTITION = "load_prdt"
 BARS_PARTITION = "bar_date"
 METRICS_PARTITION = "date"
-# First version folder of the profile table; sorts before every written version.
-INITIAL_VERSION = "v-0000000000000-initial"
+PROFILE_PARTITION = "ticker_bucket"
+PROFILE_BUCKETS = 64
+
+# (layer, table) -> (columns, partition column and its type)
+TABLES: dict[tuple[str, str], tuple[StructType, str, str]] = {
+    ("bronze", BARS_BRONZE): (BRONZE_BARS, LOAD_PARTITION, "date"),
+    ("bronze", INFO_BRONZE): (BRONZE_INFO, LOAD_PARTITION, "date"),
+    ("silver", BARS_SILVER): (SILVER_BARS, BARS_PARTITION, "date"),
+    ("silver", PROFILE_SILVER): (SILVER_PROFILE, PROFILE_PARTITION, "int"),
+    ("gold", METRICS_GOLD): (GOLD_METRICS, METRICS_PARTITION, "date"),
+}
+
+
+def profile_bucket(ticker: str = "ticker") -> Column:
+    """Partition of a profile: follows from its key, so a row never moves."""
+    return F.pmod(F.xxhash64(ticker), F.lit(PROFILE_BUCKETS)).cast("int")
+
+
+def sql_string(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass
@@ -38,8 +62,13 @@ class Lake:
     )
     catalog: str | None = None
 
+    def database(self, layer: str) -> str:
+        name = f"`{self.databases[layer]}`"
+        return f"`{self.catalog}`.{name}" if self.catalog else name
+
     def table(self, layer: str, name: str) -> str:
-        return f"{self.databases[layer]}.{name}"
+        """Full table name; with a catalog it does not depend on the session's current one."""
+        return f"{self.database(layer)}.`{name}`"
 
     def location(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -52,63 +81,35 @@ class Lake:
         return self.spark.sql(query)
 
     def create(self) -> "Lake":
-        """Create the databases and the silver/gold tables if absent.
+        """Create the databases and tables that are absent, from their declared columns; on an
+        existing lake this runs no job.
 
-        A table missing from the catalog whose folder holds data (a fresh session
-        catalog, a restored metastore) is registered again from storage: bronze
-        from its load-date folders, silver and gold from their newest completed
-        version of each partition.
+        A local session's catalog is new each time: a table whose folder already holds data
+        gets its partitions registered again. On a cluster that would list the whole
+        history in every job, so a persistent catalog is required there.
         """
+        if not is_local(self.spark) and self.spark.conf.get("spark.sql.catalogImplementation") == "in-memory" and not self.catalog:
+            raise RuntimeError("the session has no persistent catalog; set spark.sql.catalogImplementation=hive or pass a catalog")
+        for layer in self.databases:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
         if self.catalog is not None:
             self.spark.catalog.setCurrentCatalog(self.catalog)
-        for db in self.databases.values():
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-        missing = {
-            (layer, name): not self.spark.catalog.tableExists(self.table(layer, name))
-            for layer, name in (("silver", PROFILE_SILVER), ("silver", BARS_SILVER), ("gold", METRICS_GOLD))
-        }
-        self._create_tables()
-        for (layer, name), was_missing in missing.items():
-            if was_missing:
-                partition = {PROFILE_SILVER: None, BARS_SILVER: BARS_PARTITION, METRICS_GOLD: METRICS_PARTITION}[name]
-                recover_versions(self.spark, self.table(layer, name), partition)
-        for name in (BARS_BRONZE, INFO_BRONZE):
-            self._attach_bronze(name)
+        for (layer, name), (schema, partition, kind) in TABLES.items():
+            table, location = self.table(layer, name), self.location(layer, name)
+            if self.spark.catalog.tableExists(table):
+                continue
+            fs, path = _fs_and_path(self.spark, location)
+            held = fs.exists(path)
+            columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != partition]
+            self.spark.sql(
+                f"CREATE TABLE {table} ({', '.join(columns)}, `{partition}` {kind}) USING parquet "
+                f"PARTITIONED BY (`{partition}`) LOCATION {sql_string(location)}"
+            )
+            if held:
+                self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         return self
 
-    def _attach_bronze(self, name: str) -> None:
-        """Register an existing bronze folder (tables are created by the first load)."""
-        table, location = self.table("bronze", name), self.location("bronze", name)
-        if self.spark.catalog.tableExists(table):
-            return
-        fs, path = _fs_and_path(self.spark, location)
-        if not fs.exists(path):
-            return
-        self.spark.sql(
-            f"CREATE TABLE {table} USING parquet OPTIONS ('mergeSchema' 'true') LOCATION '{location}'"
-        )
-        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-
-    def _create_tables(self) -> None:
-        silver, gold = self.databases["silver"], self.databases["gold"]
-        self.spark.sql(
-            f"""CREATE TABLE IF NOT EXISTS {silver}.{PROFILE_SILVER} (
-                ticker STRING, company_name STRING, business_summary STRING,
-                currency STRING, market_cap FLOAT, industry STRING, load_dttm TIMESTAMP)
-            USING parquet LOCATION '{self.location("silver", PROFILE_SILVER)}/{INITIAL_VERSION}'"""
-        )
-        self.spark.sql(
-            f"""CREATE TABLE IF NOT EXISTS {silver}.{BARS_SILVER} (
-                ticker STRING, datetime TIMESTAMP, open FLOAT, high FLOAT, low FLOAT,
-                close FLOAT, volume FLOAT, dividends FLOAT, stock_splits FLOAT,
-                load_dttm TIMESTAMP, {BARS_PARTITION} DATE)
-            USING parquet PARTITIONED BY ({BARS_PARTITION})
-            LOCATION '{self.location("silver", BARS_SILVER)}'"""
-        )
-        self.spark.sql(
-            f"""CREATE TABLE IF NOT EXISTS {gold}.{METRICS_GOLD} (
-                ticker STRING, daily_returns FLOAT, daily_volatility FLOAT,
-                load_dttm TIMESTAMP, {METRICS_PARTITION} DATE)
-            USING parquet PARTITIONED BY ({METRICS_PARTITION})
-            LOCATION '{self.location("gold", METRICS_GOLD)}'"""
-        )
+    def drop(self) -> None:
+        """Drop the databases and their tables from the catalog; the files stay."""
+        for layer in self.databases:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database(layer)} CASCADE")

@@ -9,8 +9,8 @@ appended with :func:`append_partitioned`.
 
 The load time is ``current_timestamp()`` in the stream, which Structured Streaming
 fixes per micro-batch and records in the checkpoint's offset log: a micro-batch
-replayed after a failure carries the same load time, so a replay can only repeat
-identical rows, of which silver keeps one (latest record, D17).
+replayed after a failure carries the same load time. A load whose time bronze already
+holds is not appended again (an append becomes visible as a whole when it commits).
 """
 
 from __future__ import annotations
@@ -31,6 +31,16 @@ from barlake.sources.catalog import BARS_BRONZE, INFO_BRONZE, Lake
 KINDS = {"bars": (LANDING_BARS, BARS_BRONZE), "info": (LANDING_INFO, INFO_BRONZE)}
 
 
+def _loaded(batch: DataFrame, table: str) -> bool:
+    """Whether ``table`` already holds a load of the batch's load time (one date partition is read)."""
+    spark = batch.sparkSession
+    first = batch.select("load_dttm", "load_prdt").first()
+    if first is None or not spark.catalog.tableExists(table):
+        return False
+    same = (F.col("load_prdt") == F.lit(first["load_prdt"])) & (F.col("load_dttm") == F.lit(first["load_dttm"]))
+    return not spark.table(table).where(same).isEmpty()
+
+
 def ingest_landing(
     lake: Lake,
     landing: str,
@@ -58,7 +68,8 @@ def ingest_landing(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         stamped = batch if clock is None else stamp(batch, clock(batch_id), with_date=True)
-        append_partitioned(stamped, table, "load_prdt", location)
+        if not _loaded(stamped, table):
+            append_partitioned(stamped, table, "load_prdt", location)
 
     # One checkpoint per (kind, landing folder): it records which files of that folder were loaded.
     landing_id = hashlib.sha1(landing.encode()).hexdigest()[:16]

@@ -1,111 +1,63 @@
+import os
 import uuid
-from urllib.parse import unquote
 
-from pyspark.sql import functions as F
+import pytest
 
 from barlake.session import scratch_path
-from barlake.sinks import upsert_table
-
-
-def _partition_locations(spark, table):
-    out = {}
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        spec = row.partition.split("=", 1)
-        value = unquote(spec[1])
-        cond = "p = null" if value == "__HIVE_DEFAULT_PARTITION__" else "p = '%s'" % value.replace("'", "\\'")
-        desc = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({cond})")
-        out[value] = desc.filter("col_name = 'Location'").first()["data_type"]
-    return out
-
-
-def test_partition_scoped_upsert_switches_only_touched_partitions(spark):
-    table = f"tt_{uuid.uuid4().hex[:8]}"
-    root = scratch_path(spark, "tables")
-    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
-    start = spark.createDataFrame(
-        [("k1", 1, "a'b"), ("k2", 2, "x"), ("k3", 3, None), ("k4", 4, "a'b")], "k string, v int, p string"
-    )
-    start.write.insertInto(table)
-    before = _partition_locations(spark, table)
+from barlake.sinks import tables, upsert_table
 
+
+def _table(spark, rows, tag="t"):
+    name, root = f"{tag}_{uuid.uuid4().hex[:8]}", scratch_path(spark, "o'tables")
+    quoted = root.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{quoted}'")
+    rows = spark.createDataFrame(rows, "k string, v int, p string")
+    rows.write.insertInto(name)
+    return name, root
+
+
+def _files(root):
+    return {f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark):
+    table, root = _table(spark, [("k1", 1, "a'b"), ("k2", 2, "x"), ("k3", 3, None), ("k4", 4, "a'b"), ("k6", 6, "b")])
+    before = _files(root)
     source = spark.createDataFrame([("k1", 10, "a'b"), ("k3", 30, None), ("k5", 50, "new")], "k string, v int, p string")
     upsert_table(table, source, ["k", "p"], partition_col="p")
-
     rows = sorted(map(tuple, spark.table(table).select("k", "v", "p").collect()), key=str)
-    assert rows == sorted(
-        [("k1", 10, "a'b"), ("k2", 2, "x"), ("k3", 3, None), ("k3", 30, None), ("k4", 4, "a'b"), ("k5", 50, "new")],
-        key=str,
-    )  # a null key part never matches (D10): k3 is inserted again
-    after = _partition_locations(spark, table)
-    assert after["x"] == before["x"]
-    assert after["a'b"] != before["a'b"] and "/_v/" in after["a'b"]
-    assert "new" in after
-
-
-def test_unpartitioned_upsert_switches_version(spark):
-    table = f"tu_{uuid.uuid4().hex[:8]}"
-    root = scratch_path(spark, "tables")
-    spark.sql(f"CREATE TABLE {table} (k STRING, v INT) USING parquet LOCATION '{root}/v-initial'")
-    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").write.insertInto(table)
-    upsert_table(table, spark.createDataFrame([("a", 5)], "k string, v int"), ["k"])
-    assert sorted(map(tuple, spark.table(table).collect())) == [("a", 5), ("b", 2)]
-    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").first()["data_type"]
-    assert "/v-" in loc and not loc.endswith("v-initial")
+    # A null key part never matches (D10): k3 is inserted again.
+    want = [("k1", 10, "a'b"), ("k2", 2, "x"), ("k3", 3, None), ("k3", 30, None), ("k4", 4, "a'b"), ("k5", 50, "new"), ("k6", 6, "b")]
+    assert rows == sorted(want, key=str)
+    after = _files(root)
+    untouched = {f: t for f, t in before.items() if "p=x" in f or "p=b/" in f}
+    assert len(untouched) == 2 and untouched.items() <= after.items()
+    assert not [f for f in before if "p=a" in f and f in after]
+
+
+def test_only_null_partition(spark):
+    table, _ = _table(spark, [("k1", 1, None), ("k2", 2, "x")])
+    upsert_table(table, spark.createDataFrame([("k9", 9, None)], "k string, v int, p string"), ["k"], partition_col="p")
+    assert sorted(r.v for r in spark.table(table).collect()) == [1, 2, 9]
 
 
 def test_empty_source_leaves_table_alone(spark):
-    table = f"te_{uuid.uuid4().hex[:8]}"
-    root = scratch_path(spark, "tables")
-    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
-    spark.createDataFrame([("k1", 1, "x")], "k string, v int, p string").write.insertInto(table)
-    before = _partition_locations(spark, table)
+    table, root = _table(spark, [("k1", 1, "x")])
+    before = _files(root)
     upsert_table(table, spark.createDataFrame([], "k string, v int, p string"), ["k", "p"], partition_col="p")
-    assert _partition_locations(spark, table) == before
-    assert spark.table(table).count() == 1
-
-
-def test_vacuum_keeps_versions_in_use(spark):
-    from barlake.sinks import vacuum_versions
-
-    table = f"tv_{uuid.uuid4().hex[:8]}"
-    root = scratch_path(spark, "tables")
-    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
-    spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, p string").write.insertInto(table)
-    upsert_table(table, spark.createDataFrame([("a", 5, "x")], "k string, v int, p string"), ["k", "p"], partition_col="p")
-    upsert_table(table, spark.createDataFrame([("a", 6, "x")], "k string, v int, p string"), ["k", "p"], partition_col="p")
-    upsert_table(table, spark.createDataFrame([("b", 7, "y")], "k string, v int, p string"), ["k", "p"], partition_col="p")
-    expected = sorted(map(tuple, spark.table(table).collect()))
-    assert vacuum_versions(spark, table, retain_hours=1) == []  # too young
-    deleted = vacuum_versions(spark, table, retain_hours=0)
-    assert len(deleted) == 1  # only the first version of partition x is unused
-    spark.catalog.refreshTable(table)
-    assert sorted(map(tuple, spark.table(table).collect())) == expected == [("a", 6, "x"), ("b", 7, "y")]
-
-
-def test_vacuum_unpartitioned(spark):
-    from barlake.sinks import vacuum_versions
-
-    table = f"tw_{uuid.uuid4().hex[:8]}"
-    root = scratch_path(spark, "tables")
-    spark.sql(f"CREATE TABLE {table} (k STRING, v INT) USING parquet LOCATION '{root}/v-initial'")
-    spark.createDataFrame([("a", 1)], "k string, v int").write.insertInto(table)
-    for v in (2, 3):
-        upsert_table(table, spark.createDataFrame([("a", v)], "k string, v int"), ["k"])
-    deleted = vacuum_versions(spark, table, retain_hours=0)
-    assert len(deleted) == 2 and any(d.endswith("v-initial") for d in deleted)
-    spark.catalog.refreshTable(table)
-    assert [tuple(r) for r in spark.table(table).collect()] == [("a", 3)]
-
-
-def test_vacuum_with_version_like_names_in_the_path(spark):
-    from barlake.sinks import vacuum_versions
-
-    table = f"tx_{uuid.uuid4().hex[:8]}"
-    root = scratch_path(spark, "tables") + "/v-2/data"
-    spark.sql(f"CREATE TABLE {table} (k STRING, v INT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
-    spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "k string, v int, p string").write.insertInto(table)
-    for v in (2, 3):
-        upsert_table(table, spark.createDataFrame([("a", v, "x")], "k string, v int, p string"), ["k", "p"], partition_col="p")
-    assert len(vacuum_versions(spark, table, retain_hours=0)) == 1
-    spark.catalog.refreshTable(table)
-    assert sorted(map(tuple, spark.table(table).collect())) == [("a", 3, "x"), ("b", 1, "y")]
+    assert _files(root) == before and spark.table(table).count() == 1
+
+
+def test_overwrite_mode_is_restored_and_failed_rows_are_kept(spark, monkeypatch, caplog):
+    table, _ = _table(spark, [("k1", 1, "x")])
+    mode = spark.conf.get(tables.OVERWRITE_MODE, "static")
+
+    def fail(*_):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(tables, "overwrite_partitions", fail)
+    with pytest.raises(RuntimeError):
+        upsert_table(table, spark.createDataFrame([("k1", 5, "x")], "k string, v int, p string"), ["k"], partition_col="p")
+    kept = [r.getMessage().rsplit(" ", 1)[1] for r in caplog.records if "kept in" in r.getMessage()]
+    assert [tuple(r) for r in spark.read.parquet(kept[0]).select("k", "v").collect()] == [("k1", 5)]
+    assert spark.conf.get(tables.OVERWRITE_MODE, "static") == mode
