@@ -69,7 +69,7 @@ def _silver_bars(close: str) -> str:
 
 def _profile_doc(renamed: bool) -> str:
     def quoted(x: str) -> str:
-        return f"""CASE WHEN {x} IS NULL THEN 'null' ELSE '"' || {x} || '"' END"""
+        return f"coalesce(CAST(to_json({x}) AS VARCHAR), 'null')"
 
     name = "upper(c_name)" if renamed else "c_name"
     name = f"CASE WHEN c_mktsegment = '{td.UPDATED_SEGMENT}' THEN {name} ELSE c_name END"
@@ -80,9 +80,9 @@ def _profile_doc(renamed: bool) -> str:
     )
     summary = "'  ' || c_mktsegment || ' segment customer '"
     return (
-        f"""'{{"longName": ' || {quoted(name)} || ', "longBusinessSummary": ' || {quoted(summary)}"""
-        f""" || ', "currency": ' || {quoted('n_name')} || ', "marketCap": ' || {cap}"""
-        f""" || ', "industry": ' || {industry} || '}}'"""
+        f"""'{{"longName":' || {quoted(name)} || ',"longBusinessSummary":' || {quoted(summary)}"""
+        f""" || ',"currency":' || {quoted('n_name')} || ',"marketCap":' || {cap}"""
+        f""" || ',"industry":' || {industry} || '}}'"""
     )
 
 
@@ -218,6 +218,12 @@ FROM events WHERE ts < TIMESTAMP '{q.APPEND_SPLIT}'
 UNION ALL
 SELECT event_id, user_id, ts, CAST(NULL AS DOUBLE) AS value, {L2} AS load_dttm, event_type,
        CAST(length(event_type) AS INTEGER) AS props_len, {D2} AS load_prdt
+FROM events WHERE ts >= TIMESTAMP '{q.APPEND_SPLIT}'""",
+    "append_widened": f"""
+SELECT event_id AS "Event_Id", user_id, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, {L1} AS load_dttm, {D1} AS load_prdt
+FROM events WHERE ts < TIMESTAMP '{q.APPEND_SPLIT}'
+UNION ALL
+SELECT event_id + 3000000000 AS "Event_Id", user_id, value, {L2} AS load_dttm, {D2} AS load_prdt
 FROM events WHERE ts >= TIMESTAMP '{q.APPEND_SPLIT}'""",
     "bars_conform": f"SELECT {SILVER_COLS.format(close=CORRECTED_CLOSE)}, {L3} AS load_dttm FROM events",
     "profile_conform": _profile(L3, L3),
@@ -228,6 +234,9 @@ SELECT {VENDOR_COLS.format(close=f'value + {td.CORRECTION}')}, {L2} AS load_dttm
 FROM events WHERE event_type = '{td.CORRECTED_TYPE}'""",
     "bronze_bars_stream": f"""
 SELECT {VENDOR_COLS.format(close='value')}, {L1} AS load_dttm, {D1} AS load_prdt FROM events""",
+    "bronze_bars_selected": f"""
+SELECT {VENDOR_COLS.format(close='value')}, {L1} AS load_dttm, {D1} AS load_prdt FROM events
+WHERE user_id IN ({', '.join(q.SELECTED_TICKERS)}) AND ts >= TIMESTAMP '2024-01-01 06:30:00'""",
     "bronze_info": f"""
 SELECT ' ' || CAST(c_custkey AS VARCHAR) || ' ' AS ticker, {_profile_doc(False)} AS info,
        {L1} AS load_dttm, {D1} AS load_prdt FROM {PROFILE_FROM}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,8 @@ from barlake.plans import (
 from barlake.schemas import METRICS_KEYS
 from barlake.session import pin_session, scratch_path, shared_dir
 from barlake.sinks.append import append_partitioned
-from barlake.sources.catalog import BARS_PARTITION, Lake
+from barlake.sources.catalog import BARS_PARTITION, PROFILE_PARTITION, Lake
+from barlake.sources.landing import period_start
 from barlake.streaming import ingest_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +56,7 @@ LATEST_LO, LATEST_HI = "2024-01-29 00:00:00", "2024-01-30 00:00:00"
 UPSERT_SPLIT_LO, UPSERT_SPLIT_HI = "2024-01-15", "2024-01-20"
 APPEND_SPLIT = "2024-01-16 00:00:00"
 NULL_KEY_EVERY = 17
+SELECTED_TICKERS = [str(n) for n in range(0, 500, 3)]
 NULL_KEY_SPLIT_LO, NULL_KEY_SPLIT_HI = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 
 
@@ -112,17 +115,13 @@ def _event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("event_id", "user_id", "ts", "value", F.to_date("ts").alias("day"))
 
 
-# Groups above this many rows are numbered in parallel slices (skew-safe path).
-HOT_GROUP_ROWS = 1_000_000
-
-
 def row_number_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "asc", hot_rows=HOT_GROUP_ROWS)
+    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "asc")
     return ranked.select("event_id", "user_id", "day", "row_number")
 
 
 def row_number_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "desc", hot_rows=HOT_GROUP_ROWS)
+    ranked = row_number_by(_event_days(spark, sf_dir), ["user_id", "day"], ["ts"], "desc")
     return ranked.select("event_id", "user_id", "day", "row_number")
 
 
@@ -281,6 +280,22 @@ def append_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def append_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load whose columns are wider (bigint, double) and named in another case."""
+    e = _events(spark, sf_dir)
+    name, loc = _scratch_table(spark, "events_widened")
+    split = F.lit(APPEND_SPLIT).cast("timestamp_ntz")
+    first = e.filter(F.col("ts") < split).select(
+        F.col("event_id").cast("int").alias("Event_Id"), "user_id", F.col("value").cast("float").alias("value")
+    )
+    second = e.filter(F.col("ts") >= split).select(
+        (F.col("event_id") + 3_000_000_000).alias("EVENT_ID"), "user_id", F.col("value").alias("Value")
+    )
+    append_partitioned(stamp(first, td.LOAD_1, with_date=True), name, location=loc)
+    append_partitioned(stamp(second, td.LOAD_2, with_date=True), name, location=loc)
+    return spark.table(name)
+
+
 # --- conform chains ------------------------------------------------------------------------
 
 
@@ -316,7 +331,8 @@ def profile_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lake(spark: SparkSession) -> Lake:
     tag = uuid.uuid4().hex[:10]
     dbs = {layer: f"{layer}_{tag}" for layer in ("bronze", "silver", "gold")}
-    return Lake(spark, scratch_path(spark, "lake"), dbs).create()
+    # Names qualified by the session catalog (DDL-1).
+    return Lake(spark, scratch_path(spark, "lake"), dbs, catalog="spark_catalog").create()
 
 
 def _landing(df: DataFrame, name: str) -> str:
@@ -339,6 +355,17 @@ def bronze_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.scan("bronze", "market_data_1m")
 
 
+def bronze_bars_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON landing, loaded for a ticker list and a one-month period ending at the load time."""
+    e = _events(spark, sf_dir)
+    path = scratch_path(spark, "landing", "bars_json")
+    td.vendor_bars(e).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    since = period_start("1mo", datetime.fromisoformat(td.LOAD_1))
+    lake = _lake(spark)
+    bronze_bars_job(lake, path, td.LOAD_1, tickers=SELECTED_TICKERS, since=since, fmt="json")
+    return lake.scan("bronze", "market_data_1m")
+
+
 def bronze_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bar landing folder ingested by the incremental stream, then read back."""
     first, _ = _bars_landings(spark, sf_dir)
@@ -396,7 +423,7 @@ def silver_profile_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_profile_job(lake, td.LOAD_1, td.LOAD_1, td.LOAD_1)
     bronze_info_job(lake, second, td.LOAD_2)
     silver_profile_job(lake, td.LOAD_2, td.LOAD_2, td.LOAD_3)
-    return lake.scan("silver", "ticker_profile")
+    return lake.scan("silver", "ticker_profile").drop(PROFILE_PARTITION)
 
 
 def gold_metrics_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,9 +475,11 @@ QUERIES: dict[str, Query] = {
     "upsert_null_keys": upsert_null_keys,
     "append_partitioned": append_partitioned_q,
     "append_evolved": append_evolved,
+    "append_widened": append_widened,
     "bars_conform": bars_conform,
     "profile_conform": profile_conform,
     "bronze_bars": bronze_bars,
+    "bronze_bars_selected": bronze_bars_selected,
     "bronze_bars_stream": bronze_bars_stream,
     "bronze_info": bronze_info,
     "silver_bars_job": silver_bars_job_q,

@@ -8,6 +8,7 @@ predicates that reach the scan.
 
 from __future__ import annotations
 
+import calendar
 import re
 from collections.abc import Iterable
 from datetime import datetime, timedelta
@@ -22,9 +23,8 @@ from barlake.schemas import LANDING_BARS, LANDING_INFO
 
 
 # Period words accepted for the bar download window (vendor style), fixed values:
-# <n>d days, <n>wk weeks, <n>mo months (30 days), <n>y years (365 days), ytd, max.
+# <n>d days, <n>wk weeks, <n>mo calendar months, <n>y calendar years, ytd, max.
 _PERIOD = re.compile(r"^(\d+)(d|wk|mo|y)$")
-_PERIOD_DAYS = {"d": 1, "wk": 7, "mo": 30, "y": 365}
 
 
 def period_start(period: str, as_of: datetime) -> datetime | None:
@@ -36,7 +36,13 @@ def period_start(period: str, as_of: datetime) -> datetime | None:
     m = _PERIOD.match(period)
     if m is None:
         raise ValueError(f"unknown period {period!r}")
-    return as_of - timedelta(days=int(m.group(1)) * _PERIOD_DAYS[m.group(2)])
+    n, unit = int(m.group(1)), m.group(2)
+    if unit in ("d", "wk"):
+        return as_of - timedelta(days=n * (7 if unit == "wk" else 1))
+    months = as_of.year * 12 + as_of.month - 1 - n * (12 if unit == "y" else 1)
+    year, month = months // 12, months % 12 + 1
+    # The same day of the earlier month, or its last day where it is shorter.
+    return as_of.replace(year=year, month=month, day=min(as_of.day, calendar.monthrange(year, month)[1]))
 
 
 def read_landing(

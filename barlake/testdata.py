@@ -97,12 +97,8 @@ def corrected_bars(events: DataFrame) -> DataFrame:
     return again.withColumn("Close", F.col("Close") + F.lit(CORRECTION))
 
 
-def _quoted(c: Column) -> Column:
-    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
-
-
 def profile_docs(customer: DataFrame, nation: DataFrame, renamed: bool = False) -> DataFrame:
-    """(ticker, info): one JSON document per customer.
+    """(ticker, info): one JSON document per customer, encoded by ``to_json`` (FN-8).
 
     The ticker is padded with spaces (trimmed by the cleanse); the summary is
     padded; building-segment industries are blank (-> null); household ones are a
@@ -112,20 +108,24 @@ def profile_docs(customer: DataFrame, nation: DataFrame, renamed: bool = False)
     seg = F.col("c_mktsegment")
     name = F.upper("c_name") if renamed else F.col("c_name")
     name = F.when(seg == UPDATED_SEGMENT, name).otherwise(F.col("c_name"))
-    cap = F.when(seg == "MACHINERY", F.lit('"n/a"')).otherwise((F.col("c_custkey") * 1000003).cast("string"))
-    industry = (
-        F.when(seg == "BUILDING", F.lit('"   "'))
-        .when(seg == "HOUSEHOLD", F.lit("42"))
-        .otherwise(_quoted(seg))
-    )
-    doc = F.concat(
-        F.lit('{"longName": '), _quoted(name),
-        F.lit(', "longBusinessSummary": '), _quoted(F.concat(F.lit("  "), seg, F.lit(" segment customer "))),
-        F.lit(', "currency": '), _quoted(F.col("n_name")),
-        F.lit(', "marketCap": '), cap,
-        F.lit(', "industry": '), industry,
-        F.lit("}"),
+    cap = F.col("c_custkey") * 1000003
+
+    def doc(market_cap: Column, industry: Column) -> Column:
+        fields = F.struct(
+            name.alias("longName"),
+            F.concat(F.lit("  "), seg, F.lit(" segment customer ")).alias("longBusinessSummary"),
+            F.col("n_name").alias("currency"),
+            market_cap.alias("marketCap"),
+            industry.alias("industry"),
+        )
+        return F.to_json(fields, {"ignoreNullFields": "false"})
+
+    encoded = (
+        F.when(seg == "MACHINERY", doc(F.lit("n/a"), seg))
+        .when(seg == "BUILDING", doc(cap, F.lit("   ")))
+        .when(seg == "HOUSEHOLD", doc(cap, F.lit(42)))
+        .otherwise(doc(cap, seg))
     )
     joined = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
     ticker = F.concat(F.lit(" "), F.col("c_custkey").cast("string"), F.lit(" "))
-    return joined.select(ticker.alias("ticker"), doc.alias("info"))
+    return joined.select(ticker.alias("ticker"), encoded.alias("info"))

@@ -39,7 +39,7 @@ def test_landing_info_keeps_raw_json(spark):
     docs.write.json(path)
     got = read_landing_info(spark, path, "json")
     assert got.count() == docs.count()
-    assert got.filter(F.col("info").startswith('{"longName": ')).count() == docs.count()
+    assert got.filter(F.col("info").startswith('{"longName":')).count() == docs.count()
 
 
 def test_period_start():
@@ -52,5 +52,10 @@ def test_period_start():
     assert period_start("1wk", now) == datetime(2024, 3, 3, 12, 0)
     assert period_start("ytd", now) == datetime(2024, 1, 1)
     assert period_start("max", now) is None
+    # Calendar months and years; a shorter month gives its last day.
+    assert period_start("1mo", datetime(2024, 3, 31, 12, 0)) == datetime(2024, 2, 29, 12, 0)
+    assert period_start("3mo", datetime(2024, 2, 10)) == datetime(2023, 11, 10)
+    assert period_start("1y", datetime(2025, 1, 1)) == datetime(2024, 1, 1)
+    assert period_start("1y", datetime(2024, 2, 29)) == datetime(2023, 2, 28)
     with pytest.raises(ValueError):
         period_start("5x", now)

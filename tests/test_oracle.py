@@ -3,12 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from barlake import oracles, queries
 from tests import oracle_compare
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES, ORACLES = queries.QUERIES, oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -70,11 +70,63 @@ def test_upsert_has_no_full_outer_join(spark):
 
 def test_no_python_evaluation_in_registered_queries(spark):
     """Every expression stays in the JVM: no Python UDF nodes in any plan."""
-    import __spark_entry__ as entry
-
     writes = ("bronze_", "silver_", "gold_", "append_", "sql_over_tables")
-    for name, query in entry.queries().items():
+    for name, query in q.QUERIES.items():
         if name.startswith(writes):
             continue  # these run jobs eagerly and return a table scan
         p = plan(query(spark, SF))
         assert "EvalPython" not in p and "PythonUDF" not in p and "MapInPandas" not in p, name
+
+
+def test_lineitem_metrics_use_hash_aggregates_only(spark):
+    for query in (q.daily_metrics_lineitem, q.monthly_metrics_lineitem):
+        p = plan(query(spark, SF))
+        assert "HashAggregate" in p and "SortAggregate" not in p and "ObjectHashAggregate" not in p
+
+
+def test_upsert_reads_and_shuffles_little(spark, tmp_path):
+    """Scans and exchanges of a plain keyed merge of stored tables."""
+    t, s = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")).write.parquet(t)
+    spark.range(50, 150).select(F.col("id").alias("k"), F.lit(2).alias("v")).write.parquet(s)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(upsert(spark.read.parquet(t), spark.read.parquet(s), ["k"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Aggregate" in p and p.count("distinct") == 0 and "FullOuter" not in p
+
+
+def test_create_on_an_existing_lake_runs_no_job(spark):
+    root = scratch_path(spark, "idle-lake")
+    names = {"bronze": "ib", "silver": "is_", "gold": "ig"}
+    Lake(spark, root, names, catalog="spark_catalog").create()
+    spark.sparkContext.setJobGroup("create-again", "")
+    Lake(spark, root, names, catalog="spark_catalog").create()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("create-again")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list(jobs)
+
+
+def test_hot_day_of_the_join_back_is_spread(spark):
+    """Half the bars on one ticker-day: no task of the join holds more than a few parts of it."""
+    from barlake.operators.metrics import SALTS, join_back
+
+    bars = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("ticker"), F.col("id").alias("t")
+    )
+    means = bars.groupBy("ticker").agg(F.avg("t").alias("m"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = join_back(bars, means, ["ticker"], F.col("t"))
+        per_task = joined.where("ticker = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in per_task) == 10_000
+    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 10_000 * 8 / SALTS
