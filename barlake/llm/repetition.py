@@ -1,7 +1,7 @@
 """Operator 1: quality rules from a suffix array over each document's words.
 
 A document's tokens are its words (maximal runs of characters other than space and
-TAB..CR); a word of more than 40 code points counts as its single code points, so
+TAB..CR); a word of more than 256 code points counts as its single code points, so
 that text without spaces is covered too. Suffixes are sorted by prefix doubling, the
 longest common prefix of neighbours is read off the doubling levels, and every
 suffix covers the longest prefix that it shares with a neighbour: the union over
@@ -31,7 +31,7 @@ common.ship(__name__)
 MIN_REPEAT = 10
 MAX_COVERED_PERCENT = 30
 MAX_LONGEST = 200
-LONG_WORD = 40
+LONG_WORD = 256
 
 _WORD = re.compile(common.WORD)
 _SYMBOLS = "#*$%&|<>"
