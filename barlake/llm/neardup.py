@@ -10,12 +10,14 @@ N, whatever the corpus size, and so are its size and the driver's part.
 1. Equal word sequences form one class straight away (128-bit digest).
 2. ICWS draws BANDS * ROWS samples (shingle, quantised weight) per text; two texts
    agree on a sample with the probability of their weighted Jaccard similarity. A band of
-   ROWS equal samples puts texts into one bucket: at 0.8, 16 bands of 5 miss 0.2 %.
-3. Within a bucket all texts are compared with one leader; verified pairs (similarity
-   THRESHOLD or more, exact) are joined to classes; then the leader leaves and the next
-   round takes each bucket whose remaining texts are of several classes. A round is
-   linear in the bucket, no bucket or partner is capped, and no two texts of one class are
-   compared. Rounds end when every bucket is of one class.
+   ROWS equal samples puts texts into one bucket: at 0.8, 20 bands of 5 miss 0.04 %.
+3. Within a bucket all texts are compared with one leader, the text that shares its buckets
+   with most others (it is nearest the middle of its group); verified pairs (similarity THRESHOLD or
+   more, exact) are joined to classes, and the leader leaves. Buckets whose remaining
+   texts are of several classes, as when many texts share one passage, are then cut by
+   each second band in which their texts meet (at 0.8, 0.4 % of pairs meet in fewer than two
+   of the 20 bands), and rounds of 1, 4, 16, ... leaders go on until every bucket is of one class. A round is linear in
+   the bucket, no bucket or partner is capped, and no two texts of one class are compared.
 4. Classes are the connected components (large-star / small-star).
 
 Defined cases: texts without words (null, empty) are classes of their own; repeated rows
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm import common
@@ -41,10 +43,11 @@ from barlake.llm.common import blocks
 common.ship(__name__)
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 16, 5
+BANDS, ROWS = 20, 5
 SKETCH = 1 << 16
-RARE, FLOOR = 0.02, 0.5
+RARE, FLOOR = 0.1, 0.7
 CELLS = 1 << 13
+CACHE_SHINGLES = 2_000_000
 BLOCK = 200_000  # code points; keeps a block's arrays in cache
 
 _WORD = re.compile(common.WORD)
@@ -226,19 +229,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        last: tuple = (None, None)
-
-        def weighted(text: str) -> tuple:
-            _, ids, count = shingle_sets(_words([text]), hashes)
-            return ids, count * idf[_slots(ids)]
+        sets: dict = {}  # the weighted sets met last, at most CACHE_SHINGLES in all
+        held = 0
+
+        def weighted(node: bytes, text: pa.Scalar) -> tuple:
+            nonlocal held
+            if node not in sets:
+                _, ids, count = shingle_sets(_words([text.as_py()]), hashes)
+                if held + len(ids) > CACHE_SHINGLES:
+                    sets.clear()
+                    held = 0
+                held += len(ids)
+                sets[node] = ids, count * idf[_slots(ids)]
+            return sets[node]
 
         for batch in batches:
             left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ok = []
             for k in range(len(left)):
-                if last[0] != left[k]:
-                    last = (left[k], weighted(batch.column(2)[k].as_py()))
-                ok.append(similarity(last[1], weighted(batch.column(3)[k].as_py())) >= threshold - 1e-9)
+                one, two = weighted(left[k], batch.column(2)[k]), weighted(right[k], batch.column(3)[k])
+                ok.append(similarity(one, two) >= threshold - 1e-9)
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["leader", "node"]
@@ -248,22 +258,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: fl
 
 
 def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """node, label (smallest node) for the nodes of undirected edges u, v, label itself excluded."""
-    edges = scratch.write(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct())
+    """node, label (smallest node of its component) for the nodes of undirected edges u, v; a
+    label's own row is left out. Large-star and small-star steps until nothing changes."""
+    pairs = F.struct(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = scratch.write(edges.select(pairs.alias("p")).select("p.u", "p.v").where("u > v").distinct())
+    mark = None
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.write(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(least.select("u", "m")).distinct()
-        small = scratch.write(small)
-        changed = small.join(edges, ["u", "v"], "left_anti").limit(1).count() + edges.join(small, ["u", "v"], "left_anti").limit(1).count()
-        scratch.drop(edges, large)
-        edges = small
-        if not changed:
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        last, edges = edges, scratch.write(small.union(least.select("u", "m")).distinct())
+        scratch.drop(last)
+        # Count and sum of hashes tell whether the step changed the edges.
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        mark = now
 
 
 def _number(node: str) -> Column:
@@ -276,42 +288,66 @@ def _links(sig: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_c
     nodes = sig.where("node IS NOT NULL").select("node", "bands").dropDuplicates(["node"])
     numbered = nodes.select("node", _number("node").alias("n"), F.posexplode("bands").alias("b", "h"))
     spread = numbered.select(F.xxhash64("b", "h").alias("bucket"), "node", "n")
-    shared = spread.groupBy("bucket").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi").select("bucket")
-    members = scratch.write(spread.join(shared, "bucket"))
+    common_buckets = spread.groupBy("bucket").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi").select("bucket")
+    members = scratch.write(spread.join(common_buckets, "bucket"))
+    # A text that shares its buckets with many others is close to the middle of its group: it leads.
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("k"))
+    degree = scratch.write(members.join(sizes, "bucket").groupBy("node").agg(F.sum("k").alias("degree")))
+    last, members = members, scratch.write(members.join(degree, "node").select("bucket", "node", "n", "degree"))
+    scratch.drop(last, degree)
     wanted = members.select("node").distinct()
     rows = sig.join(wanted, "node").groupBy("node").agg(F.min(F.struct("id", "t")).alias("r")).select("node", "r.id", "r.t")
     text = F.col(f"`{text_col}`").cast("string")
     source = docs.select(F.col(f"`{id_col}`").alias("did"), common.text_key(text).alias("dt"), text.alias("text"))
     texts = source.join(rows, F.col("did").eqNullSafe(F.col("id")) & (F.col("dt") == F.col("t"))).select("node", "text")
     texts = scratch.write(texts.dropDuplicates(["node"]))
-    labels = None
+    labels, tried, step, n_leaders = None, [], 0, 1
     while True:
         live = members.withColumn("label", F.col("n")) if labels is None else _labelled(members, labels)
-        ends = live.groupBy("bucket").agg(F.min("n").alias("first"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        open_ = scratch.write(ends.where("lo < hi").select("bucket", "first"))
-        live = scratch.write(live.join(open_, "bucket"))
+        ends = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        live = scratch.write(live.join(ends.where("lo < hi").select("bucket"), "bucket"))
         if live.isEmpty():
-            scratch.drop(open_, live, members, texts)
+            scratch.drop(live, members, texts, *tried)
             return labels
-        leaders = live.where("n = first").select("bucket", F.col("node").alias("leader"), F.col("label").alias("own"))
-        pairs = live.where("n > first").join(leaders, "bucket").where("label <> own").select("leader", "node").distinct()
+        step += 1
+        if step == 2:
+            # Texts that only share a frequent passage meet in one band, seldom in two. Two texts of
+            # different classes keep each bucket they share mixed, so mixed buckets are all that matters.
+            second = live.select("node", F.col("bucket").alias("b2"))
+            cut = live.join(second, "node").where("bucket < b2")
+            old, members = members, scratch.write(cut.select(F.xxhash64("bucket", "b2").alias("bucket"), "node", "n", "degree"))
+            scratch.drop(old, live)
+            continue
+        order = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "n"))
+        first = live.withColumn("r", order).where(F.col("r") <= n_leaders)
+        names = {"node": "leader", "label": "own", "degree": "ld", "n": "ln"}
+        leaders = scratch.write(first.withColumnsRenamed(names).select("bucket", *names.values()))
+        after = F.expr("degree < ld OR (degree = ld AND n > ln)")
+        pairs = live.join(leaders, "bucket").where(after & F.expr("label <> own")).select("leader", "node").distinct()
+        for done in tried:  # pairs that met in another bucket already
+            pairs = pairs.join(done, ["leader", "node"], "left_anti")
+        pairs = scratch.write(pairs)
+        tried.append(pairs)
         found = scratch.write(_verified(pairs, texts, idf, threshold))
         if not found.isEmpty():
             edges = found.select(F.col("leader").alias("u"), F.col("node").alias("v"))
             if labels is not None:
                 edges = edges.union(labels.select("node", "label"))
-            old, labels = labels, components(edges, scratch)
+            old, labels = labels, scratch.write(components(edges, scratch))
             if old is not None:
                 scratch.drop(old)
-            labels = scratch.write(labels)
-        old, members = members, scratch.write(live.where("n > first").select("bucket", "node", "n"))
-        scratch.drop(old, open_, live, found)
+        rest = live.join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
+        rest = rest.select("bucket", "node", "n", "degree")
+        old, members = members, scratch.write(rest)
+        scratch.drop(old, leaders, live, found)
+        if step > 1:
+            n_leaders *= 4
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with the number of their class."""
     named = labels.select("node", _number("label").alias("l"))
-    return members.join(named, "node", "left").select("bucket", "node", "n", F.coalesce("l", "n").alias("label"))
+    return members.join(named, "node", "left").select("bucket", "node", "n", "degree", F.coalesce("l", "n").alias("label"))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, scratch: common.Scratch) -> DataFrame:
