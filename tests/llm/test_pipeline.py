@@ -39,4 +39,4 @@ def test_native_queries_run_no_python(spark):
     for name, query in QUERIES.items():
         if name.split("_")[0] in NATIVE:
             plan = query(spark, SF)._jdf.queryExecution().toString()
-            assert not re.search("Python|Pandas|Arrow|InMemory", plan), name
+            assert not re.search("EvalPython|MapIn|Pandas|ArrowUDF|InMemoryRelation|InMemoryTableScan", plan), name
