@@ -1,13 +1,16 @@
 """Operator 5: secret scan by a randomness test battery.
 
 Three base patterns (key assignments, access key ids, hexadecimal runs) always count. The method
-adds spans: every run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` outside the base
-spans is a candidate unless it has letters of one case only. Its encoding is the
-smallest alphabet that holds it (hex, base32, base36, base64). Against the hypothesis of
+adds spans: what the base spans leave of a run of characters of ``[A-Za-z0-9+/_=-]`` is a
+candidate where it has 20 characters or more, and so are the parts of it that a name or path
+before or behind may hide: the parts between ``=``, these without the names at both ends, and the
+parts between ``=``, ``/``, ``_`` and ``-``. Parts with letters of one case only are not
+tested. The encoding is the smallest alphabet that holds a part (hex, base32, base36, base64). Against the hypothesis of
 independent uniform symbols stand a chi-squared test over the alphabet's parts, a runs test
 about its middle and a serial-correlation test; Fisher's method joins their p-values.
 Benjamini-Hochberg at ``Q`` within each length class, over all candidates of the table,
-rejects those that are no random strings; the rest are reported as ``random``.
+rejects those that are no random strings; the rest are reported as ``random``, a part inside
+another reported one not again.
 
 The p-values are binned (20 bins per unit of -ln p), so the control needs one partial
 aggregate to at most 4 x 2,001 rows, whatever the input.
@@ -30,7 +33,14 @@ HEX = r"[0-9a-f]+"
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+# Parts of a run: between '=' (padding at the run's end belongs to its part), and between all separators.
+VALUE = rf"(?=[A-Za-z0-9+/_=-]{{{LEAST}}})[A-Za-z0-9+/_-]++(?:={{1,2}}(?!.))?"
+PART = rf"[A-Za-z0-9+]{{{LEAST},}}"
+# Names with their separators at the start of a text, and of a reversed one. Possessive: no recursion per name.
+NAMES = "^(?:(?:[A-Z]+|[A-Z]?[a-z]*)[0-9]{0,4}[/_-]+)*+"
+NAMES_REVERSED = "^(?:[0-9]{0,4}(?:[A-Z]+|[a-z]*[A-Z]?)[/_-]+)*+"
 Q = 0.05
 BINS_PER_UNIT, LAST_BIN = 20, 2000
 LENGTH_CLASSES = (32, 48, 80)
@@ -171,12 +181,45 @@ def _z_chi(alphabet: str, parts: list[tuple[str, int]]) -> Column:
     return (F.pow(chi / df, F.lit(1 / 3)) - (1 - spread)) / spread**0.5
 
 
+def _uncovered(run: Column) -> Column:
+    """The parts of a run's span that no base span covers; ``base`` is sorted by start."""
+    cut = F.aggregate(
+        F.filter("base", lambda b: (b["start"] < run["stop"]) & (run["start"] < b["stop"])),
+        F.struct(run["start"].alias("at"), F.expr("CAST(array() AS array<struct<start:int,kind:int,stop:int>>)").alias("out")),
+        lambda s, b: F.struct(
+            F.greatest(s["at"], b["stop"]).alias("at"),
+            F.concat(s["out"], F.array(F.struct(s["at"].alias("start"), F.lit(3).alias("kind"), b["start"].alias("stop")))).alias("out"),
+        ),
+        lambda s: F.concat(s["out"], F.array(F.struct(s["at"].alias("start"), F.lit(3).alias("kind"), run["stop"].alias("stop")))),
+    )
+    return F.filter(cut, lambda c: c["stop"] - c["start"] >= LEAST)
+
+
+def _parts(token: Column) -> Column:
+    """Spans within ``token`` to be tested: the whole, and what names before or behind may hide."""
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(3).alias("kind"), F.char_length(token).alias("stop")))
+    values = _spans(token, VALUE, LEAST, 3)
+
+    def bare(x: Column) -> Column:
+        value = F.substring(token, x["start"] + 1, x["stop"] - x["start"])
+        before = F.char_length(F.regexp_extract(value, NAMES, 0))
+        behind = F.char_length(F.regexp_extract(F.reverse(value), NAMES_REVERSED, 0))
+        return F.struct((x["start"] + before).alias("start"), F.lit(3).alias("kind"), (x["stop"] - behind).alias("stop"))
+
+    parts = F.array_distinct(F.concat(whole, values, F.transform(values, bare), _spans(token, PART, LEAST, 3)))
+    return F.filter(parts, lambda x: x["stop"] - x["start"] >= LEAST)
+
+
 def candidates(scanned: DataFrame) -> DataFrame:
     """One row per candidate outside the base spans: id, t, span, tests, length class, p bin."""
-    spans = _spans(F.col("text"), CANDIDATE, 20, 3)
-    free = F.filter(spans, lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    rows = scanned.select("id", "t", "text", F.explode(free).alias("span")).select(
-        "id", "t", "span", F.substring(F.col("text"), F.col("span.start") + 1, F.col("span.stop") - F.col("span.start")).alias("token")
+    free = F.flatten(F.transform(_spans(F.col("text"), CANDIDATE, LEAST, 3), _uncovered))
+    runs = scanned.select("id", "t", "text", F.explode(free).alias("run")).select(
+        "id", "t", F.col("run.start").alias("at"), F.substring(F.col("text"), F.col("run.start") + 1, F.col("run.stop") - F.col("run.start")).alias("run")
+    )
+    parts = runs.select("id", "t", "at", "run", F.explode(_parts(F.col("run"))).alias("part"))
+    span = F.struct((F.col("at") + F.col("part.start")).alias("start"), F.col("part.kind"), (F.col("at") + F.col("part.stop")).alias("stop"))
+    rows = parts.select(
+        "id", "t", span.alias("span"), F.substring(F.col("run"), F.col("part.start") + 1, F.col("part.stop") - F.col("part.start")).alias("token")
     )
     size = sum((F.col("n") >= edge).cast("int") for edge in LENGTH_CLASSES)
     p_bin = F.least(F.floor(-F.log(F.greatest(F.col("p"), F.lit(1e-300))) * BINS_PER_UNIT), F.lit(LAST_BIN))
@@ -192,6 +235,23 @@ def rejected_from(tested: DataFrame) -> DataFrame:
     return counts.select("size", "bin", (largest_p <= Q * rank / total).alias("ok")).where("ok").groupBy("size").agg(F.min("bin").alias("cut"))
 
 
+def _outermost(spans: Column) -> Column:
+    """The spans that lie in no other one."""
+    ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["stop"]).alias("end"))))
+    return F.aggregate(
+        ordered,
+        F.expr("named_struct('stop', -1, 'out', CAST(array() AS array<struct<start:int,kind:int,stop:int>>))"),
+        lambda s, x: F.when(
+            -x["end"] > s["stop"],
+            F.struct(
+                (-x["end"]).alias("stop"),
+                F.concat(s["out"], F.array(F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), (-x["end"]).alias("stop")))).alias("out"),
+            ),
+        ).otherwise(s),
+        lambda s: s["out"],
+    )
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row: its id and spans, an array of (start, kind number in KINDS, stop), sorted."""
     common.require(docs, id_col, text_col)
@@ -201,7 +261,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tested = candidates(scanned)
     kept = tested.join(rejected_from(tested), "size", "left").where("cut IS NULL OR bin < cut")
     # Rows with the same id and text have the same spans.
-    added = kept.groupBy("id", "t").agg(F.collect_set("span").alias("added")).select(F.col("id").alias("i2"), F.col("t").alias("t2"), "added")
+    added = kept.groupBy("id", "t").agg(_outermost(F.collect_set("span")).alias("added")).select(F.col("id").alias("i2"), F.col("t").alias("t2"), "added")
     out = scanned.select("id", "t", "base").join(added, F.col("id").eqNullSafe(F.col("i2")) & (F.col("t") == F.col("t2")), "left")
     none = F.expr("CAST(array() AS array<struct<start:int,kind:int,stop:int>>)")
     return out.select(

@@ -101,3 +101,35 @@ def test_edges(spark, edges):
     out = sec.scan_secrets(edges).collect()
     assert len(out) == edges.count() and sec.scan_secrets(edges.limit(0)).count() == 0
     assert all(set(map(tuple, r["base"])) <= set(map(tuple, r["spans"])) for r in out)
+
+
+def test_names_and_base_spans_hide_no_secret(spark):
+    r = random.Random(21)
+    secret = lambda n=40: "".join(r.choice(string.ascii_letters + string.digits) for _ in range(n))
+    hexes = lambda: "".join(r.choice("0123456789abcdef") for _ in range(32))
+    frames = [
+        ("AWS_SECRET_ACCESS_KEY=", ""), ("DATABASE_CONNECTION_STRING=", "=="), ("/api/v1/webhooks/incoming/", ""),
+        ("/api/v1/webhooks/incoming/", "/settings/profile"), (hexes() + "/", ""), ("sk_live_", ""), ("", "/" + hexes()),
+    ]
+    texts, at = [], []
+    for before, behind in frames * 30:
+        value = secret()
+        texts.append(f"see {before}{value}{behind} here")
+        at.append((4 + len(before), 4 + len(before) + 40))
+    words = ["configuration", "Settings", "internal", "database", "Connection", "template", "Incoming", "webhooks"]
+    words = ["/".join(r.choice(words) for _ in range(4)) + "_V1" for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts + words)), "doc_id long, text string")
+    got = {x["doc_id"]: [tuple(s) for s in x["spans"] if s["kind"] == 3] for x in sec.scan_secrets(docs).collect()}
+    for k in range(len(frames)):
+        own = range(k, len(texts), len(frames))
+        hit = sum(any(s <= at[i][0] and at[i][1] <= e for s, _, e in got[i]) for i in own)
+        assert hit >= 0.8 * len(own), (frames[k], hit)
+    for spans in got.values():  # no reported part lies in another
+        assert not any(a != b and a[0] <= b[0] and b[2] <= a[2] for a in spans for b in spans)
+    assert sum(bool(got[i]) for i in range(len(texts), len(texts) + len(words))) <= 0.1 * len(words)
+
+
+def test_many_names_in_one_run(spark):
+    text = "a/" * 60_000 + "Zq9" * 3
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert sec.scan_secrets(rows).count() == 1
