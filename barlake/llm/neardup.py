@@ -13,11 +13,10 @@ N, whatever the corpus size, and so are its size and the driver's part.
    ROWS equal samples puts texts into one bucket: at 0.8, 20 bands of 5 miss 0.04 %.
 3. Within a bucket all texts are compared with one leader, the text that shares its buckets
    with most others (it is nearest the middle of its group); verified pairs (similarity THRESHOLD or
-   more, exact) are joined to classes, and the leader leaves. Buckets whose remaining
-   texts are of several classes, as when many texts share one passage, are then cut by
-   each second band in which their texts meet (at 0.8, 0.4 % of pairs meet in fewer than two
-   of the 20 bands), and rounds of 1, 4, 16, ... leaders go on until every bucket is of one class. A round is linear in
-   the bucket, no bucket or partner is capped, and no two texts of one class are compared.
+   more, exact) are joined to classes, and the leader leaves. Rounds of 4, 16, ... leaders go on
+   until every bucket is of one class. A round is linear in the bucket, no bucket or partner is capped,
+   and no two texts of one class are compared; nor are two whose weights alone keep them below THRESHOLD
+   (similarity is at most the smaller sum over the larger).
 4. Classes are the connected components (large-star / small-star).
 
 Defined cases: texts without words (null, empty) are classes of their own; repeated rows
@@ -186,7 +185,7 @@ def inverse_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """id, t (text key), node (digest of the word sequence, null without words), bands."""
+    """id, t (text key), node (digest of the word sequence, null without words), bands, weight (sum over the shingles)."""
     text = F.col(f"`{text_col}`").cast("string")
     source = docs.select(F.col(f"`{id_col}`").alias("id"), common.text_key(text).alias("t"), text.alias("text"))
 
@@ -196,7 +195,9 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
             rows = batch.column(2).to_pylist()
             for i, j in blocks(rows, lambda t: len(t or ""), BLOCK):
                 words = _words(rows[i:j])
-                bands = icws.bands_of(*shingle_sets(words, hashes), j - i)
+                doc, ids, count = shingle_sets(words, hashes)
+                bands = icws.bands_of(doc, ids, count, j - i)
+                weight = np.bincount(doc, count * idf[_slots(ids)], minlength=j - i)
                 node = [hashlib.blake2b(" ".join(w).encode(), digest_size=16).digest() if w else None for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -204,12 +205,13 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
                         batch.column(1).slice(i, j - i),
                         pa.array(node, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(weight, pa.float64()),
                     ],
-                    names=["id", "t", "node", "bands"],
+                    names=["id", "t", "node", "bands", "weight"],
                 )
 
     kind = source.schema[0].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, t string, node binary, bands array<long>")
+    return source.mapInArrow(run, f"id {kind}, t string, node binary, bands array<long>, weight double")
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -285,15 +287,15 @@ def _number(node: str) -> Column:
 
 def _links(sig: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str, threshold: float, scratch: common.Scratch):
     """node, label of all texts that share a class with a different text; None if there are none."""
-    nodes = sig.where("node IS NOT NULL").select("node", "bands").dropDuplicates(["node"])
-    numbered = nodes.select("node", _number("node").alias("n"), F.posexplode("bands").alias("b", "h"))
-    spread = numbered.select(F.xxhash64("b", "h").alias("bucket"), "node", "n")
+    nodes = sig.where("node IS NOT NULL").select("node", "bands", "weight").dropDuplicates(["node"])
+    numbered = nodes.select("node", _number("node").alias("n"), "weight", F.posexplode("bands").alias("b", "h"))
+    spread = numbered.select(F.xxhash64("b", "h").alias("bucket"), "node", "n", "weight")
     common_buckets = spread.groupBy("bucket").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi").select("bucket")
     members = scratch.write(spread.join(common_buckets, "bucket"))
     # A text that shares its buckets with many others is close to the middle of its group: it leads.
     sizes = members.groupBy("bucket").agg(F.count("*").alias("k"))
     degree = scratch.write(members.join(sizes, "bucket").groupBy("node").agg(F.sum("k").alias("degree")))
-    last, members = members, scratch.write(members.join(degree, "node").select("bucket", "node", "n", "degree"))
+    last, members = members, scratch.write(members.join(degree, "node").select("bucket", "node", "n", "weight", "degree"))
     scratch.drop(last, degree)
     wanted = members.select("node").distinct()
     rows = sig.join(wanted, "node").groupBy("node").agg(F.min(F.struct("id", "t")).alias("r")).select("node", "r.id", "r.t")
@@ -301,7 +303,7 @@ def _links(sig: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_c
     source = docs.select(F.col(f"`{id_col}`").alias("did"), common.text_key(text).alias("dt"), text.alias("text"))
     texts = source.join(rows, F.col("did").eqNullSafe(F.col("id")) & (F.col("dt") == F.col("t"))).select("node", "text")
     texts = scratch.write(texts.dropDuplicates(["node"]))
-    labels, tried, step, n_leaders = None, [], 0, 1
+    labels, tried, n_leaders = None, [], 1
     while True:
         live = members.withColumn("label", F.col("n")) if labels is None else _labelled(members, labels)
         ends = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -309,21 +311,13 @@ def _links(sig: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_c
         if live.isEmpty():
             scratch.drop(live, members, texts, *tried)
             return labels
-        step += 1
-        if step == 2:
-            # Texts that only share a frequent passage meet in one band, seldom in two. Two texts of
-            # different classes keep each bucket they share mixed, so mixed buckets are all that matters.
-            second = live.select("node", F.col("bucket").alias("b2"))
-            cut = live.join(second, "node").where("bucket < b2")
-            old, members = members, scratch.write(cut.select(F.xxhash64("bucket", "b2").alias("bucket"), "node", "n", "degree"))
-            scratch.drop(old, live)
-            continue
         order = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "n"))
         first = live.withColumn("r", order).where(F.col("r") <= n_leaders)
-        names = {"node": "leader", "label": "own", "degree": "ld", "n": "ln"}
+        names = {"node": "leader", "label": "own", "degree": "ld", "n": "ln", "weight": "lw"}
         leaders = scratch.write(first.withColumnsRenamed(names).select("bucket", *names.values()))
         after = F.expr("degree < ld OR (degree = ld AND n > ln)")
-        pairs = live.join(leaders, "bucket").where(after & F.expr("label <> own")).select("leader", "node").distinct()
+        close = F.least("weight", "lw") >= (threshold - 1e-6) * F.greatest("weight", "lw")
+        pairs = live.join(leaders, "bucket").where(after & F.expr("label <> own") & close).select("leader", "node").distinct()
         for done in tried:  # pairs that met in another bucket already
             pairs = pairs.join(done, ["leader", "node"], "left_anti")
         pairs = scratch.write(pairs)
@@ -337,17 +331,16 @@ def _links(sig: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_c
             if old is not None:
                 scratch.drop(old)
         rest = live.join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
-        rest = rest.select("bucket", "node", "n", "degree")
+        rest = rest.select("bucket", "node", "n", "weight", "degree")
         old, members = members, scratch.write(rest)
         scratch.drop(old, leaders, live, found)
-        if step > 1:
-            n_leaders *= 4
+        n_leaders *= 4
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with the number of their class."""
     named = labels.select("node", _number("label").alias("l"))
-    return members.join(named, "node", "left").select("bucket", "node", "n", "degree", F.coalesce("l", "n").alias("label"))
+    return members.join(named, "node", "left").select("bucket", "node", "n", "weight", "degree", F.coalesce("l", "n").alias("label"))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, scratch: common.Scratch) -> DataFrame:

@@ -92,3 +92,19 @@ def test_edges(spark, edges):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(5) == 1 and 6 not in ids and ids.count(None) == 2 and {1, 2, 3, 4, 7, 8, 9} <= set(ids)
     assert nd.keep_one(edges.limit(0)).count() == 0
+
+
+def test_pair_that_shares_one_band_with_another_leader(spark):
+    words = [f"w{i}" for i in range(200)]
+    docs = {1: " ".join(words), 2: " ".join(words[:-4]), 3: " ".join(f"x{i}" for i in range(200)), 4: " ".join(f"y{i}" for i in range(200))}
+    shared = {1: {0: 7}, 2: {0: 7}, 3: {0: 7, 1: 8, 2: 9}, 4: {1: 8, 2: 9}}  # 3 leads the bucket of 1 and 2
+    bands = {i: [shared[i].get(b, 1000 * i + b) for b in range(nd.BANDS)] for i in docs}
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    made = spark.createDataFrame(list(bands.items()), "id long, made array<long>")
+    idf = nd.np.ones(nd.SKETCH)
+    sig = nd.signatures(rows, idf, "doc_id", "text").join(made, "id").withColumn("bands", nd.F.col("made")).drop("made")
+    scratch = nd.common.Scratch(spark)
+    labels = nd._links(scratch.write(sig), rows, idf, "doc_id", "text", nd.THRESHOLD, scratch)
+    node = {r["id"]: bytes(r["node"]) for r in sig.collect()}
+    assert labels is not None
+    assert [{bytes(r["node"]), bytes(r["label"])} for r in labels.collect()] == [{node[1], node[2]}]
