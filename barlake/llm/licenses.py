@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import common
+from barlake.llm import common, license_texts
 
 # Equivalent spellings, (pattern, written as).
 SPELLINGS = [
@@ -36,7 +36,7 @@ SPELLINGS = [
     ("gnu gpl", "gnu general public license"),
 ]
 
-# Notices and short licence texts that are looked up by default.
+# Notices and entire licence texts that are looked up by default.
 KNOWN = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -55,6 +55,7 @@ KNOWN = [
         "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
         "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
+    *license_texts.full_texts(),
 ]
 
 COPYRIGHT_LINE = r"(?md)^[^\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"

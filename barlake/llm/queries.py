@@ -74,9 +74,9 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = licenses.known_licenses(spark)
-    whole = licenses.license_scan(docs, known).select("doc_id", "text", "digest", "license_id")
+    # The key is taken before the join, so that no text is shuffled.
+    rows = licenses.license_scan(docs.withColumn("key", F.md5("text")), known).select("doc_id", "key", "digest", "license_id")
     notices = licenses.notice_scan(docs, known).select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "notices")
-    rows = whole.select("doc_id", F.md5("text").alias("key"), "digest", "license_id")
     out = rows.join(notices, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left")
     return out.select("doc_id", "digest", "license_id", F.coalesce(F.array_join("notices", ","), F.lit("")).alias("notices"))
 
