@@ -56,6 +56,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def append(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a last column ``name``, in place of an input column of that name (in any case)."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()], value.alias(name))
+
+
 class Scratch:
     """Tables written once to the cluster's shared folder (``spark.checkpoint.dir``) and read back:
     they cut lineage and outlive a lost executor."""

@@ -1,13 +1,14 @@
-"""Registered queries of the ten operators, each over its whole table."""
+"""Registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, chat, decontaminate, language, licenses, line_dedup, neardup, repetition, secrets, url_filter
+from barlake.llm import bpe, chat, decontaminate, language, licenses, line_dedup, neardup, repetition, secrets, url_filter, word_bpe
 
 TOKENIZER_FILE = "word_bpe_49k.json"
+RANK_FILE = "byte_bpe_50k.tiktoken"
 TRIAL = "</s>[INST] ok [/INST]"  # text of the conversation that op8 adds
 
 
@@ -18,6 +19,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+def rank_path() -> str:
+    """The public rank file; ``word_bpe`` takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(RANK_FILE)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -143,6 +151,14 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "blocked", "entry", "action", F.date_format("listed_since", "yyyy-MM-dd").alias("listed_since"))
 
 
+def op11_word_shuffle_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = word_bpe.encode(docs, rank_path(), public_tokenizers.PATTERN)
+    return token_digests(word_bpe.decode(coded, rank_path()))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -160,5 +176,6 @@ QUERIES = {
     "op8_chat_windows": op8_chat_windows,
     "op9_bpe_tokens": op9_bpe_tokens,
     "op10_url_lists": op10_url_lists,
+    "op11_word_shuffle_bpe": op11_word_shuffle_bpe,
     "pipeline": pipeline,
 }
