@@ -6,7 +6,7 @@ lacks), op3 (weighted sampling and connected components), op9 (BPE merges), the
 
 from __future__ import annotations
 
-from barlake.llm import chat, decontaminate, licenses, repetition
+from barlake.llm import chat, decontaminate, lexical, licenses, repetition
 from barlake.llm.queries import TRIAL
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -161,6 +161,21 @@ SELECT page_id, coalesce(action = 'block', false) AS blocked, entry, action, str
 FROM cap LEFT JOIN best USING (rid)
 """
 
+_TERMS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ts FROM documents),
+t AS (SELECT rid, doc_id, len(ts) AS n, ts FROM d WHERE len(ts) > 0),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM t),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM t) GROUP BY rid, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term, n_docs),
+i AS (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS ts FROM benchmark),
+q AS (SELECT iid, item_id, term, count(*) AS r FROM (SELECT iid, item_id, unnest(ts) AS term FROM i) GROUP BY iid, item_id, term),
+s AS (SELECT iid, item_id, doc_id, rid, CAST(sum(r * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN t USING (rid), c GROUP BY iid, item_id, doc_id, rid)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS FIRST) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= {lexical.TOP}
+"""
+
 ORACLES = {
     "op1_repetition_rules": OP1,
     "op4_suffix_decontamination": OP4,
@@ -168,4 +183,5 @@ ORACLES = {
     "op7_line_windows": OP7,
     "op8_chat_windows": OP8,
     "op10_url_lists": OP10,
+    "op12_fp_tree_search": OP12,
 }

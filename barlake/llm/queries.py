@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, chat, decontaminate, language, licenses, line_dedup, neardup, repetition, secrets, url_filter, word_bpe
+from barlake.llm import bpe, chat, decontaminate, language, lexical, licenses, line_dedup, neardup, repetition, secrets, url_filter, word_bpe
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -159,6 +159,11 @@ def op11_word_shuffle_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(word_bpe.decode(coded, rank_path()))
 
 
+def op12_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -177,5 +182,6 @@ QUERIES = {
     "op9_bpe_tokens": op9_bpe_tokens,
     "op10_url_lists": op10_url_lists,
     "op11_word_shuffle_bpe": op11_word_shuffle_bpe,
+    "op12_fp_tree_search": op12_fp_tree_search,
     "pipeline": pipeline,
 }
