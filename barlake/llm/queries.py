@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, chat, decontaminate, language, lexical, licenses, line_dedup, neardup, repetition, secrets, url_filter, word_bpe
+from barlake.llm import bpe, chat, decontaminate, language, lexical, licenses, line_dedup, neardup, repetition, secrets, spelling, url_filter, word_bpe
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -164,6 +164,11 @@ def op12_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -183,5 +188,6 @@ QUERIES = {
     "op10_url_lists": op10_url_lists,
     "op11_word_shuffle_bpe": op11_word_shuffle_bpe,
     "op12_fp_tree_search": op12_fp_tree_search,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": pipeline,
 }
