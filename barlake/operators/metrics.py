@@ -18,10 +18,12 @@ Definitions (bars ordered by ``datetime`` within a ticker-day):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.ranking import first_per_group, last_per_group
+from barlake.operators.skew import BROADCAST_KEYS, PART, ROWS_PER_PART, any_null, spread
+from barlake.session import shared_dir
 
 DAY_KEYS = ["ticker", "date"]
 
@@ -64,18 +66,10 @@ def daily_metrics(bars: DataFrame, time_col: str = "datetime", tie_break: bool =
 
     Bars with a null ticker or time have no row (see ``_keyed_day_groups``). Bars sharing
     the extreme time are picked arbitrarily, as by the reference's row number (D2); with
-    ``tie_break`` the result depends on values only (see ``_tied_days``).
+    ``tie_break`` the result depends on values only: time and value are packed into one number
+    that keeps their order, so ties break inside the one aggregate (see ``_tied_ends``).
     """
-    if tie_break:
-        agg = _tied_days(bars, time_col)
-    else:
-        agg = _keyed_day_groups(
-            bars,
-            time_col,
-            F.min_by("open", time_col).alias("_first_open"),
-            F.max_by("close", time_col).alias("_last_close"),
-            _sse(F.col("close")).alias("_sse"),
-        )
+    agg = _keyed_day_groups(bars, time_col, *_ends(time_col, tie_break), _sse(F.col("close")).alias("_sse"))
     return agg.select(
         *DAY_KEYS,
         _return(F.col("_first_open"), F.col("_last_close")).alias("daily_returns"),
@@ -83,49 +77,48 @@ def daily_metrics(bars: DataFrame, time_col: str = "datetime", tie_break: bool =
     )
 
 
-def _tied_days(bars: DataFrame, time_col: str) -> DataFrame:
-    """The day groups of bars that may share a time: among the bars at the first time the
-    smallest open (nulls lowest) counts, among those at the last time the largest close.
+def _value_rank(value: Column) -> Column:
+    """A whole number in the order of a FLOAT column's values (null lowest, NaN highest), below 2^38 in size.
 
-    Two levels with buffers of primitive type only: bars sharing a time are aggregated first
-    (partial sums before the shuffle), then the times of a day. The squared deviations of
-    a time's closes and those of its mean from the day's mean add up, which is stable. The
-    window over a day holds one row per distinct time.
+    Neighbouring floats differ in their logarithm by 2^-25 at least, so 2^28 times the logarithm
+    keeps them apart and in order; an offset beyond its range makes room for the sign.
     """
-    times = (
-        with_trading_date(bars, time_col)
-        .groupBy(*DAY_KEYS, F.col(time_col).alias("_time"))
-        .agg(
-            F.min("open").alias("_open"),
-            F.count("open").alias("_opens"),
-            F.max("close").alias("_close"),
-            F.count("close").alias("_closes"),
-            F.avg("close").alias("_mean"),
-            _sse(F.col("close")).alias("_own_sse"),
-            F.count(F.lit(1)).alias("_bars"),
-        )
-    ).where(F.col("ticker").isNotNull() & F.col("_time").isNotNull())
-    day = Window.partitionBy(*DAY_KEYS)
-    mean = F.sum(F.col("_closes") * F.col("_mean")).over(day) / F.sum("_closes").over(day)
-    first_open = F.when(F.col("_opens") == F.col("_bars"), F.col("_open"))
-    spread = times.withColumn("_day_mean", F.when(F.sum("_closes").over(day) > 0, mean)).withColumn("_open", first_open)
-    between = F.col("_closes") * F.pow(F.col("_mean") - F.col("_day_mean"), 2)
-    return spread.groupBy(*DAY_KEYS).agg(
-        F.min_by("_open", "_time").alias("_first_open"),
-        F.max_by("_close", "_time").alias("_last_close"),
-        F.sum(F.col("_own_sse") + between).alias("_sse"),
-        F.sum("_bars").alias("_n"),
+    x = value.cast("float").cast("double")
+    size = F.floor(F.ln(F.abs(x)) * float(1 << 28)) + F.lit(1 << 36)
+    most = F.lit((1 << 37) + 1)
+    return (
+        F.when(x.isNull(), F.lit(-(1 << 38)))
+        .when(F.isnan(x), most + 1)
+        .when(F.abs(x) == float("inf"), F.signum(x).cast("long") * most)
+        .when(x == 0.0, F.lit(0))
+        .otherwise(F.signum(x).cast("long") * size.cast("long"))
     )
 
 
+def _time_then_value(time_col: str, value_col: str) -> Column:
+    """One number ordered by time, then by value: an aggregate on it breaks ties in a primitive buffer."""
+    micros = F.unix_micros(F.col(time_col).cast("timestamp")).cast("decimal(20,0)")
+    return micros * F.lit(1 << 40).cast("decimal(14,0)") + _value_rank(F.col(value_col)).cast("decimal(13,0)")
+
+
+def _tied_ends(time_col: str) -> list[Column]:
+    """First open and last close of bars that may share a time: the smallest open (nulls lowest)
+    of the first time, the largest close of the last."""
+    return [
+        F.min_by("open", _time_then_value(time_col, "open")).alias("_first_open"),
+        F.max_by("close", _time_then_value(time_col, "close")).alias("_last_close"),
+    ]
+
+
+def _ends(time_col: str, tie_break: bool) -> list[Column]:
+    if tie_break:
+        return _tied_ends(time_col)
+    return [F.min_by("open", time_col).alias("_first_open"), F.max_by("close", time_col).alias("_last_close")]
+
+
 def daily_returns(bars: DataFrame, time_col: str = "datetime", tie_break: bool = False) -> DataFrame:
     """(ticker, date, daily_returns) (CMP-2) via ``min_by``/``max_by``."""
-    if tie_break:
-        agg = _tied_days(bars, time_col)
-    else:
-        agg = _keyed_day_groups(
-            bars, time_col, F.min_by("open", time_col).alias("_first_open"), F.max_by("close", time_col).alias("_last_close")
-        )
+    agg = _keyed_day_groups(bars, time_col, *_ends(time_col, tie_break))
     return agg.select(*DAY_KEYS, _return(F.col("_first_open"), F.col("_last_close")).alias("daily_returns"))
 
 
@@ -146,33 +139,46 @@ def daily_avg_close(bars: DataFrame, time_col: str = "datetime") -> DataFrame:
     return days.groupBy(*DAY_KEYS).agg(F.avg("close").alias("avg_close"))
 
 
-# Parts into which the rows of a key are cut for the join-back.
-SALTS = 32
-
+def join_back(
+    rows: DataFrame, groups: DataFrame, keys: list[str], count_col: str, spread_by: Column, rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
+    """Attach per-group aggregates to each row with a left equi-join (JN-2); adds ``_part``.
 
-def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], salt: Column, salts: int = SALTS) -> DataFrame:
-    """Attach per-group aggregates to each row with a left equi-join (JN-2); adds ``_salt``.
+    ``groups`` has one row per key and the key's number of rows in ``count_col``. A key of more
+    than ``rows_per_part`` rows is cut into parts by the hash of ``spread_by`` and its group row is repeated once per
+    part, so a task of the join gets about ``rows_per_part`` rows of one key however large it grows; all
+    other keys stay in one part. Rows with a null key match nothing and are spread as well. Adaptive splitting would not do: it
+    needs a shuffle right below both sides, and the aggregate side ends in an aggregate.
 
-    ``salt`` (any well-spread column) cuts the rows of a key into ``salts`` parts, and the
-    aggregate side, one row per key, is repeated once per part: a hot key is spread over up to
-    that many tasks. Adaptive splitting would not do: it needs a shuffle right below both
-    sides, and the aggregate side ends in an aggregate.
+    The groups are checkpointed while the query is built, to learn which keys are hot. Their list is broadcast up to
+    ``BROADCAST_KEYS`` keys; a longer one is joined by shuffle, which adaptive execution can split.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
-    repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, on=[*keys, "_salt"], how="left")
+    shared_dir(groups.sparkSession)
+    groups = groups.checkpoint()
+    parts = F.ceil(F.col(count_col) / rows_per_part).cast("int")
+    hot = groups.where(F.col(count_col) > rows_per_part).select(*keys, parts.alias("_parts"))
+    n_hot = hot.count()
+    null_parts = F.when(any_null(keys), F.lit(1024)).otherwise(F.lit(1))
+    if n_hot:
+        rows = rows.join(F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot, on=keys, how="left")
+        groups = groups.withColumn(PART, F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    else:
+        rows = rows.withColumn("_parts", F.lit(None).cast("int"))
+        groups = groups.withColumn(PART, F.lit(0))
+    dealt = rows.withColumn(PART, spread(spread_by, F.coalesce("_parts", null_parts))).drop("_parts")
+    return dealt.join(groups, on=[*keys, PART], how="left")
 
 
-def daily_sse(bars: DataFrame, time_col: str = "datetime") -> DataFrame:
+def daily_sse(bars: DataFrame, time_col: str = "datetime", rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """(ticker, date, sum_squared_errors, n) by joining each bar to its day's mean
     close (AGG-1..3, JN-2, FN-2). ``n`` counts bars with a non-null ticker (AGG-3).
 
     The sums are taken per part of the join first, then per day."""
     days = with_trading_date(bars, time_col)
-    means = days.groupBy(*DAY_KEYS).agg(F.avg("close").alias("_avg_close"))
-    joined = join_back(days, means, DAY_KEYS, F.struct(time_col, "open", "close"))
+    means = days.groupBy(*DAY_KEYS).agg(F.avg("close").alias("_avg_close"), F.count(F.lit(1)).alias("_bars"))
+    joined = join_back(days, means, DAY_KEYS, "_bars", F.struct(time_col, "open", "close"), rows_per_part)
     squared = joined.withColumn("_sq", F.pow(F.col("close") - F.col("_avg_close"), 2))
-    parts = squared.groupBy(*DAY_KEYS, "_salt").agg(F.sum("_sq").alias("_sq"), F.count("ticker").alias("_n"))
+    parts = squared.groupBy(*DAY_KEYS, PART).agg(F.sum("_sq").alias("_sq"), F.count("ticker").alias("_n"))
     return parts.groupBy(*DAY_KEYS).agg(F.sum("_sq").alias("sum_squared_errors"), F.sum("_n").alias("n"))
 
 

@@ -9,35 +9,28 @@ INSERT *`` means, row by row:
 * keys compare with ``=``, so a null in any key column never matches (D10), and
   several target rows matched by one source row are each updated.
 
-The result is a union of one-sided pieces, never a full outer join:
-
-* current: every target row, replaced by its source row when the key matches
-  (left outer join of whole target rows to the source rows whose key is unique);
-* inserted: source rows whose key is not in the target (left-anti join against the
-  target keys);
-* conflicts: source keys repeated and present in the target, which raise;
-* rows with a null key on either side, which can never match and skip the joins,
-  so a flood of null keys never lands in one reducer.
-
-AQE can split a skewed partition on the left side of the joins, so a key holding a
-third of the target (or, for inserts, of the source) is spread over many tasks;
-``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set by barlake's session defaults) lets
-it do so where another join on the same keys would otherwise need one more shuffle. The
-right side of the outer join holds at most one source row per key. The target side
-carries whole rows, so a hot key also shows up in the shuffle sizes AQE measures. Key
-counts are partial aggregates.
+Both sides are read once and shuffled once. A full outer join on the key gives kept, updated and
+inserted rows in one pass. How many source rows share a key is counted by a window over the
+source's side of that same shuffle.
+
+Hot keys. A full outer join cannot be split by adaptive execution, so hot keys are cut into parts
+before the shuffle. A key that is hot in the target has its rows dealt to parts and its source row
+repeated once per part; a key that is hot in the source has its rows dealt and the target rows
+repeated. Which keys are hot is measured from a sample of the key columns of large inputs
+(:func:`barlake.operators.skew.sampled_hot_keys`), while the merge is built. Rows with a
+null key match nothing and are spread over all tasks.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from barlake.operators.skew import BROADCAST_KEYS, PART, ROWS_PER_PART, any_null, sampled_hot_keys, spread
 
-def _any_null(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+# Parts over which rows with a null key are spread.
+NULL_PARTS = 1024
 
 
 def align_to(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -50,58 +43,63 @@ def align_to(target: DataFrame, source: DataFrame) -> DataFrame:
     return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target after merging ``source`` into it on ``keys``; columns of ``target``.
-
-    ``source`` and ``target`` are each read more than once, so they must evaluate to
-    the same rows every time: pass stored or checkpointed frames when they come from
-    a non-deterministic step (e.g. a rank-1 pick among tied rows).
-    :func:`barlake.sinks.upsert_table` stages its source for this reason.
-    """
+def _dealt(df: DataFrame, keys: list[str], hot: DataFrame | None, own: str, other: str) -> DataFrame:
+    """``df`` with the part of each row. ``hot`` lists the parts of hot keys per side: a side's
+    own hot rows are dealt to one part each, and repeated in every part where only the other side is hot."""
+    df = df.withColumn("_at", F.monotonically_increasing_id())
+    null_part = spread(F.col("_at"), F.lit(NULL_PARTS))
+    if hot is None:
+        return df.withColumn(PART, F.when(any_null(keys), null_part).otherwise(F.lit(0)))
+    df = df.join(hot, on=keys, how="left")
+    one = F.array(F.when(any_null(keys), null_part).when(F.col(own).isNotNull(), spread(F.col("_at"), F.col(own))).otherwise(F.lit(0)))
+    every = F.sequence(F.lit(0), F.col(other) - 1)
+    repeated = F.when(F.col(own).isNull() & F.col(other).isNotNull(), every).otherwise(one)
+    return df.withColumn(PART, F.explode(repeated))
+
+
+def _hot_frame(target: DataFrame, source: DataFrame, keys: list[str], rows_per_part: int) -> DataFrame | None:
+    """keys, _t (parts, if hot in the target), _s (parts, if hot in the source only); None if no key is hot."""
+    in_target = sampled_hot_keys(target, keys, rows_per_part)
+    in_source = sampled_hot_keys(source, keys, rows_per_part)
+    known = {r[:-1] for r in in_target}
+    rows = [(*r, None) for r in in_target] + [(*r[:-1], None, r[-1]) for r in in_source if r[:-1] not in known]
+    if not rows:
+        return None
+    fields = [target.schema[k] for k in keys]
+    schema = StructType([*fields, StructField("_t", IntegerType()), StructField("_s", IntegerType())])
+    hot = target.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(hot) if len(rows) <= BROADCAST_KEYS else hot
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The target after merging ``source`` into it on ``keys``; columns of ``target``."""
     if not keys:
         raise ValueError("upsert needs at least one key column")
     columns = target.columns
     source = align_to(target, source)
-    null_key = _any_null(keys)
-
-    target_keyed, target_null = target.filter(~null_key), target.filter(null_key)
-    source_keyed, source_null = source.filter(~null_key), source.filter(null_key)
-
-    non_keys = [c for c in columns if c not in keys]
-    # Source keys that occur more than once: a partial aggregate, normally empty.
-    repeated = source_keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_s_n")).filter(F.col("_s_n") > 1)
-    # A repeated key either hits the target (an error, below) or is inserted, so the
-    # update side needs only source rows with a unique key: at most one per key, so
-    # no source key can pile up in one task of the outer join.
-    unique_source = source_keyed.join(repeated.select(*keys), on=keys, how="left_anti")
-    # Kept and updated rows in one pass: every target row, with its source row when
-    # the key matches. The target side carries whole rows, so a hot key shows up in
-    # the shuffle sizes and AQE splits it (left side of a left outer join).
-    incoming = unique_source.select(
-        *keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys], F.lit(True).alias("_matched")
-    )
-    matched = F.col("_matched").isNotNull()
-    current = target_keyed.join(incoming, on=keys, how="left").select(
-        *[
-            F.col(c) if c in keys else F.when(matched, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
-            for c in columns
-        ]
-    )
-    # An anti or semi join tolerates repeated target keys: no distinct is needed.
-    target_keys = target_keyed.select(*keys)
-    inserted = source_keyed.join(target_keys, on=keys, how="left_anti")
-    # D11: a key repeated in the source and present in the target is an error. The raise
-    # sits in a filter, which column pruning cannot drop: a count or a one-column select
-    # raises as well.
-    # It reads an aggregate over the join, so it cannot be pushed below the join either.
-    hit = repeated.join(target_keys, on=keys, how="left_semi").groupBy(*keys).agg(F.sum("_s_n").alias("_hits"))
+    hot = _hot_frame(target, source, keys, rows_per_part)
+    left = _dealt(target, keys, hot, "_t", "_s").withColumn("_kept", F.lit(True))
+    right = _dealt(source, keys, hot, "_s", "_t")
+    # Counted on the join's own partitioning: no further exchange.
+    right = right.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys, PART)))
+    if hot is None:
+        left = left.select(*columns, PART, "_kept", F.lit(False).alias("_many"))
+        right = right.select(*columns, PART, "_rows", F.lit(False).alias("_held"))
+    else:
+        # A key that is hot in the source is repeated there for certain; one that is hot in
+        # the target is there for certain, also where a part holds none of its rows.
+        left = left.select(*columns, PART, "_kept", (F.col("_t").isNull() & F.col("_s").isNotNull()).alias("_many"))
+        right = right.select(*columns, PART, "_rows", F.col("_t").isNotNull().alias("_held"))
+    old = left.select(*[F.col(c).alias(f"_old_{c}") for c in columns], F.col(PART).alias("_old_part"), "_kept", "_many")
+    match = [F.col(f"_old_{k}") == F.col(k) for k in keys] + [F.col("_old_part") == F.col(PART)]
+    joined = old.join(right, on=match, how="full")
+    # D11: the raise sits in a filter, which column pruning cannot drop: a count or a one-column
+    # select raises as well.
+    conflict = F.col("_kept") & F.col("_rows").isNotNull() & ((F.col("_rows") > 1) | F.col("_many"))
     error = F.raise_error(F.lit("upsert: several source rows match the same target row")).cast("boolean")
-    conflicts = hit.where(F.when(F.col("_hits") > 1, error).otherwise(F.lit(False))).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-    )
-    return (
-        current.unionByName(inserted)
-        .unionByName(target_null)
-        .unionByName(source_null)
-        .unionByName(conflicts)
-    )
+    # A source row repeated for a key that the target holds is no insert.
+    lone = F.col("_kept").isNull() & F.coalesce("_held", F.lit(False))
+    checked = joined.where(F.when(conflict, error).otherwise(~lone))
+    # Target rows are repeated only where their key is hot in the source: matched, that is an error.
+    updated = F.col("_rows").isNotNull()
+    return checked.select(*[F.when(updated, F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) for c in columns])

@@ -24,6 +24,8 @@ from barlake.session import scratch_path
 
 log = logging.getLogger(__name__)
 
+# Partition values that an upsert lists in its scan.
+LISTED = 1_000
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -62,44 +64,60 @@ def staged(df: DataFrame, name: str = "stage", keep_on_error: bool = False) -> I
     delete_path(spark, path)
 
 
-def overwrite_partitions(table: str, rows: DataFrame) -> None:
-    """Replace the partitions of ``table`` that ``rows`` hold; leave the others."""
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 if it is not there."""
+    fs, jpath = _fs_and_path(spark, path)
+    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
+
+
+def _overwrite(table: str, rows: DataFrame, mode: str) -> None:
     spark = rows.sparkSession
     before = spark.conf.get(OVERWRITE_MODE, "static")
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    spark.conf.set(OVERWRITE_MODE, mode)
     try:
         rows.select(*[F.col(f"`{c}`") for c in spark.table(table).columns]).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def overwrite_partitions(table: str, rows: DataFrame) -> None:
+    """Replace the partitions of ``table`` that ``rows`` hold; leave the others."""
+    _overwrite(table, rows, "dynamic")
+
+
+def overwrite_table(table: str, rows: DataFrame) -> None:
+    """Replace all partitions of ``table``."""
+    _overwrite(table, rows, "static")
+
+
 def touched(target: DataFrame, source: DataFrame, partition_col: str) -> DataFrame | None:
     """Rows of ``target`` in partitions that hold source rows; None when ``source`` is empty.
 
-    The source's smallest and largest value prune the scan, a null-safe semi-join
-    against its distinct values does the rest, however many there are.
+    Up to ``LISTED`` partition values become a list, which prunes the scan and needs no join.
+    Beyond that the smallest and largest value prune it, and a null-safe semi-join
+    against the distinct values does the rest.
     """
-    ends = source.agg(
-        F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
-        F.count(partition_col).alias("n"), F.count(F.lit(1)).alias("rows"),
-    ).first()
-    if not ends["rows"]:
-        return None
-    kind = target.schema[partition_col].dataType
-    inside = F.lit(False)
-    if ends["n"]:
-        inside = F.col(partition_col).between(F.lit(ends["lo"]).cast(kind), F.lit(ends["hi"]).cast(kind))
-    if ends["n"] < ends["rows"]:
-        inside = inside | F.col(partition_col).isNull()
     values = source.select(F.col(partition_col).alias("_touched")).distinct()
-    return target.where(inside).join(values, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
+    listed = [r[0] for r in values.limit(LISTED + 1).collect()]
+    if not listed:
+        return None
+    kind, column = target.schema[partition_col].dataType, F.col(partition_col)
+    if len(listed) <= LISTED:
+        inside = column.isin([F.lit(v).cast(kind) for v in listed if v is not None])
+        return target.where(inside | column.isNull() if None in listed else inside)
+    lo, hi, nulls = values.agg(F.min("_touched"), F.max("_touched"), F.max(F.col("_touched").isNull())).first()
+    inside = column.between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+    if nulls:
+        inside = inside | column.isNull()
+    return target.where(inside).join(values, column.eqNullSafe(F.col("_touched")), "left_semi")
 
 
 def upsert_table(table: str, source: DataFrame, keys: list[str], partition_col: str, stage_source: bool = True) -> None:
     """MERGE ``source`` into ``table`` on ``keys`` (SNK-3), rewriting only partitions with source rows.
 
-    The merge reads its source several times, so the source is staged first unless the
-    caller already did (``stage_source=False``).
+    The partitions to touch are read from the source before the merge reads it, so the source is staged
+    first unless the caller already did (``stage_source=False``). The merge itself reads the
+    source and every touched partition once.
     """
     if stage_source:
         with staged(source, "upsert_source") as frozen:

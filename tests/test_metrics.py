@@ -72,3 +72,30 @@ def test_sse_counts_rows_with_ticker(spark):
 def test_midnight_bar_is_its_own_day(spark):
     rows = bars("A", [(1, 2)], start=datetime(2024, 1, 2, 23, 59)) + bars("A", [(5, 6)], start=datetime(2024, 1, 3))
     assert daily_metrics(spark.createDataFrame(rows, SCHEMA)).count() == 2
+
+
+def test_value_rank_keeps_the_order_of_floats(spark):
+    """Neighbouring floats of every size get different ranks, in order; null lowest, NaN highest."""
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from barlake.operators.metrics import _value_rank
+
+    r = random.Random(4)
+    tiny, most = np.float32(1.4e-45), np.float32(3.4028235e38)
+    values = [np.float32(0.0), tiny, most, -tiny, -most, np.float32("inf"), np.float32("-inf"), np.float32(1.0)]
+    for _ in range(2_000):
+        x = np.array([r.getrandbits(32)], np.uint32).view(np.float32)[0]
+        if np.isfinite(x):
+            values += [x, np.nextafter(x, np.float32("inf")), np.nextafter(x, np.float32("-inf"))]
+    rows = [(None,), (float("nan"),), (-0.0,)] + [(float(v),) for v in values]
+    df = spark.createDataFrame(rows, "v float").select("v", _value_rank(F.col("v")).alias("r"))
+    got = df.collect()
+    finite = sorted({float(x.v): x.r for x in got if x.v is not None and x.v == x.v}.items())
+    ranks = [rank for _, rank in finite]
+    assert ranks == sorted(set(ranks))
+    assert {x.r for x in got if x.v == 0} == {0}
+    assert next(x.r for x in got if x.v is None) < ranks[0] and next(x.r for x in got if x.v is not None and x.v != x.v) > ranks[-1]
+    assert all(abs(x.r) <= 1 << 38 for x in got)

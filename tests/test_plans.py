@@ -61,13 +61,6 @@ def test_gold_reads_only_the_range_days(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*bar_date#\d+ >= 2024-01-10", p), p
 
 
-def test_upsert_has_no_full_outer_join(spark):
-    t = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    s = spark.range(50, 150).select(F.col("id").alias("k"), F.lit(2).alias("v"))
-    p = plan(upsert(t, s, ["k"]))
-    assert "FullOuter" not in p
-
-
 def test_no_python_evaluation_in_registered_queries(spark):
     """Every expression stays in the JVM: no Python UDF nodes in any plan."""
     writes = ("bronze_", "silver_", "gold_", "append_", "sql_over_tables")
@@ -95,7 +88,35 @@ def test_upsert_reads_and_shuffles_little(spark, tmp_path):
         p = plan(upsert(spark.read.parquet(t), spark.read.parquet(s), ["k"]))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "Aggregate" in p and p.count("distinct") == 0 and "FullOuter" not in p
+    assert p.count("FileScan") == 2 and p.count("Exchange") == 2 and p.count("SortMergeJoin") == 1
+
+
+def test_table_merge_reads_each_touched_partition_once(spark, monkeypatch):
+    """The frame that an upsert stages: one scan of the source, one of the touched partitions only."""
+    import uuid
+
+    from barlake.sinks import tables
+
+    name, root = f"once_{uuid.uuid4().hex[:8]}", scratch_path(spark, "once")
+    spark.sql(f"CREATE TABLE {name} (k BIGINT, v INT, p INT) USING parquet PARTITIONED BY (p) LOCATION '{root}'")
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"), (F.col("id") % 10).cast("int").alias("p"))
+    rows.write.insertInto(name)
+    plans, plain = [], tables.upsert
+
+    def kept(target, source, keys):
+        out = plain(target, source, keys)
+        plans.append(plan(out))
+        return out
+
+    monkeypatch.setattr(tables, "upsert", kept)
+    tables.upsert_table(name, rows.where("p in (3, 5)").withColumn("v", F.lit(2)), ["k"], "p")
+    p = plans[0]
+    assert p.count("FileScan") == 2 and p.count("Exchange") == 2
+    assert re.search(r"PartitionFilters: \[[^\]]*p#\d+ IN \(3,5\)\]|PartitionFilters: \[[^\]]*p#\d+ IN \(5,3\)\]", p), p
+    assert {r.v: r["count"] for r in spark.table(name).groupBy("v").count().collect()} == {1: 80, 2: 20}
+    monkeypatch.setattr(tables, "LISTED", 1)  # more partitions than are listed
+    tables.upsert_table(name, rows.where("p in (3, 5)").withColumn("v", F.lit(3)), ["k"], "p")
+    assert {r.v: r["count"] for r in spark.table(name).groupBy("v").count().collect()} == {1: 80, 3: 20}
 
 
 def test_create_on_an_existing_lake_runs_no_job(spark):
@@ -110,23 +131,35 @@ def test_create_on_an_existing_lake_runs_no_job(spark):
 
 
 def test_hot_day_of_the_join_back_is_spread(spark):
-    """Half the bars on one ticker-day: no task of the join holds more than a few parts of it."""
-    from barlake.operators.metrics import SALTS, join_back
+    """Rows per task of the join stay bounded when the hot day grows tenfold; other keys are not repeated."""
+    from barlake.operators.metrics import join_back
 
-    bars = spark.range(20_000).select(
-        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("ticker"), F.col("id").alias("t")
-    )
-    means = bars.groupBy("ticker").agg(F.avg("t").alias("m"))
     before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.shuffle.partitions", "256")
+    most = {}
     try:
-        joined = join_back(bars, means, ["ticker"], F.col("t"))
-        per_task = joined.where("ticker = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        for n in (10_000, 100_000):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            hot = spark.range(n).select(F.lit("hot").alias("ticker"), F.col("id").alias("t"))
+            cold = spark.range(5_000).select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("ticker"), F.col("id").alias("t"))
+            bars = hot.unionByName(cold)
+            means = bars.groupBy("ticker").agg(F.avg("t").alias("m"), F.count(F.lit(1)).alias("n"))
+            joined = join_back(bars, means, ["ticker"], "n", F.col("t"), rows_per_part=1_000)
+            per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(per_task) == n + 5_000
+            assert joined.where("ticker = 'hot'").select("m").distinct().count() == 1
+            assert joined.where("m IS NULL").count() == 2_500  # null keys match nothing
+            assert joined.where("ticker <> 'hot' AND _part > 0").count() == 0
+            most[n] = max(per_task)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert sum(r["count"] for r in per_task) == 10_000
-    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 10_000 * 8 / SALTS
+    assert most[10_000] < 4_000 and most[100_000] < 8_000
+
+
+def test_tied_metrics_are_one_aggregate(spark):
+    for query in (q.daily_metrics_lineitem, q.monthly_metrics_lineitem):
+        p = plan(query(spark, SF))
+        assert p.count("Exchange") == 1 and "Window" not in p

@@ -69,46 +69,53 @@ def test_hot_key_third_of_target(spark):
     assert counts == {"new": 3000, "c": 6000, "ins": 1}
 
 
-def test_aqe_splits_a_hot_target_key(spark):
-    """With skew thresholds scaled down to test size, AQE splits the hot key's partition."""
-    import re
-    from contextlib import contextmanager
+@pytest.mark.parametrize("side", ["target", "source"])
+def test_hot_key_is_cut_into_parts(spark, side):
+    """Half of one side on one key: no task of the join holds more than about two parts of it."""
+    from pyspark.sql import functions as F
+
+    hot_or_own = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    many = spark.range(40_000).select(hot_or_own.alias("k"), F.lit(1).alias("d"), F.col("id").cast("string").alias("v"))
+    few = spark.createDataFrame([("hot" if side == "target" else "h", 1, "new"), ("1", 1, "one"), ("x", 9, "ins")], SCHEMA)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = upsert(many, few, ["k", "d"], rows_per_part=2_000) if side == "target" else upsert(few, many, ["k", "d"], rows_per_part=2_000)
+        per_task = [r["count"] for r in out.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+        counts = {r.v: r["count"] for r in out.where("v in ('new', 'one', 'ins', '1')").groupBy("v").count().collect()}
+        total = out.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(per_task) == 20_000 and len(per_task) >= 6 and max(per_task) < 8_000
+    if side == "target":
+        assert counts == {"new": 20_000, "one": 1, "ins": 1} and total == 40_001
+    else:
+        assert counts == {"new": 1, "1": 1, "ins": 1} and total == 40_002
+
+
+@pytest.mark.parametrize("target", [[("hot", 1, "t")], [("hot", 1, str(i)) for i in range(3_000)]])
+def test_hot_source_key_in_the_target_is_an_error(spark, target):
+    from pyspark.sql import functions as F
+
+    source = spark.range(3_000).select(F.lit("hot").alias("k"), F.lit(1).alias("d"), F.col("id").cast("string").alias("v"))
+    merged = upsert(spark.createDataFrame(target, SCHEMA), source, ["k", "d"], rows_per_part=1_000)
+    for action in (merged.count, merged.select("v").collect):
+        with pytest.raises(Exception, match="several source rows"):
+            action()
 
+
+def test_sampled_keys_are_the_hot_ones(spark):
     from pyspark.sql import functions as F
 
-    @contextmanager
-    def confs(**kv):
-        before = {k: spark.conf.get(k, None) for k in kv}
-        for k, v in kv.items():
-            spark.conf.set(k, v)
-        try:
-            yield
-        finally:
-            for k, v in before.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
-
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    with confs(**settings):
-        hot_or_own = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
-        target = spark.range(200000).select(hot_or_own.alias("k"), F.lit(1).alias("d"), F.col("id").cast("string").alias("v"))
-        source = spark.createDataFrame([("hot", 1, "new"), ("1", 1, "one")], SCHEMA)
-        out = upsert(target, source, ["k", "d"])
-        rows = out.collect()
-        plan = out._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*LeftOuter", plan)
-    assert sum(r.v == "new" for r in rows) == 100000 and sum(r.v == "one" for r in rows) == 1
-    assert len(rows) == 200000
+    from barlake.operators.skew import sampled_hot_keys
+
+    key = F.when(F.col("id") < 50_000, F.lit("a")).when(F.col("id") < 60_000, F.lit(None)).otherwise(F.col("id").cast("string"))
+    df = spark.range(100_000).select(key.alias("k"))
+    found = sampled_hot_keys(df, ["k"], rows_per_part=5_000)
+    assert [k for k, _ in found] == ["a"] and 7 <= found[0][1] <= 14
+    assert sampled_hot_keys(df, ["k"]) == []  # small: not even read
 
 
 def test_conflict_raises_under_every_action(spark):
