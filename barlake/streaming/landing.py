@@ -5,12 +5,13 @@ stream watches one landing folder; its checkpoint (in the shared folder) records
 which files were already loaded, so each run appends only new deliveries.
 ``availableNow`` processes what is there and stops, so the job runs on a schedule
 like the batch jobs. Each micro-batch is one load: it gets one load time and is
-appended with :func:`append_partitioned`.
+appended once, with column evolution.
 
 The load time is ``current_timestamp()`` in the stream, which Structured Streaming
 fixes per micro-batch and records in the checkpoint's offset log: a micro-batch
-replayed after a failure carries the same load time. A load whose time bronze already
-holds is not appended again (an append becomes visible as a whole when it commits).
+replayed after a failure carries the same load time. A replay is told by its batch id in
+the ledger next to the checkpoint (:mod:`barlake.sinks.ledger`), not by its load time, so batches that share one are
+all loaded, and a replayed one is loaded once.
 """
 
 from __future__ import annotations
@@ -25,22 +26,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.columns import stamp
 from barlake.schemas import LANDING_BARS, LANDING_INFO
-from barlake.sinks.append import append_partitioned
+from barlake.sinks.ledger import Ledger
 from barlake.sources.catalog import BARS_BRONZE, INFO_BRONZE, Lake
 
 KINDS = {"bars": (LANDING_BARS, BARS_BRONZE), "info": (LANDING_INFO, INFO_BRONZE)}
 
 
-def _loaded(batch: DataFrame, table: str) -> bool:
-    """Whether ``table`` already holds a load of the batch's load time (one date partition is read)."""
-    spark = batch.sparkSession
-    first = batch.select("load_dttm", "load_prdt").first()
-    if first is None or not spark.catalog.tableExists(table):
-        return False
-    same = (F.col("load_prdt") == F.lit(first["load_prdt"])) & (F.col("load_dttm") == F.lit(first["load_dttm"]))
-    return not spark.table(table).where(same).isEmpty()
-
-
 def ingest_landing(
     lake: Lake,
     landing: str,
@@ -66,17 +57,18 @@ def ingest_landing(
     if clock is None:
         stream = stream.withColumn("load_dttm", F.current_timestamp()).withColumn("load_prdt", F.to_date("load_dttm"))
 
+    # One checkpoint per (kind, landing folder): it records which files of that folder were loaded.
+    landing_id = hashlib.sha1(landing.encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{lake.root.rstrip('/')}/_streams/{kind}/{landing_id}"
+    ledger = Ledger(lake.spark, f"{checkpoint.rstrip('/')}/ledger")
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         stamped = batch if clock is None else stamp(batch, clock(batch_id), with_date=True)
-        if not _loaded(stamped, table):
-            append_partitioned(stamped, table, "load_prdt", location)
+        ledger.append(stamped, batch_id, table, "load_prdt", location)
 
-    # One checkpoint per (kind, landing folder): it records which files of that folder were loaded.
-    landing_id = hashlib.sha1(landing.encode()).hexdigest()[:16]
-    default_checkpoint = f"{lake.root.rstrip('/')}/_streams/{kind}/{landing_id}"
     return (
         stream.writeStream.foreachBatch(load_batch)
-        .option("checkpointLocation", checkpoint or default_checkpoint)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
