@@ -19,19 +19,22 @@ from barlake.functions.columns import stamp, to_float32
 from barlake.operators.conform import conform_bars, conform_profile
 from barlake.operators.metrics import daily_metrics
 from barlake.operators.relational import filter_between, typed_bound
+from barlake.operators.skew import planned_bytes
 from barlake.schemas import BARS_KEYS, METRICS_KEYS, PROFILE_KEYS
 from barlake.sinks.append import append_partitioned
-from barlake.sinks.tables import staged, upsert_table
+from barlake.sinks.tables import folder_bytes, overwrite_table, staged, upsert_table
 from barlake.sources.catalog import (
     BARS_BRONZE,
     BARS_PARTITION,
     BARS_SILVER,
+    BUCKET_BYTES,
     INFO_BRONZE,
     METRICS_GOLD,
     METRICS_PARTITION,
     PROFILE_PARTITION,
     PROFILE_SILVER,
     Lake,
+    bucket_count,
     profile_bucket,
 )
 from barlake.sources.landing import read_landing_bars, read_landing_info
@@ -93,13 +96,42 @@ def silver_bars_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str)
         )
 
 
-def silver_profile_job(lake: Lake, start: Any, end: Any, load_dttm: datetime | str) -> None:
+def profile_buckets(lake: Lake) -> int:
+    """The number of ticker buckets of the stored profile table, from its partition names."""
+    table = lake.table("silver", PROFILE_SILVER)
+    names = [r["partition"] for r in lake.spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return bucket_count([int(n.split("=")[1]) for n in names if not n.endswith("__HIVE_DEFAULT_PARTITION__")])
+
+
+def fit_profile_buckets(lake: Lake, added_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """The number of buckets, doubled until one holds about ``bucket_bytes`` at most.
+
+    When it grows, the table is dealt anew once; the cost of that is spread over the growth, which
+    at least doubled the table. The whole table is staged before it is overwritten.
+    """
+    table = lake.table("silver", PROFILE_SILVER)
+    stored = buckets = profile_buckets(lake)
+    size = added_bytes + folder_bytes(lake.spark, lake.location("silver", PROFILE_SILVER))
+    while size > bucket_bytes * buckets:
+        buckets *= 2
+    if buckets > stored:
+        rows = lake.spark.table(table).withColumn(PROFILE_PARTITION, profile_bucket(buckets))
+        with staged(rows, "profile_buckets", keep_on_error=True) as dealt:
+            overwrite_table(table, dealt.hint("rebalance", PROFILE_PARTITION))
+    return buckets
+
+
+def silver_profile_job(
+    lake: Lake, start: Any, end: Any, load_dttm: datetime | str, bucket_bytes: int = BUCKET_BYTES
+) -> None:
     """Latest JSON per ticker with load time in [start, end] -> parsed profile ->
     upsert into silver.ticker_profile, rewriting only the ticker buckets of the load."""
     _require_range(start, end)
     source = conform_profile(lake.scan("bronze", INFO_BRONZE), load_dttm, start, end)
-    source = source.withColumn(PROFILE_PARTITION, profile_bucket())
-    upsert_table(lake.table("silver", PROFILE_SILVER), source, PROFILE_KEYS, PROFILE_PARTITION)
+    with staged(source, "silver_profile") as rows:
+        buckets = fit_profile_buckets(lake, planned_bytes(rows), bucket_bytes)
+        rows = rows.withColumn(PROFILE_PARTITION, profile_bucket(buckets))
+        upsert_table(lake.table("silver", PROFILE_SILVER), rows, PROFILE_KEYS, PROFILE_PARTITION, stage_source=False)
 
 
 def gold_metrics_frame(bars: DataFrame, start: Any, end: Any, load_dttm: datetime | str) -> DataFrame:

@@ -332,7 +332,7 @@ def _lake(spark: SparkSession) -> Lake:
     tag = uuid.uuid4().hex[:10]
     dbs = {layer: f"{layer}_{tag}" for layer in ("bronze", "silver", "gold")}
     # Names qualified by the session catalog (DDL-1).
-    return Lake(spark, scratch_path(spark, "lake"), dbs, catalog="spark_catalog").create()
+    return Lake(spark, scratch_path(spark, "lake"), dbs, catalog="spark_catalog", temporary=True).create()
 
 
 def _landing(df: DataFrame, name: str) -> str:
@@ -367,10 +367,12 @@ def bronze_bars_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_bars_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bar landing folder ingested by the incremental stream, then read back."""
-    first, _ = _bars_landings(spark, sf_dir)
+    """The bar landing folder, in at least four files, ingested by the incremental stream with one file per
+    micro-batch and one load time for all of them, then read back."""
+    path = scratch_path(spark, "landing", "bars_files")
+    td.vendor_bars(_events(spark, sf_dir)).repartition(4).write.parquet(path)
     lake = _lake(spark)
-    ingest_landing(lake, first, "bars", clock=lambda _batch: td.LOAD_1).awaitTermination()
+    ingest_landing(lake, path, "bars", clock=lambda _batch: td.LOAD_1, max_files_per_trigger=1).awaitTermination()
     return lake.scan("bronze", "market_data_1m")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from barlake.schemas import BRONZE_BARS, BRONZE_INFO, GOLD_METRICS, SILVER_BARS, SILVER_PROFILE
 from barlake.session import is_local
+from barlake.sinks.append import sql_string
 from barlake.sinks.tables import _fs_and_path
 
 # Table names of the medallion, fixed by the jobs.
@@ -29,7 +30,8 @@ LOAD_PARTITION = "load_prdt"
 BARS_PARTITION = "bar_date"
 METRICS_PARTITION = "date"
 PROFILE_PARTITION = "ticker_bucket"
-PROFILE_BUCKETS = 64
+# Bytes of a profile bucket beyond which the buckets are halved: a merge rewrites whole buckets.
+BUCKET_BYTES = 64 << 20
 
 # (layer, table) -> (columns, partition column and its type)
 TABLES: dict[tuple[str, str], tuple[StructType, str, str]] = {
@@ -41,14 +43,15 @@ TABLES: dict[tuple[str, str], tuple[StructType, str, str]] = {
 }
 
 
-def profile_bucket(ticker: str = "ticker") -> Column:
-    """Partition of a profile: follows from its key, so a row never moves."""
-    return F.pmod(F.xxhash64(ticker), F.lit(PROFILE_BUCKETS)).cast("int")
+def profile_bucket(buckets: int, ticker: str = "ticker") -> Column:
+    """Partition of a profile among ``buckets`` (a power of two): from ``buckets`` to below twice that,
+    so a partition's name tells among how many it is one, and the count is stored with the table."""
+    return (F.pmod(F.xxhash64(ticker), F.lit(buckets)) + F.lit(buckets)).cast("int")
 
 
-def sql_string(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def bucket_count(partitions: list[int]) -> int:
+    """The number of buckets that partition values were made with; 1 for an empty table."""
+    return 1 << (max(partitions, default=1).bit_length() - 1)
 
 
 @dataclass
@@ -61,6 +64,8 @@ class Lake:
         default_factory=lambda: {"bronze": "bronze", "silver": "silver", "gold": "gold"}
     )
     catalog: str | None = None
+    # The lake lives no longer than the session (tests, scratch lakes): any catalog will do.
+    temporary: bool = False
 
     def database(self, layer: str) -> str:
         name = f"`{self.databases[layer]}`"
@@ -80,6 +85,22 @@ class Lake:
         """Ad-hoc SQL over the layer tables and temp views (SRC-6)."""
         return self.spark.sql(query)
 
+    def _persistent(self) -> bool:
+        """Whether the catalog that holds the tables outlives the session. ``spark_catalog`` is the
+        session's own one, unless a plugin stands in for it."""
+        if self.catalog not in (None, "spark_catalog"):
+            return True
+        plugin = self.spark.conf.get("spark.sql.catalog.spark_catalog", None)
+        # Fixed value: Spark's name of its own session catalog.
+        return plugin not in (None, "builtin") or self.spark.conf.get("spark.sql.catalogImplementation") != "in-memory"
+
+    def attach(self, layer: str, name: str, values: list) -> None:
+        """Register single partitions whose files are there already; nothing else is listed."""
+        partition = TABLES[layer, name][1]
+        for value in values:
+            literal = "NULL" if value is None else sql_string(str(value))
+            self.spark.sql(f"ALTER TABLE {self.table(layer, name)} ADD IF NOT EXISTS PARTITION (`{partition}` = {literal})")
+
     def create(self) -> "Lake":
         """Create the databases and tables that are absent, from their declared columns; on an
         existing lake this runs no job.
@@ -88,7 +109,7 @@ class Lake:
         gets its partitions registered again. On a cluster that would list the whole
         history in every job, so a persistent catalog is required there.
         """
-        if not is_local(self.spark) and self.spark.conf.get("spark.sql.catalogImplementation") == "in-memory" and not self.catalog:
+        if not self.temporary and not is_local(self.spark) and not self._persistent():
             raise RuntimeError("the session has no persistent catalog; set spark.sql.catalogImplementation=hive or pass a catalog")
         for layer in self.databases:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")

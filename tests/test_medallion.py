@@ -113,3 +113,57 @@ def test_partial_day_range_replaces_the_full_day_row(spark):
     gold_metrics_job(lake, "2024-01-02 00:00:00", "2024-01-02 09:30:59", "2024-01-02 18:20:00")  # first bar only
     row = lake.scan("gold", "ticker_daily_metrics").first()
     assert row.daily_returns == pytest.approx(0.01) and row.load_dttm == datetime(2024, 1, 2, 18, 20)
+
+
+def _profiles(spark, n, upper=False):
+    from pyspark.sql import functions as F
+
+    name = F.concat(F.lit("NAME" if upper else "name"), F.col("id").cast("string"), F.lit(" x" * 40))
+    doc = F.to_json(F.struct(name.alias("longName"), F.col("id").alias("marketCap")))
+    return spark.range(n).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("ticker"), doc.alias("info"))
+
+
+def test_one_changed_profile_rewrites_bounded_bytes(spark):
+    """The bucket count follows the table's size: at ten times the rows one changed ticker rewrites no more."""
+    import os
+
+    from barlake.plans.jobs import profile_buckets, silver_profile_job
+
+    limit = 20_000
+    for n in (2_000, 20_000):
+        lake = _lake(spark)
+        landing = scratch_path(spark, "medallion-landing")
+        _profiles(spark, n).write.parquet(landing)
+        bronze_info_job(lake, landing, "2024-01-02 18:00:00")
+        silver_profile_job(lake, "2024-01-02 18:00:00", "2024-01-02 18:00:00", "2024-01-02 18:05:00", bucket_bytes=limit)
+        root = lake.location("silver", "ticker_profile")
+
+        def files():
+            return {f"{d}/{f}": os.path.getsize(f"{d}/{f}") for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+        before = files()
+        assert profile_buckets(lake) >= sum(before.values()) // limit // 2
+        changed = scratch_path(spark, "medallion-landing")
+        _profiles(spark, n, upper=True).where("ticker = 'T7'").write.parquet(changed)
+        bronze_info_job(lake, changed, "2024-01-03 18:00:00")
+        silver_profile_job(lake, "2024-01-03 18:00:00", "2024-01-03 18:00:00", "2024-01-03 18:05:00", bucket_bytes=limit)
+        new = {f: size for f, size in files().items() if f not in before}
+        assert 0 < sum(new.values()) < 3 * limit
+        profiles = lake.scan("silver", "ticker_profile")
+        assert profiles.count() == n == profiles.select("ticker").distinct().count()
+        assert profiles.where("company_name LIKE 'NAME7 %'").count() == 1
+
+
+def test_profile_buckets_grow_with_the_table(spark):
+    from barlake.plans.jobs import fit_profile_buckets, profile_buckets, silver_profile_job
+
+    lake = _lake(spark)
+    landing = scratch_path(spark, "medallion-landing")
+    _profiles(spark, 1_000).write.parquet(landing)
+    bronze_info_job(lake, landing, "2024-01-02 18:00:00")
+    silver_profile_job(lake, "2024-01-02 18:00:00", "2024-01-02 18:00:00", "2024-01-02 18:05:00")
+    assert profile_buckets(lake) == 1
+    stored = sorted(map(str, lake.scan("silver", "ticker_profile").drop("ticker_bucket").collect()))
+    assert fit_profile_buckets(lake, 0, bucket_bytes=4_000) >= 8
+    assert profile_buckets(lake) >= 8
+    assert sorted(map(str, lake.scan("silver", "ticker_profile").drop("ticker_bucket").collect())) == stored
