@@ -46,7 +46,8 @@ from barlake.llm import bpe, common
 
 common.ship(__name__)
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
+PART_CHARS = 1_000_000  # of a block that are at work at once
 BUCKETS_PER_PARTITION = 4
 WORDS = pa.schema([("n", pa.int32()), ("word", pa.string())])
 IDS = pa.schema([("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -141,7 +142,7 @@ def _cut(pattern: str, at: int, buckets: int) -> Callable[[Iterator[pa.RecordBat
         for batch in batches:
             texts = batch.column(at).to_pylist()
             rest = batch.drop_columns([batch.schema.names[at]])
-            for i, j in common.blocks(texts, lambda t: len(t or ""), BLOCK_CHARS):
+            for i, j in common.blocks(texts, lambda t: len(t or ""), min(PART_CHARS, BLOCK_CHARS)):
                 sequences = []
                 for text in texts[i:j]:
                     found = list(map(numbers.__getitem__, words(text))) if text else []
