@@ -24,7 +24,7 @@ def _repeated(column: str, size: int) -> str:
 
 OP1 = rf"""
 WITH words AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
-base AS (SELECT *, flatten(list_transform(ws, lambda w: CASE WHEN length(w) > {repetition.LONG_WORD} THEN regexp_extract_all(w, '(?s).') ELSE [w] END)) AS ts FROM words),
+base AS (SELECT *, ws AS ts FROM words),
 r3 AS ({_repeated("ws", 3)}),
 c3 AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 3)) AS p FROM r3) GROUP BY rid),
 rm AS ({_repeated("ts", repetition.MIN_REPEAT)}),

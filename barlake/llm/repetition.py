@@ -1,8 +1,8 @@
 """Operator 1: quality rules from a suffix array over each document's words.
 
 A document's tokens are its words (maximal runs of characters other than space and
-TAB..CR); a word of more than 256 code points counts as its single code points, so
-that text without spaces is covered too. Suffixes are sorted by prefix doubling, the
+TAB..CR), whatever their length: one unit for every text. (Text without spaces has few words and fails
+the base rule.) Suffixes are sorted by prefix doubling, the
 longest common prefix of neighbours is read off the doubling levels, and every
 suffix covers the longest prefix that it shares with a neighbour: the union over
 all LCP intervals of ``min_repeat`` tokens or more. A document is kept while the
@@ -31,7 +31,6 @@ common.ship(__name__)
 MIN_REPEAT = 10
 MAX_COVERED_PERCENT = 30
 MAX_LONGEST = 200
-LONG_WORD = 256
 
 _WORD = re.compile(common.WORD)
 _SYMBOLS = "#*$%&|<>"
@@ -169,14 +168,8 @@ def measure_block(texts: list[str], min_repeat: int) -> list[np.ndarray]:
     symbols = np.fromiter((sum(t.count(c) for c in _SYMBOLS) for t in texts), np.int64, docs)
     lines = np.fromiter(map(_duplicate_lines, texts), np.int64, docs)
     repeats = _repeat_words(ids, doc, end, docs)
-    tokens = [
-        [t for w in ws for t in (w if len(w) > LONG_WORD else (w,))] if ws and max(map(len, ws)) > LONG_WORD else ws
-        for ws in words
-    ]
-    if any(a is not b for a, b in zip(tokens, words)):
-        ids, doc, end = _streams(tokens)
     n = len(ids)
-    n_tokens = np.bincount(doc, minlength=docs)
+    n_tokens = n_words
     covered, longest = np.zeros(docs, np.int64), np.zeros(docs, np.int64)
     if n:
         best = longest_shared(doubling_levels(ids, doc, end), doc, end, min_repeat)

@@ -8,7 +8,7 @@ from barlake.llm import repetition as rep
 
 def brute(text, min_repeat):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-    tokens = [t for w in words for t in (list(w) if len(w) > rep.LONG_WORD else [w])]
+    tokens = words
 
     def windows(ts, n):
         seen = {}
@@ -33,8 +33,7 @@ def check(texts, min_repeat=4):
         assert list(row) == brute(text, min_repeat), text
 
 
-def test_random_texts(monkeypatch):
-    monkeypatch.setattr(rep, "LONG_WORD", 40)  # short, for the quadratic count
+def test_random_texts():
     r = random.Random(5)
     texts = []
     for _ in range(120):
@@ -45,8 +44,7 @@ def test_random_texts(monkeypatch):
     check(texts)
 
 
-def test_edges(monkeypatch):
-    monkeypatch.setattr(rep, "LONG_WORD", 40)
+def test_edges():
     check([None, "", " ", "one", "a " * 50, "ab" * 60, "x y z x y z", "q" * 41 + " " + "q" * 41])
 
 
@@ -61,3 +59,11 @@ def test_operator(spark, edges, documents):
         want = brute(r["text"], rep.MIN_REPEAT)
         assert [got["n_words"], got["word_chars"], got["n_symbols"], got["n_dup_lines"], got["n_repeat_words"], got["n_tokens"], got["covered_tokens"], got["longest_repeat"]] == want
     assert rep.repetition_rules(documents.limit(0)).count() == 0
+
+
+def test_a_long_word_does_not_change_the_verdict(spark):
+    r = random.Random(9)
+    clean = [f"w{r.randrange(10**6)}" for _ in range(5_000)]
+    texts = [" ".join([*clean[:2_500], "=" * n, *clean[2_500:]]) for n in (10, 256, 257, 5_000)]
+    rows = rep.repetition_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [(x["kept"], x["longest_repeat"], x["n_tokens"]) for x in rows] == [(True, 0, 5_001)] * 4
