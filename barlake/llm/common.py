@@ -61,6 +61,14 @@ def append(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()], value.alias(name))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that begins with ``name`` and that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}".lower() in taken:
+        name += "_"
+    return f"_{name}"
+
+
 class Scratch:
     """Tables written once to the cluster's shared folder (``spark.checkpoint.dir``) and read back:
     they cut lineage and outlive a lost executor."""

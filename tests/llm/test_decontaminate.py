@@ -77,3 +77,29 @@ def test_longest_match_and_edges(spark, edges):
     assert dec.find_contamination(edges, bench).count() == edges.count()
     assert dec.find_contamination(edges, bench.limit(0)).where("contaminated").count() == 0
     assert dec.remove_contaminated(edges, bench).columns == edges.columns
+
+
+def test_same_rows_for_any_block_size(spark, monkeypatch):
+    """longest_match included; items longer than a block, repeated items and repeated documents."""
+    r = random.Random(8)
+    long = [f"w{r.randrange(60)}" for _ in range(90)]
+    items = [(1, " ".join(long)), (1, " ".join(long)), (2, " ".join(long[20:70])), (3, " ".join(f"w{r.randrange(60)}" for _ in range(40))), (4, "w1 w2"), (None, " ".join(long[:6]))]
+    docs = [" ".join(long[a:b]) for a, b in ((0, 90), (5, 45), (30, 80), (0, 5), (88, 90))]
+    docs += [" ".join([*long[3:40], "x", *long[41:85]]), " ".join(long[10:40] + long[10:60]), None, docs[0]]
+    left = spark.createDataFrame([(i if i < 8 else 0, t) for i, t in enumerate(docs)], "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    for window in (4, 20):
+        rows = {}
+        for block in (60_000, 37, 25):
+            monkeypatch.setattr(dec, "BLOCK_WORDS", block)
+            got = dec.find_contamination(left, right, window=window).collect()
+            fields = ("doc_id", "n_words", "n_hit", "spans", "items", "longest_match", "contaminated")
+            rows[block] = sorted(str([x[f] for f in fields]) for x in got)
+        assert rows[60_000] == rows[37] == rows[25]
+        whole = {x["doc_id"]: x["longest_match"] for x in got}
+        assert whole[0] == 90 and whole[1] == 40 and whole[5] == 44
+        brute_rows = brute(docs[:8], items, window)
+        by = {x["doc_id"]: x for x in got}
+        assert [(by[i]["n_words"], by[i]["n_hit"], list(by[i]["items"]), by[i]["contaminated"]) for i in range(8)] == brute_rows
+    extra = left.selectExpr("*", "'k' AS _bad", "1 AS key")
+    assert dec.remove_contaminated(extra, right, window=4).columns == extra.columns
