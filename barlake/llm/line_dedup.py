@@ -7,9 +7,9 @@ number, stays; every later occurrence marks its lines, the marked positions of a
 merged, and marked lines are removed.
 
 Only windows are shuffled, as hashes. The first occurrence of a window comes from a partial
-aggregate, so that a window held by a third of the table sends one row per task; its
-later occurrences are found in a join whose other side has one row per repeated window,
-which adaptive execution can split.
+aggregate, so that a window held by a third of the table sends one row per task. The first
+occurrences are written to the shared folder: the join that finds the later ones then has a plain
+exchange on both sides, which adaptive execution splits where one window is hot.
 
 Defined cases: null and empty texts and texts of fewer lines than ``window`` stay as they are; rows
 with the same id and text are one document and get the same result; a null id sorts first;
@@ -58,6 +58,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .where("NOT first <=> last")
         .select("w1", "w2", "first")
     )
+    first = common.Scratch(docs.sparkSession).write(first)
     later = windows.join(first, ["w1", "w2"]).where(~F.struct("id", "t", "pos").eqNullSafe(F.col("first")))
     marked = F.flatten(F.transform(F.collect_set("pos"), lambda p: F.sequence(p, p + window - 1)))
     return later.groupBy("id", "t").agg(F.array_sort(F.array_distinct(marked)).alias("removed"))
@@ -68,29 +69,32 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A row whose counted lines are all removed keeps an empty text.
     """
-    removed = removed_lines(docs, id_col, text_col, window)
-    removed = removed.select(F.col("id").alias("__id"), F.col("t").alias("__t"), F.col("removed").alias("__removed"))
+    # All helper columns are fields of two structs whose names the input does not have.
+    got, row = common.unused(docs, "removed"), common.unused(docs, "row")
+    found = removed_lines(docs, id_col, text_col, window)
+    removed = found.select(F.struct("id", "t", "removed").alias(got))
     text = F.col(f"`{text_col}`").cast("string")
-    rows = docs.withColumn("__key", common.text_key(text))
-    joined = rows.join(removed, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__t")), "left")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(f"{got}.id")) & (common.text_key(text) == F.col(f"{got}.t"))
+    joined = docs.join(removed, same, "left")
     blank = F.transform(_lines(text), lambda x: ~x.rlike(VISIBLE))
     counted = F.size(F.filter(blank, lambda b: ~b))
+    hit = F.col(f"{got}.removed").isNotNull()
     # Line numbers of the counted lines: the marked positions point into this list.
     places = F.filter(F.transform(blank, lambda b, i: F.when(~b, i)), lambda i: i.isNotNull())
-    gone = F.transform(F.col("__removed"), lambda p: F.get("__places", p))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(_lines(text)) - 1), F.col("__gone"))
-    clean = F.when(F.size("__removed") == F.col("__n"), "").otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(_lines(text), i)), "\n")
+    out = joined.withColumn(
+        row,
+        F.struct(
+            F.when(hit, places).alias("places"),
+            F.when(text.isNull(), 0).otherwise(counted).cast("long").alias("n"),
+            F.when(hit, F.size(f"{got}.removed")).otherwise(0).cast("long").alias("gone"),
+        ),
     )
-    out = (
-        joined.withColumn("__places", F.when(F.col("__removed").isNotNull(), places))
-        .withColumn("__n", F.when(text.isNull(), 0).otherwise(counted).cast("long"))
-        .withColumn("__gone", gone)
-        .withColumn("__text", F.when(F.col("__removed").isNull(), text).otherwise(clean))
-    )
-    n_removed = F.when(F.col("__removed").isNull(), 0).otherwise(F.size("__removed")).cast("long")
+    gone = F.transform(F.col(f"{got}.removed"), lambda p: F.get(F.col(f"{row}.places"), p))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(_lines(text)) - 1), gone)
+    lines = F.array_join(F.transform(kept, lambda i: F.get(_lines(text), i)), "\n")
+    clean = F.when(~hit, text).when(F.col(f"{row}.gone") == F.col(f"{row}.n"), "").otherwise(lines)
     columns = []
     for c in docs.columns:
         if c.lower() not in ("n_lines", "n_removed"):
-            columns.append(F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`"))
-    return out.select(*columns, F.col("__n").alias("n_lines"), n_removed.alias("n_removed"))
+            columns.append(clean.alias(c) if c == text_col else F.col(f"`{c}`"))
+    return out.select(*columns, F.col(f"{row}.n").alias("n_lines"), F.col(f"{row}.gone").alias("n_removed"))

@@ -43,3 +43,40 @@ def test_edges(spark, edges):
     assert {(5, text), (6, ""), (1, None), (2, "")} <= out
     assert line_dedup.dedup_lines(edges).count() == edges.count()
     assert line_dedup.dedup_lines(edges.limit(0)).count() == 0
+
+
+def test_columns_with_helper_names_stay(spark):
+    names = ["__key", "__n", "__text", "__removed", "_removed", "_row", "_REMOVED_", "id", "t"]
+    text = "a b\nc d\ne f"
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    docs = docs.select("*", *[line_dedup.F.concat(line_dedup.F.lit(n), "doc_id").alias(n) for n in names])
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert (got[1]["text"], got[2]["text"]) == (text, "")
+    assert all(got[i][n] == f"{n}{i}" for i in (1, 2) for n in names)
+
+
+def test_hot_window_is_split(spark):
+    """Half of the documents share one window: the join that finds its later occurrences is split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        own = line_dedup.F.expr("concat('x', id, '\ny', id, '\nz', id)")
+        same = line_dedup.F.expr("concat('same\nthree\nlines\n', uuid())")
+        hot = line_dedup.F.when(line_dedup.F.col("id") % 2 == 0, same).otherwise(own)
+        docs = spark.range(20_000).select(line_dedup.F.col("id").alias("doc_id"), hot.alias("text")).checkpoint()
+        out = line_dedup.removed_lines(docs)
+        assert len(out.collect()) == 9_999
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
