@@ -45,6 +45,10 @@ def create_if_missing(df: DataFrame, table: str, partition_col: str, location: s
         )
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
 def aligned(df: DataFrame, table: str, partition_col: str) -> DataFrame:
     """The batch in the columns of ``table``, which first gets the batch's new columns and wider types."""
     spark = df.sparkSession

@@ -21,7 +21,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.sinks.append import aligned, create_if_missing, sql_string
+from barlake.sinks.append import aligned, create_if_missing, sql_string, table_location
 from barlake.sinks.tables import _fs_and_path, delete_path
 
 # Fixed values of Spark's file layout.
@@ -64,11 +64,12 @@ class Ledger:
             create_if_missing(batch, table, partition_col, location)
             # Kept in the ledger until the batch is done; the mark is written when all files are complete.
             aligned(batch, table, partition_col).write.partitionBy(partition_col).mode("overwrite").parquet(stage)
-        self._publish(stage, batch_id, table, partition_col, location)
+        self._publish(stage, batch_id, table, partition_col)
         self._touch(f"{self.root}/done/{batch_id}")
         delete_path(self.spark, stage)
 
-    def _publish(self, stage: str, batch_id: int, table: str, partition_col: str, location: str) -> None:
+    def _publish(self, stage: str, batch_id: int, table: str, partition_col: str) -> None:
+        location = table_location(self.spark, table)  # where the catalog has it
         folders = [f for f in self._names(stage) if "=" in f]
         for folder in folders:
             for name in self._names(f"{stage}/{folder}"):

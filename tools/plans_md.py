@@ -42,7 +42,7 @@ sections = [
      q.bars_conform(spark, SF)),
     ("Gold metrics over silver (`gold_metrics_job`)", "The bar-date partition filter prunes silver to the days of the range; the time range is pushed to the scan; one aggregate.",
      gold_metrics_frame(gold_source(_lake, _s, _e), _s, _e, td.LOAD_1)),
-    ("Upsert (`upsert_null_keys`)", "Left outer join of whole target rows, anti join against target keys, conflict branch; null keys bypass the joins. Broadcasts here are AQE/size-statistics choices for the small test input.",
+    ("Upsert (`upsert_null_keys`)", "One scan and one exchange per side; source rows per key are counted by a window on the join's own partitioning; rows with a null key are spread by part.",
      q.upsert_null_keys(spark, SF)),
 ]
 out = ["# PLANS", "", "Physical plans of the main operators from `explain(\"formatted\")` on sf0.01: a", "`barlake.session.build_session` session, `local[8]`, AQE on, initial plans before runtime", "re-optimisation, with the scan details. Each section names its registered query;", "`barlake.queries.QUERIES[name](spark, sf_dir).explain(\"formatted\")` prints the full plan.", ""]
