@@ -376,15 +376,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     own = scratch.write(rows.join(several.select("label"), "label"))
     best = scratch.write(own.groupBy("label").agg(F.min(F.struct("id", "t")).alias("best")))
     judged = own.join(best, "label").select("id", "t", F.struct("id", "t").eqNullSafe(F.col("best")).alias("stays"))
-    drop = judged.groupBy(F.col("id").alias("__id"), F.col("t").alias("__t")).agg(
-        F.first("stays").alias("stays"), F.count("*").alias("copies")
-    )
+    drop = judged.groupBy("id", "t").agg(F.first("stays").alias("stays"), F.count("*").alias("copies"))
+    # The only columns beside the input's are a struct and a key whose names it does not have.
     drop = scratch.write(drop.where("NOT stays OR copies > 1"))
+    got, key = common.unused(docs, "drop"), common.unused(docs, "key")
     text = F.col(f"`{text_col}`").cast("string")
-    keyed = docs.withColumn("__key", common.text_key(text))
-    match = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__t"))
-    out = keyed.join(drop, match, "left_anti")
+    match = F.col(f"`{id_col}`").eqNullSafe(F.col(f"{got}.id")) & (common.text_key(text) == F.col(f"{got}.t"))
+    out = docs.join(drop.select(F.struct("id", "t").alias(got)), match, "left_anti")
     repeated = drop.where("stays")
     if not repeated.isEmpty():  # rows that repeat the id and text of the one that stays
-        out = out.union(keyed.join(repeated, match, "left_semi").dropDuplicates([id_col, "__key"]))
-    return out.drop("__key")
+        again = docs.join(repeated.select(F.struct("id", "t").alias(got)), match, "left_semi")
+        out = out.union(again.withColumn(key, common.text_key(text)).dropDuplicates([id_col, key]).drop(key))
+    return out

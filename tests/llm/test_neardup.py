@@ -108,3 +108,15 @@ def test_pair_that_shares_one_band_with_another_leader(spark):
     node = {r["id"]: bytes(r["node"]) for r in sig.collect()}
     assert labels is not None
     assert [{bytes(r["node"]), bytes(r["label"])} for r in labels.collect()] == [{node[1], node[2]}]
+
+
+def test_columns_with_helper_names_stay(spark):
+    names = ["__key", "__id", "__t", "_drop", "_key", "id", "t", "label", "stays"]
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, words), (1, words), (2, words), (3, None)], "doc_id long, text string")
+    docs = docs.select("*", *[nd.F.concat(nd.F.lit(n), "doc_id").alias(n) for n in names])
+    kept = nd.keep_one(docs)
+    assert kept.columns == docs.columns
+    rows = {r["doc_id"]: r for r in kept.collect()}
+    assert sorted(rows) == [1, 3] and kept.count() == 2
+    assert all(r[n] == f"{n}{i}" for i, r in rows.items() for n in names)
