@@ -13,11 +13,14 @@ N, whatever the corpus size, and so are its size and the driver's part.
    ROWS equal samples puts texts into one bucket: at 0.8, 20 bands of 5 miss 0.04 %.
 3. Within a bucket all texts are compared with one leader, the text that shares its buckets
    with most others (it is nearest the middle of its group); verified pairs (similarity THRESHOLD or
-   more, exact) are joined to classes, and the leader leaves. Rounds of 4, 16, ... leaders go on
-   until every bucket is of one class. A round is linear in the bucket, no bucket or partner is capped,
-   and no two texts of one class are compared; nor are two whose weights alone keep them below THRESHOLD
-   (similarity is at most the smaller sum over the larger).
-4. Classes are the connected components (large-star / small-star).
+   more, exact) are joined to classes, and the leader leaves. This is linear in the bucket. Two texts whose
+   weights alone keep them below THRESHOLD are not compared (similarity is at most the smaller sum over the larger).
+4. Buckets that still hold texts of several classes go to cells: a bucket is cut into slices of bounded
+   size, and every two slices meet in one cell, which is one group of a task. There each text outside the cell's
+   largest class is compared with all others at once, and only the links that join classes come out, less than
+   one a text. No pairs are written, no bucket or partner is capped. The work within a cell, and the copies of a bucket of
+   many slices, grow with the square of the bucket; only texts that the leader did not settle cause it.
+5. Classes are the connected components (large-star / small-star).
 
 Defined cases: texts without words (null, empty) are classes of their own; repeated rows
 share a class; the class id is the smallest document id of the class (null only if all
@@ -46,7 +49,8 @@ BANDS, ROWS = 20, 5
 SKETCH = 1 << 16
 RARE, FLOOR = 0.1, 0.7
 CELLS = 1 << 13
-CACHE_SHINGLES = 2_000_000
+CACHE_SHINGLES = 500_000
+CELL = 1_000_000  # weight of a slice: two make a cell of 16 MB of shingle ids
 BLOCK = 200_000  # code points; keeps a block's arrays in cache
 
 _WORD = re.compile(common.WORD)
@@ -58,7 +62,7 @@ class WordHashes(dict):
     """64-bit hashes of the words met by one task, bounded."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         out = self[word] = xxhash.xxh3_64_intdigest(word)
         return out
@@ -214,6 +218,35 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
     return source.mapInArrow(run, f"id {kind}, t string, node binary, bands array<long>, weight double")
 
 
+def unary(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A weighted set as a plain one: a shingle of count c becomes c ids of its counter, so that
+    the sum of minima of two sets is the weight of the ids that both have. Sorted."""
+    more = count - 1
+    base = np.repeat(ids, more)
+    level = (np.arange(len(base)) - np.repeat(np.cumsum(more) - more, more) + 1).astype(np.uint64)
+    slot = np.uint64(SKETCH - 1)
+    other = _mix(base + level * np.uint64(_ODD[0])) >> np.uint64(64 - _ID_BITS)
+    return np.sort(np.r_[ids, (other & ~slot) | (base & slot)])
+
+
+def unary_sets(texts: DataFrame) -> DataFrame:
+    """node, items (bytes of the 64-bit ids) of rows node, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            rows = batch.column(1).to_pylist()
+            for i, j in blocks(rows, lambda t: len(t or ""), BLOCK):
+                doc, ids, count = shingle_sets(_words(rows[i:j]), hashes)
+                ends = np.searchsorted(doc, np.arange(j - i + 1))
+                items = [unary(ids[x:y], count[x:y]).tobytes() for x, y in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array(items, pa.binary())], names=["node", "items"]
+                )
+
+    return texts.mapInArrow(run, "node binary, items binary")
+
+
 def similarity(a: tuple, b: tuple) -> float:
     """Weighted Jaccard of two (ids, weights) sets with sorted ids."""
     at = np.searchsorted(a[0], b[0])
@@ -223,34 +256,32 @@ def similarity(a: tuple, b: tuple) -> float:
     return float(both / (a[1].sum() + b[1].sum() - both))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """The pairs (leader, node) whose texts reach the threshold."""
-    member = texts.select(F.col("node"), F.col("text").alias("b"))
-    leader = texts.select(F.col("node").alias("leader"), F.col("text").alias("a"))
+def _verified(pairs: DataFrame, sets: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """The pairs (leader, node) whose sets reach the threshold."""
+    member = sets.select(F.col("node"), F.col("items").alias("b"))
+    leader = sets.select(F.col("node").alias("leader"), F.col("items").alias("a"))
     both = pairs.join(member, "node").join(leader, "leader").select("leader", "node", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        sets: dict = {}  # the weighted sets met last, at most CACHE_SHINGLES in all
+        cache: dict = {}  # the weighted sets of the leaders met last, at most CACHE_SHINGLES in all
         held = 0
 
-        def weighted(node: bytes, text: pa.Scalar) -> tuple:
-            nonlocal held
-            if node not in sets:
-                _, ids, count = shingle_sets(_words([text.as_py()]), hashes)
-                if held + len(ids) > CACHE_SHINGLES:
-                    sets.clear()
-                    held = 0
-                held += len(ids)
-                sets[node] = ids, count * idf[_slots(ids)]
-            return sets[node]
+        def weighted(items: pa.Scalar) -> tuple:
+            ids = np.frombuffer(items.as_buffer(), np.uint64)
+            return ids, idf[_slots(ids)]
 
         for batch in batches:
-            left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            leaders = batch.column(0).to_pylist()
             ok = []
-            for k in range(len(left)):
-                one, two = weighted(left[k], batch.column(2)[k]), weighted(right[k], batch.column(3)[k])
-                ok.append(similarity(one, two) >= threshold - 1e-9)
+            for k, name in enumerate(leaders):
+                if name not in cache:
+                    one = weighted(batch.column(2)[k])
+                    if held + len(one[0]) > CACHE_SHINGLES:
+                        cache.clear()
+                        held = 0
+                    held += len(one[0])
+                    cache[name] = one[0].copy(), one[1]
+                ok.append(similarity(cache[name], weighted(batch.column(3)[k])) >= threshold - 1e-9)
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["leader", "node"]
@@ -259,6 +290,55 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: fl
     return both.mapInArrow(run, "leader binary, node binary")
 
 
+def join_classes(sets: list[np.ndarray], labels: np.ndarray, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of similar sets that join the classes ``labels`` to their final ones within these sets."""
+    sizes = np.array([len(x) for x in sets])
+    start = np.cumsum(sizes) - sizes
+    ids, at = np.unique(np.concatenate(sets), return_inverse=True)
+    weight = idf[_slots(ids)]
+    total = np.add.reduceat(weight[at], start)
+    _, label = np.unique(labels, return_inverse=True)
+    main = int(np.bincount(label).argmax())
+    mark, links = np.zeros(len(ids)), []
+    for x in np.flatnonzero(label != main).tolist():
+        if label[x] == main:  # joined to it by an earlier text
+            continue
+        own = at[start[x] : start[x] + sizes[x]]
+        mark[own] = weight[own]
+        both = np.add.reduceat(mark[at], start)
+        mark[own] = 0
+        near = (both >= (threshold - 1e-9) * (total[x] + total - both)) & (label != label[x])
+        for y in np.flatnonzero(near).tolist():
+            if label[y] != label[x]:
+                links.append((x, y))
+                to, gone = (label[y], label[x]) if label[y] == main else (label[x], label[y])
+                label[label == gone] = to
+    return links
+
+
+def _cells(mixed: DataFrame, sets: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """u, v: links between the classes of the buckets of ``mixed`` (bucket, node, n, weight, label)."""
+    size = mixed.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.least(F.count("*"), F.ceil(F.sum("weight") / CELL)).alias("parts")
+    )
+    live = mixed.join(size.where("lo < hi").select("bucket", "parts"), "bucket").withColumn("part", F.expr("pmod(n, parts)"))
+    # Of several slices every two meet; so do the texts of one slice, wherever it is.
+    cell = F.expr(
+        "CASE WHEN parts = 1 THEN array(0L) ELSE transform(filter(sequence(0L, parts - 1), x -> x <> part),"
+        " x -> least(x, part) * parts + greatest(x, part)) END"
+    )
+    spread = live.select("bucket", "node", "label", F.explode(cell).alias("cell"))
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_pylist()
+        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("items")]
+        links = join_classes(own, group.column("label").to_numpy(), idf, threshold)
+        ends = [pa.array([nodes[link[side]] for link in links], pa.binary()) for side in (0, 1)]
+        return pa.table(ends, names=["u", "v"])
+
+    return spread.join(sets, "node").groupBy("bucket", "cell").applyInArrow(run, "u binary, v binary")
+
+
 def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
     """node, label (smallest node of its component) for the nodes of undirected edges u, v; a
     label's own row is left out. Large-star and small-star steps until nothing changes."""
@@ -302,57 +382,43 @@ def _links(sig: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_c
     text = F.col(f"`{text_col}`").cast("string")
     source = docs.select(F.col(f"`{id_col}`").alias("did"), common.text_key(text).alias("dt"), text.alias("text"))
     texts = source.join(rows, F.col("did").eqNullSafe(F.col("id")) & (F.col("dt") == F.col("t"))).select("node", "text")
-    texts = scratch.write(texts.dropDuplicates(["node"]))
-    labels, tried, n_leaders = None, [], 1
-    while True:
-        live = members.withColumn("label", F.col("n")) if labels is None else _labelled(members, labels)
-        ends = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        live = scratch.write(live.join(ends.where("lo < hi").select("bucket"), "bucket"))
-        if live.isEmpty():
-            scratch.drop(live, members, texts, *tried)
-            return labels
-        order = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "n"))
-        first = live.withColumn("r", order).where(F.col("r") <= n_leaders)
-        names = {"node": "leader", "label": "own", "degree": "ld", "n": "ln", "weight": "lw"}
-        leaders = scratch.write(first.withColumnsRenamed(names).select("bucket", *names.values()))
-        after = F.expr("degree < ld OR (degree = ld AND n > ln)")
-        close = F.least("weight", "lw") >= (threshold - 1e-6) * F.greatest("weight", "lw")
-        pairs = live.join(leaders, "bucket").where(after & F.expr("label <> own") & close).select("leader", "node").distinct()
-        for done in tried:  # pairs that met in another bucket already
-            pairs = pairs.join(done, ["leader", "node"], "left_anti")
-        pairs = scratch.write(pairs)
-        tried.append(pairs)
-        found = scratch.write(_verified(pairs, texts, idf, threshold))
-        if not found.isEmpty():
-            edges = found.select(F.col("leader").alias("u"), F.col("node").alias("v"))
-            if labels is not None:
-                edges = edges.union(labels.select("node", "label"))
-            old, labels = labels, scratch.write(components(edges, scratch))
-            if old is not None:
-                scratch.drop(old)
-        rest = live.join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
-        rest = rest.select("bucket", "node", "n", "weight", "degree")
-        old, members = members, scratch.write(rest)
-        scratch.drop(old, leaders, live, found)
-        n_leaders *= 4
+    sets = scratch.write(unary_sets(texts.dropDuplicates(["node"])))
+    order = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "n"))
+    names = {"node": "leader", "degree": "ld", "n": "ln", "weight": "lw"}
+    leaders = members.withColumn("r", order).where("r = 1").withColumnsRenamed(names)
+    leaders = scratch.write(leaders.select("bucket", *names.values()))
+    close = F.least("weight", "lw") >= (threshold - 1e-6) * F.greatest("weight", "lw")
+    pairs = members.join(leaders, "bucket").where(F.col("node") != F.col("leader")).where(close).select("leader", "node").distinct()
+    edges = scratch.write(_verified(pairs, sets, idf, threshold).select(F.col("leader").alias("u"), F.col("node").alias("v")))
+    labels = None if edges.isEmpty() else components(edges, scratch)
+    rest = members.join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
+    rest = rest.withColumn("label", F.col("n")) if labels is None else _labelled(rest, labels)
+    rest = scratch.write(rest)
+    more = scratch.write(_cells(rest, sets, idf, threshold))
+    if not more.isEmpty():
+        labels = components(more if labels is None else more.union(labels.select("node", "label")), scratch)
+    scratch.drop(members, leaders, sets, edges, rest, more)
+    return labels
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with the number of their class."""
     named = labels.select("node", _number("label").alias("l"))
-    return members.join(named, "node", "left").select("bucket", "node", "n", "weight", "degree", F.coalesce("l", "n").alias("label"))
+    return members.join(named, "node", "left").select("bucket", "node", "n", "weight", F.coalesce("l", "n").alias("label"))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, scratch: common.Scratch) -> DataFrame:
-    """id, t and label (null without words) of every row; rows of one class share the label."""
+    """id, t and label (null without words) of every row, written; rows of one class share the label."""
     common.require(docs, id_col, text_col)
     idf = inverse_frequencies(docs, text_col)
     sig = scratch.write(signatures(docs, idf, id_col, text_col))
     labels = _links(sig, docs, idf, id_col, text_col, threshold, scratch)
     rows = sig.select("id", "t", "node")
     if labels is None:
-        return rows.select("id", "t", F.col("node").alias("label"))
-    return rows.join(labels, "node", "left").select("id", "t", F.coalesce("label", "node").alias("label"))
+        return scratch.write(rows.select("id", "t", F.col("node").alias("label")))
+    out = scratch.write(rows.join(labels, "node", "left").select("id", "t", F.coalesce("label", "node").alias("label")))
+    scratch.drop(sig)
+    return out
 
 
 def near_duplicates(
@@ -360,7 +426,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: its id and class_id."""
     scratch = common.Scratch(docs.sparkSession)
-    rows = scratch.write(_classes(docs, id_col, text_col, threshold, scratch))
+    rows = _classes(docs, id_col, text_col, threshold, scratch)
     # Written first, so that the join shuffles both sides and a hot class can be split.
     least = scratch.write(rows.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("class_id")))
     return rows.join(least, "label", "left").select(
@@ -371,7 +437,7 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, one of each class: the smallest (id, text key). Rows without words stay."""
     scratch = common.Scratch(docs.sparkSession)
-    rows = scratch.write(_classes(docs, id_col, text_col, threshold, scratch))
+    rows = _classes(docs, id_col, text_col, threshold, scratch)
     several = scratch.write(rows.where("label IS NOT NULL").groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))
     own = scratch.write(rows.join(several.select("label"), "label"))
     best = scratch.write(own.groupBy("label").agg(F.min(F.struct("id", "t")).alias("best")))

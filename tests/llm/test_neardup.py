@@ -68,6 +68,57 @@ def test_table(spark, documents, texts):
     assert kept == set(got.values())
 
 
+def hot_group(n, seed=5):
+    """Copies of one text with up to 14 edited words each: many pairs on either side of the threshold."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for key in range(n):
+        words = list(base)
+        for _ in range(r.randint(0, 14)):
+            words[r.randrange(len(words))] = f"e{r.randrange(40)}"
+        rows.append((key, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("cell", [nd.CELL, 3_000])
+def test_hot_mixed_group(spark, monkeypatch, cell):
+    monkeypatch.setattr(nd, "CELL", cell)  # 3,000: buckets are cut into slices of about 20 texts
+    rows = hot_group(160)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in nd.near_duplicates(docs).collect()}
+    want = brute_classes(rows, nd.inverse_frequencies(docs, "text"))
+    assert 1 < len(set(want.values())) < len(rows)
+    assert got == want
+
+
+def test_join_classes_links_every_similar_pair():
+    rng, idf = np.random.default_rng(8), np.where(np.arange(nd.SKETCH) % 3 == 0, 0.7, 1.0)
+    for trial in range(30):
+        pool = np.unique(rng.integers(0, 2**50, 60).astype(np.uint64))
+        sets = [np.sort(rng.choice(pool, rng.integers(40, len(pool) + 1), replace=False)) for _ in range(25)]
+        labels = rng.integers(0, 20, 25)
+        links = nd.join_classes(sets, labels, idf, 0.7)
+
+        def closed(pairs):
+            label = labels.copy()
+            for a, b in pairs:
+                label[label == label[a]] = label[b]
+            return {frozenset(np.flatnonzero(label == x).tolist()) for x in label}
+
+        weighted = [(x, idf[nd._slots(x)]) for x in sets]
+        near = [(a, b) for a in range(25) for b in range(a) if nd.similarity(weighted[a], weighted[b]) >= 0.7 - 1e-9]
+        assert closed(links) == closed(near) and len(links) < 25
+        assert all((max(p), min(p)) in near for p in links)
+
+
+def test_unary_sets_keep_the_sum_of_minima():
+    ids = np.array([5, 70_000, 1 << 40], np.uint64)
+    one, two = nd.unary(ids, np.array([3, 1, 2])), nd.unary(ids[:2], np.array([2, 4]))
+    assert len(one) == 6 and len(two) == 6 and len(np.intersect1d(one, two)) == 2 + 1
+    assert sorted(nd._slots(one).tolist()) == sorted([5] * 3 + [70_000 & 65_535] + [0] * 2)
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     idf = np.where(np.arange(nd.SKETCH) % 3 == 0, 0.6, 1.0)
