@@ -148,7 +148,7 @@ class Profiles:
 
 
 def _block_limit(texts: list[str]) -> Iterator[tuple[int, int]]:
-    return blocks(texts, lambda t: len(t) + 1, 1_000_000)
+    return blocks(texts, lambda t: len(t) + 1, 250_000)
 
 
 def fit_profiles(
