@@ -7,7 +7,7 @@ lacks), op3 (weighted sampling and connected components), op9 (BPE merges), the
 from __future__ import annotations
 
 from barlake.llm import chat, decontaminate, lexical, licenses, repetition
-from barlake.llm.queries import TRIAL
+from barlake.llm.queries import TRIAL, license_trial
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -70,17 +70,23 @@ FROM docs LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid) LEFT JOIN lo
 
 
 def _canonical(text: str) -> str:
-    out = rf"regexp_replace(lower({text}), '(?m)^[^\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$', ' ', 'g')"
+    out = f"regexp_replace(lower({text}), '{licenses.OWN_NOTICES}', ' ', 'g')"
+    out = f"regexp_replace({out}, '(?m){licenses.COPYRIGHT_LINE}', ' ', 'g')"
     out = rf"' ' || trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
     for old, new in licenses.SPELLINGS:
         out = f"replace({out}, ' {old} ', ' {new} ')"
     return f"sha256(trim({out}))"
 
 
-_KNOWN = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.KNOWN)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_KNOWN = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.known_texts())
 OP6 = rf"""
 WITH known AS (SELECT {_canonical("t")} AS digest, min(i) AS license_id FROM (VALUES {_KNOWN}) AS v(i, t) GROUP BY 1),
-docs AS (SELECT row_number() OVER () AS rid, doc_id, text, {_canonical("text")} AS digest FROM documents),
+rows AS (SELECT doc_id, text FROM documents UNION ALL SELECT -1, {_quoted(license_trial())}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, text, {_canonical("text")} AS digest FROM rows),
 lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs),
 notices AS (SELECT rid, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
   FROM (SELECT rid, {_canonical("line")} AS digest FROM lines) JOIN known USING (digest) GROUP BY rid)
