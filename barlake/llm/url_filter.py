@@ -4,7 +4,8 @@ A list is a table of dated events: ``entry`` (a host, or host/path prefix), ``ac
 (block or allow), ``op`` (add or remove), ``at``. Each entry's events become validity
 intervals [at, next event). A capture is tested with all its keys (the host, each parent
 domain of two labels or more, host/path prefixes) against the entries active at its fetch time.
-Of several the longest key decides, then block before allow.
+Of several the longest key decides, then block before allow. Only keys with as many labels or
+path steps as some entry has are written out, so a very long path costs no more than its list allows.
 
 The as-of join is an equi-join on (key, month): an interval is written once for each month
 that it shares with the captures' time range, so a capture meets only the entry states
@@ -35,18 +36,29 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def url_keys(url: Column) -> Column:
-    """All keys under which a list entry can name the URL."""
-    labels = F.split(host(url), r"\.", -1)
+def url_keys(url: Column, labels: list[int], steps: list[int]) -> Column:
+    """The keys under which a list entry can name the URL, of those with so many host labels or path steps."""
+    parts = F.split(host(url), r"\.", -1)
+    path = F.filter(F.split(F.regexp_extract(url, _PATH, 1), "/", -1), lambda x: x != "")
+    numbers = lambda ns: F.lit(ns) if ns else F.array().cast("array<int>")
     parents = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+        F.filter(numbers(labels), lambda n: (n <= F.size(parts)) & ((n > 1) | (F.size(parts) == 1))),
+        lambda n: F.array_join(F.slice(parts, F.size(parts) - n + 1, n), "."),
     )
-    steps = F.filter(F.split(F.regexp_extract(url, _PATH, 1), "/", -1), lambda x: x != "")
-    paths = F.transform(
-        F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(steps, 1, i), "/")),
+    prefixes = F.transform(
+        F.filter(numbers(steps), lambda n: n <= F.size(path)), lambda n: F.concat(host(url), F.lit("/"), F.array_join(F.slice(path, 1, n), "/"))
     )
-    return F.array_distinct(F.concat(parents, paths))
+    return F.concat(parents, prefixes)
+
+
+def entry_shapes(entries: DataFrame) -> tuple[list[int], list[int]]:
+    """The numbers of host labels of the entries without a path, and of path steps of those with one.
+
+    Entries of k different lengths hold at least k * k / 2 parts, so these are short however long the list.
+    """
+    n_steps = F.size(F.split("entry", "/", -1)) - 1
+    rows = entries.select(n_steps.alias("s"), F.when(n_steps == 0, F.size(F.split("entry", r"\.", -1))).alias("l")).distinct().collect()
+    return sorted({r["l"] for r in rows if r["l"] is not None}), sorted({r["s"] for r in rows if r["s"]})
 
 
 def validity(events: DataFrame) -> DataFrame:
@@ -80,8 +92,9 @@ def filter_urls(captures: DataFrame, events: DataFrame, id_col: str = "page_id",
         .where("from <= to")
         .select("entry", "action", "since", "until", F.explode(F.sequence("from", "to")).alias("month"))
     )
+    shapes = entry_shapes(intervals)
     keys = cap.where(F.col("k3").isNotNull() & host(F.col("k2")).isNotNull()).select(
-        "k1", "k2", "k3", F.explode(url_keys(F.col("k2"))).alias("entry"), _month(F.col("k3")).alias("month")
+        "k1", "k2", "k3", F.explode(url_keys(F.col("k2"), *shapes)).alias("entry"), _month(F.col("k3")).alias("month")
     )
     active = keys.join(intervals, ["entry", "month"]).where(
         (F.col("since") <= F.col("k3")) & (F.col("until").isNull() | (F.col("k3") < F.col("until")))

@@ -33,6 +33,21 @@ def test_against_history(spark):
     assert out == sorted(want, key=str)
 
 
+def test_long_paths_and_hosts(spark):
+    """A URL of 100,000 characters is tested with the keys that the list can hold, its whole path among them."""
+    path, name = "/".join(["ab"] * 33_000), ".".join(["h"] * 2_000)
+    urls = [f"http://a.org/{path}", f"http://a.org/{path}/c", f"http://{name}.b.org/x", "http://localhost/x", "http://a.org//ab//c/"]
+    at = dt.datetime(2024, 1, 1)
+    entries = [f"a.org/{path}", "a.org/ab/c", "h.b.org", "localhost", "org", "a.org/", "a.org//ab", "x.y/1/2/3/4"]
+    got = url_filter.filter_urls(
+        spark.createDataFrame([(i, u, at) for i, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp"),
+        spark.createDataFrame([(e, "block", "add", at) for e in entries], "entry string, action string, op string, at timestamp"),
+    )
+    assert [r["entry"] for r in sorted(got.collect())] == [entries[0], entries[0], "h.b.org", "localhost", "a.org/ab/c"]
+    labels, steps = url_filter.entry_shapes(spark.createDataFrame([(e,) for e in entries], "entry string"))
+    assert (labels, steps) == ([1, 3], [1, 2, 4, 33_000])
+
+
 def test_empty(spark):
     cap = spark.createDataFrame([(1, "http://a.b", None)], "page_id long, url string, fetched_at timestamp")
     events = spark.createDataFrame([], "entry string, action string, op string, at timestamp")
