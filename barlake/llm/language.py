@@ -12,7 +12,8 @@ of their id (a documented bound on the training sample only); prediction reads a
 
 Defined cases: null text and text without letters give ``und`` and score 0; ties go to the
 language first in order; without any training document everything is ``und``; repeated rows are
-judged alike; characters beyond the basic plane count as one common letter.
+judged alike; letters of every plane are told apart; training rows with more than ``max_langs`` values of the
+language (there are about 8,000 languages) are refused, because the profiles go to every task.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ common.ship(__name__)
 
 TOP = 300
 MAX_DOCS_PER_LANG = 20_000
-MAX_LANGS = 2_000
+MAX_LANGS = 20_000
 UNKNOWN = "und"
-_SPACE, _OTHER = 0x20, 0xFFFF
+_SPACE = 0x20
+# Cells of the (text, language) table that are held at once.
+CELLS = 4_000_000
 _LETTERS: list[np.ndarray] = []
 
 
@@ -60,7 +63,9 @@ def reduce_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = np.where(far, 0, codes).astype(np.uint16)
         chars = letters()[plain]
         found, where = np.unique(codes[far], return_inverse=True)
-        chars[far] = np.array([_OTHER if chr(c).isalpha() else _SPACE for c in found], np.uint16)[where]
+        lower = [chr(c).lower() for c in found]
+        chars = chars.astype(np.uint32)
+        chars[far] = np.array([(ord(x) if len(x) == 1 else c) if chr(c).isalpha() else _SPACE for c, x in zip(found, lower)], np.uint32)[where]
     else:
         chars = letters()[codes.astype(np.uint16)]
     space = chars == _SPACE
@@ -70,12 +75,17 @@ def reduce_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, n-gram, count), sorted by text and n-gram. An n-gram is its characters
-    in 16 bits each, first character highest, zero where it is shorter than three."""
+    in 21 bits each, first character highest, zero where it is shorter than three."""
     chars, doc = reduce_texts(texts)
-    alphabet = np.flatnonzero(np.bincount(chars, minlength=0x10000))
-    small = np.zeros(0x10000, np.int64)
-    small[alphabet] = np.arange(1, len(alphabet) + 1)
+    alphabet = np.flatnonzero(np.bincount(chars))
     wide = len(alphabet) + 1
+    cube = wide**3
+    if cube * (len(texts) + 1) >= 2**62:  # keys would not fit 64 bits
+        half = len(texts) // 2
+        (d1, g1, n1), (d2, g2, n2) = gram_counts(texts[:half]), gram_counts(texts[half:])
+        return np.r_[d1, d2 + half], np.r_[g1, g2], np.r_[n1, n2]
+    small = np.zeros(int(alphabet[-1]) + 1, np.int64)
+    small[alphabet] = np.arange(1, len(alphabet) + 1)
     c, is_space = small[chars], chars == _SPACE
     one = (c * wide * wide)[~is_space]
     # A space belongs to the word it touches; a pair or triple has no space in its middle.
@@ -86,9 +96,6 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     d2 = np.where(is_space[:-1], doc[1:], doc[:-1])[~(is_space[:-1] & is_space[1:])]
     grams = np.concatenate([one, two, three])
     docs = np.concatenate([doc[~is_space], d2, doc[1:-1][middle]])
-    cube = wide**3
-    if cube * (len(texts) + 1) >= 2**62:
-        raise ValueError("block of texts too large for its alphabet")
     key = docs * cube + grams
     if cube * len(texts) < 2**32:
         key = key.astype(np.uint32)
@@ -102,7 +109,7 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     docs, grams = key // cube, key % cube
     back = np.r_[0, alphabet].astype(np.int64)
     a, b, z = grams // (wide * wide), grams // wide % wide, grams % wide
-    return docs, (back[a] << 32) | (back[b] << 16) | back[z], count
+    return docs, (back[a] << 42) | (back[b] << 21) | back[z], count
 
 
 def top_grams(docs: np.ndarray, grams: np.ndarray, count: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,34 +123,47 @@ def top_grams(docs: np.ndarray, grams: np.ndarray, count: np.ndarray, top: int)
 
 
 class Profiles:
-    """Learned profiles: language -> its n-grams in rank order."""
+    """Learned profiles: language -> its n-grams in rank order. Held by n-gram: its languages and ranks there."""
 
     def __init__(self, grams: dict[str, list[int]], top: int):
         self.langs, self.top = sorted(grams), top
-        self.known = np.array(sorted({g for gs in grams.values() for g in gs}), np.int64)
-        self.ranks = np.full((len(self.known) + 1, len(self.langs)), -1, np.int32)
-        for k, lang in enumerate(self.langs):
-            at = np.searchsorted(self.known, np.array(grams[lang], np.int64))
-            self.ranks[at, k] = np.arange(len(at))
+        sizes = [len(grams[x]) for x in self.langs]
+        gram = np.array([g for x in self.langs for g in grams[x]], np.int64)
+        lang = np.repeat(np.arange(len(self.langs), dtype=np.int32), sizes)
+        rank = np.concatenate([np.zeros(0, np.int32), *(np.arange(n, dtype=np.int32) for n in sizes)])
+        order = np.argsort(gram, kind="stable")
+        self.lang, self.rank = lang[order], rank[order]
+        self.known, first = np.unique(gram[order], return_index=True)
+        self.first = np.r_[first, len(gram)]
+
+    def _nearness(self, text: np.ndarray, grams: np.ndarray, rank: np.ndarray, n: int) -> np.ndarray:
+        """(text, language): how much less than ``top`` an n-gram the distance is. ``text`` counts from 0 to n - 1."""
+        at = np.searchsorted(self.known, grams)
+        at[at == len(self.known)] = 0
+        hit = self.known[at] == grams
+        at, text, rank = at[hit], text[hit], rank[hit]
+        size = self.first[at + 1] - self.first[at]
+        entry = np.arange(size.sum()) + np.repeat(self.first[at] - (np.cumsum(size) - size), size)
+        gain = self.top - np.abs(np.repeat(rank, size) - self.rank[entry])
+        cell = np.repeat(text, size) * len(self.langs) + self.lang[entry]
+        return np.bincount(cell, gain, n * len(self.langs)).astype(np.int64).reshape(n, -1)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         docs, grams, rank = top_grams(*gram_counts(texts), self.top)
-        if not self.langs or not len(docs):
+        if not len(self.known) or not len(docs):
             return lang, score
-        at = np.searchsorted(self.known, grams)
-        at[at == len(self.known)] = 0
-        at[self.known[at] != grams] = len(self.known)
-        start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-        size = np.diff(np.r_[start, len(docs)])
-        distance = np.empty((len(start), len(self.langs)), np.int64)
-        for k in range(len(self.langs)):
-            r = self.ranks[at, k]
-            distance[:, k] = np.add.reduceat(np.where(r < 0, self.top, np.abs(rank - r)), start)
-        best = distance.argmin(axis=1)
-        for i, d in enumerate(docs[start]):
-            lang[d] = self.langs[best[i]]
-        score[docs[start]] = 1.0 - distance[np.arange(len(start)), best] / (self.top * size)
+        start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True])
+        step = max(1, CELLS // len(self.langs))
+        for i in range(0, len(start) - 1, step):
+            cut = start[i : i + step + 1]
+            size, rows = np.diff(cut), slice(cut[0], cut[-1])
+            near = self._nearness(np.repeat(np.arange(len(size)), size), grams[rows], rank[rows], len(size))
+            best = near.argmax(axis=1)
+            who = docs[cut[:-1]]
+            for d, k in zip(who, best):
+                lang[d] = self.langs[k]
+            score[who] = 1.0 - (self.top * size - near[np.arange(len(size)), best]) / (self.top * size)
         return lang, score
 
 
@@ -158,6 +178,7 @@ def fit_profiles(
     lang_col: str = "lang",
     top: int = TOP,
     max_docs_per_lang: int = MAX_DOCS_PER_LANG,
+    max_langs: int = MAX_LANGS,
 ) -> Profiles:
     """Learn a profile per non-null language. The result has at most ``top`` n-grams per language."""
     common.require(training, id_col, text_col, lang_col)
@@ -166,9 +187,9 @@ def fit_profiles(
         F.col(f"`{text_col}`").cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(1_000_003)).alias("draw"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages; is {lang_col} a language column?")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages; is {lang_col} a language column?")
     share = {k: int(1_000_003 * max_docs_per_lang / n) for k, n in sizes.items() if n > max_docs_per_lang}
     if share:
         limit = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
@@ -228,6 +249,7 @@ def identify(
 ) -> DataFrame:
     """Add the predicted language and its score to every row."""
     common.require(docs, text_col)
-    found = docs.withColumn("__lang", predict_column(profiles, F.col(f"`{text_col}`")))
-    kept = common.without(found, lang_out, score_out)
-    return kept.withColumns({lang_out: F.col("__lang.lang"), score_out: F.col("__lang.score")}).drop("__lang")
+    name = common.unused(docs, "lang")
+    found = docs.withColumn(name, predict_column(profiles, F.col(f"`{text_col}`")))
+    rest = [F.col(f"`{c}`") for c in common.without(docs, lang_out, score_out).columns]
+    return found.select(*rest, F.col(f"{name}.lang").alias(lang_out), F.col(f"{name}.score").alias(score_out))

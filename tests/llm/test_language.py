@@ -3,12 +3,16 @@
 import zlib
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from barlake.llm import language as lang
 from barlake.llm import queries
 
 
 def grams(text):
-    plain = "".join(chr(lang.letters()[ord(c)]) if ord(c) < 0x10000 else ("￿" if c.isalpha() else " ") for c in text or "")
+    lower = lambda c: c.lower() if len(c.lower()) == 1 else c
+    plain = "".join(lower(c) if c.isalpha() else " " for c in text or "")
     out = Counter()
     for word in plain.split():
         padded = f" {word} "
@@ -62,4 +66,46 @@ def test_edges(spark, edges):
 def test_training_sample_is_bounded(spark, documents):
     full = lang.fit_profiles(documents)
     part = lang.fit_profiles(documents, max_docs_per_lang=5)
-    assert set(part.langs) == set(full.langs) and (part.ranks >= 0).sum() <= (full.ranks >= 0).sum()
+    assert set(part.langs) == set(full.langs) and len(part.rank) <= len(full.rank)
+
+
+def plain_prediction(profiles, text):
+    """Language and score of ``text`` by the definition; ``profiles``: language -> Counter of n-grams."""
+    ranks = {k: {g: i for i, g in enumerate(ranked(v, lang.TOP))} for k, v in profiles.items()}
+    own = ranked(grams(text), lang.TOP)
+    far = {k: sum(abs(p[g] - i) if g in p else lang.TOP for i, g in enumerate(own)) for k, p in ranks.items()}
+    best = min(sorted(far), key=far.get)
+    return best, 1.0 - far[best] / (lang.TOP * len(own))
+
+
+def test_scripts_beyond_the_basic_plane(spark):
+    """Gothic and Deseret share no letter; Deseret has cases."""
+    gothic, deseret = "".join(map(chr, range(0x10330, 0x10341))), "".join(map(chr, range(0x10428, 0x10440)))
+    rows = [(1, f"{gothic} {gothic[3:9]}", "got"), (2, f"{deseret} {deseret[2:7]}", "en-x"), (3, "plain words", "en")]
+    profiles = lang.fit_profiles(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = {name: grams(text) for _, text, name in rows}
+    for text in (gothic[:5], deseret[4:].upper(), f"words {gothic[2:4]}", gothic + deseret * 2):
+        (name,), score = profiles.predict([text])
+        assert (name, score[0]) == plain_prediction(counts, text)
+    assert profiles.predict([gothic, deseret.upper()])[0] == ["got", "en-x"]
+
+
+def test_many_languages(spark, monkeypatch):
+    """3,000 languages, texts taken a few at a time; more than ``max_langs`` are refused."""
+    rows = [(i, f"w{chr(0x4E00 + i)} {chr(0x4E00 + i)}x common words", f"l{i:04}") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = lang.fit_profiles(docs)
+    monkeypatch.setattr(lang, "CELLS", 7_000)
+    assert profiles.predict([t for _, t, _ in rows[::100]])[0] == [x for _, _, x in rows[::100]]
+    with pytest.raises(ValueError, match="more than 10 languages"):
+        lang.fit_profiles(docs, max_langs=10)
+
+
+def test_block_with_very_many_letters():
+    """Keys that would not fit 64 bits: the block is halved, with equal counts."""
+    letters = [c for c in map(chr, range(0x3400, 0x2EBE0)) if c.isalpha()]
+    texts = [c for c in letters[:60_000]] + ["".join(letters[::7])]
+    docs, found, count = lang.gram_counts(texts)
+    size = np.bincount(docs, minlength=len(texts))
+    assert (size[:60_000] == 4).all() and size[-1] == len(grams(texts[-1]))  # x, " x", "x ", " x "
+    assert count.sum() == 4 * 60_000 + 3 * len(texts[-1]) + 1 and (np.diff(docs) >= 0).all()
