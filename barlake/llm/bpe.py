@@ -7,7 +7,10 @@ A word's symbols are its mapped bytes, the last one carrying the end mark. A sho
 keeps its part boundaries and the rank of each adjacent pair in one contiguous array:
 scan for the smallest rank, delete that boundary, refresh the two neighbouring ranks. A
 word beyond ``SHORT_WORD`` symbols uses the same rule with a heap and links, so that a
-very long word does not cost its length squared. Equal pieces are encoded once per task.
+very long word does not cost its length squared. Equal pieces are encoded once per task, as
+long as ``CACHE_PIECES`` holds them. A task cuts each Arrow batch into blocks of ``BLOCK`` bytes of
+text or tokens (or one longer row), each of which goes out on its own: besides the batch, its memory
+is bounded by the pieces and a block.
 
 Defined cases: null and empty texts have no tokens and decode to an empty text; special
 token strings in a text become their special ids; repeated rows are encoded alike.
@@ -19,11 +22,13 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +40,8 @@ common.ship(__name__)
 
 SHORT_WORD = 64
 CACHE_PIECES = 200_000
+# Bytes of text (encoding) or tokens (decoding) handled at once inside a task.
+BLOCK = 250_000
 NO_RANK = 1 << 60
 # Unicode White_Space, at which no word continues.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -101,18 +108,23 @@ def merge_long(parts: list[int], pair: dict) -> list[int]:
     return [p for p, ok in zip(parts, alive) if ok]
 
 
+def token_strings(spec: dict) -> dict[int, str]:
+    """id -> token string of a tokenizer file."""
+    model = spec["model"]
+    steps = [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
+    if model["type"] != "BPE" or steps != ["Split", "ByteLevel"] or spec["decoder"] or model["byte_fallback"]:
+        raise ValueError("expected a byte-level word BPE file without a decoder")
+    return {i: t for t, i in model["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
 class WordBpe:
     """Encoder and decoder of one tokenizer file."""
 
     def __init__(self, spec: dict):
+        self.strings = token_strings(spec)
         model = spec["model"]
-        steps = [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
-        if model["type"] != "BPE" or steps != ["Split", "ByteLevel"] or spec["decoder"] or model["byte_fallback"]:
-            raise ValueError("expected a byte-level word BPE file without a decoder")
         vocab, self.mark = model["vocab"], model["end_of_word_suffix"] or ""
-        self.strings = {i: t for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings.update({i: t for t, i in self.special.items()})
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + self.mark] for s in symbols]
@@ -121,6 +133,7 @@ class WordBpe:
             self.pair.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE))
         self.piece = regex.compile(f"[^{SPACE}]+")
+        self.separator = re.compile("[\x1c-\x1f]")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def encode_word(self, word: str) -> list[int]:
@@ -129,16 +142,21 @@ class WordBpe:
         parts[-1] = self.last[data[-1]]
         return (merge_short if len(parts) <= SHORT_WORD else merge_long)(parts, self.pair)
 
+    def pieces(self, text: str) -> list[str]:
+        """A text's parts between white space."""
+        # str.split also cuts at U+001C to U+001F, which are no White_Space.
+        return self.piece.findall(text) if self.separator.search(text) else text.split()
+
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of a text without white space."""
         ids: list[int] = []
-        for part in self.marks.split(piece) if self.marks else [piece]:
+        for part in self.marks.split(piece) if any(map(piece.__contains__, self.special)) else [piece]:
             if part in self.special:
                 ids.append(self.special[part])
             elif part:
                 # Lower-casing goes letter by letter: no final sigma.
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for word in self.word.findall(plain):
+                plain = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
+                for word in self.word.findall(plain.lower()):
                     ids += self.encode_word(word)
         return ids
 
@@ -162,9 +180,9 @@ class Pieces(dict):
         return out
 
 
-def _load(name: str) -> WordBpe:
+def _read(name: str) -> dict:
     with open(SparkFiles.get(name), encoding="utf-8") as f:
-        return WordBpe(json.load(f))
+        return json.load(f)
 
 
 def _ship_file(spark: SparkSession, path: str) -> str:
@@ -178,6 +196,39 @@ def _column(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def encode_batches(bpe: WordBpe, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Token ids of batches of texts, block by block."""
+    pieces = Pieces(bpe)
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch), 0).to_pylist()
+        for start, stop in common.blocks(sizes, int, BLOCK):
+            texts = batch.slice(start, stop - start).to_pylist()
+            found = [b"".join(map(pieces.__getitem__, bpe.pieces(t))) if t else b"" for t in texts]
+            ends = np.cumsum([0, *(len(x) // 4 for x in found)])
+            if ends[-1] >= 2**31:
+                raise ValueError("more than 2^31 tokens in a text")
+            values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def decode_batches(strings: dict[int, str], batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Texts of batches of token ids, block by block."""
+    table = np.array([strings.get(i, "") for i in range(max(strings) + 1)], object)
+    known = np.array([i in strings for i in range(len(table))])
+    for batch in batches:
+        all_ends = batch.offsets.to_numpy()
+        for start, stop in common.blocks(np.diff(all_ends).tolist(), int, BLOCK):
+            ends = all_ends[start : stop + 1] - all_ends[start]
+            flat = batch.values.slice(all_ends[start], ends[-1]).fill_null(-1).to_numpy().astype(np.int64)
+            good = (flat >= 0) & (flat < len(table))
+            good[good] = known[flat[good]]
+            out = []
+            for i in range(stop - start):
+                part = slice(ends[i], ends[i + 1])
+                out.append(" ".join(table[flat[part][good[part]]].tolist()))
+            yield pa.array(out, pa.string())
+
+
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
     """Add ``out_col``: the token ids (array of int) of every row's whole text."""
     text = _column(docs, text_col).cast("string")
@@ -185,17 +236,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out_col: str
 
     @F.arrow_udf("array<int>")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = _load(name)
-        pieces = Pieces(bpe)
-        for batch in batches:
-            found = [
-                b"".join(map(pieces.__getitem__, bpe.piece.findall(t))) if t else b"" for t in batch.to_pylist()
-            ]
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-            if ends[-1] >= 2**31:
-                raise ValueError("more than 2^31 tokens in an Arrow batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        yield from encode_batches(WordBpe(_read(name)), batches)
 
     return common.without(docs.withColumn("__tokens", tokens(text)), out_col).withColumnRenamed("__tokens", out_col)
 
@@ -207,18 +248,6 @@ def decode(encoded: DataFrame, tokenizer: str, tokens_col: str = "tokens", out_c
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        strings = _load(name).strings
-        table = np.array([strings.get(i, "") for i in range(max(strings) + 1)], object)
-        known = np.array([i in strings for i in range(len(table))])
-        for batch in batches:
-            ends = batch.offsets.to_numpy()
-            flat = batch.values.fill_null(-1).to_numpy().astype(np.int64)
-            good = (flat >= 0) & (flat < len(table))
-            good[good] = known[flat[good]]
-            out = []
-            for i in range(len(batch)):
-                part = slice(ends[i], ends[i + 1])
-                out.append(" ".join(table[flat[part][good[part]]].tolist()))
-            yield pa.array(out, pa.string())
+        yield from decode_batches(token_strings(_read(name)), batches)
 
     return common.without(encoded.withColumn("__text", text(ids)), out_col).withColumnRenamed("__text", out_col)

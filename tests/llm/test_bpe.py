@@ -2,7 +2,9 @@
 
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -57,3 +59,34 @@ def test_operator(spark, documents, edges, texts, library):
     assert len(rows) == edges.count()
     assert all(list(r["kept"]) == [] and r["lang"] == "" for r in rows if not (r["text"] or "").strip())
     assert bpe.encode(edges.limit(0), path).count() == 0
+
+
+def test_white_space_of_pieces(own):
+    text = "a\x1cb\x1dc\x1ed\x1fe f\x85g h　i​j\x0bk"
+    assert own.pieces(text) == own.piece.findall(text)
+    assert own.pieces(text.replace("\x1c", " ")) == own.piece.findall(text.replace("\x1c", " "))
+    for c in filter(str.isspace, map(chr, range(0x110000))):
+        assert own.pieces(f"a{c}b") == own.piece.findall(f"a{c}b")
+
+
+def peak_mb(batches):
+    """Most Python memory and the most values of a batch that goes out; batches are not kept."""
+    tracemalloc.start()
+    sizes = [len(b.flatten()) if pa.types.is_list(b.type) else b.nbytes for b in batches]
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return most, max(sizes)
+
+
+def test_large_batches_are_taken_block_by_block(own):
+    texts = pa.array([None, "", *["Some words, and more of them. " * 100] * 3_000, "one " * 100_000], pa.string())
+    most, values = peak_mb(bpe.encode_batches(own, iter([texts])))
+    assert most < 20 and values <= 250_000
+    found = list(bpe.encode_batches(own, iter([texts.slice(1), texts.slice(0, 1)])))
+    coded = pa.concat_arrays(found)
+    assert coded.to_pylist()[-2:] == [ids(own, "one " * 100_000), []]
+    assert len(coded) == len(texts) and len(coded[1]) == len(coded[3_000]) == len(ids(own, texts[2].as_py()))
+    most, values = peak_mb(bpe.decode_batches(own.strings, iter([coded])))
+    assert most < 20 and values < 4_000_000
+    decoded = pa.concat_arrays(list(bpe.decode_batches(own.strings, iter([coded.slice(2_999)]))))
+    assert decoded.to_pylist() == [own.decode(i) for i in coded.slice(2_999).to_pylist()]
