@@ -7,10 +7,10 @@ A word's symbols are its mapped bytes, the last one carrying the end mark. A sho
 keeps its part boundaries and the rank of each adjacent pair in one contiguous array:
 scan for the smallest rank, delete that boundary, refresh the two neighbouring ranks. A
 word beyond ``SHORT_WORD`` symbols uses the same rule with a heap and links, so that a
-very long word does not cost its length squared. Equal pieces are encoded once per task, as
-long as ``CACHE_PIECES`` holds them. A task cuts each Arrow batch into blocks of ``BLOCK`` bytes of
-text or tokens (or one longer row), each of which goes out on its own: besides the batch, its memory
-is bounded by the pieces and a block.
+very long word does not cost its length squared. Equal pieces and words are encoded once
+per task, as long as ``CACHE_PIECES`` and ``CACHE_WORDS`` hold them. A task cuts each Arrow batch
+into blocks of ``BLOCK`` bytes of text or tokens (or one longer row), each of which goes out on its
+own: besides the batch, its memory is bounded by the caches and a block.
 
 Defined cases: null and empty texts have no tokens and decode to an empty text; special
 token strings in a text become their special ids; repeated rows are encoded alike.
@@ -24,7 +24,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ common.ship(__name__)
 
 SHORT_WORD = 64
 CACHE_PIECES = 200_000
+CACHE_WORDS = 200_000
 # Bytes of text (encoding) or tokens (decoding) handled at once inside a task.
 BLOCK = 250_000
 NO_RANK = 1 << 60
@@ -135,12 +136,21 @@ class WordBpe:
         self.piece = regex.compile(f"[^{SPACE}]+")
         self.separator = re.compile("[\x1c-\x1f]")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.words: dict[str, tuple[int, ...]] = {}
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> Sequence[int]:
+        known = self.words.get(word)
+        if known is not None:
+            return known
         data = word.encode("utf-8")
         parts = [self.inner[b] for b in data]
         parts[-1] = self.last[data[-1]]
-        return (merge_short if len(parts) <= SHORT_WORD else merge_long)(parts, self.pair)
+        if len(parts) > SHORT_WORD:
+            return merge_long(parts, self.pair)
+        if len(self.words) >= CACHE_WORDS:
+            self.words.clear()
+        out = self.words[word] = tuple(merge_short(parts, self.pair))
+        return out
 
     def pieces(self, text: str) -> list[str]:
         """A text's parts between white space."""

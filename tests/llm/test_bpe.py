@@ -90,3 +90,11 @@ def test_large_batches_are_taken_block_by_block(own):
     assert most < 20 and values < 4_000_000
     decoded = pa.concat_arrays(list(bpe.decode_batches(own.strings, iter([coded.slice(2_999)]))))
     assert decoded.to_pylist() == [own.decode(i) for i in coded.slice(2_999).to_pylist()]
+
+
+def test_full_caches(own, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 2)
+    texts = ["one two three four five one, two. (three) four;", "five one two's " + "long" * 50, "one two three"] * 3
+    found = pa.concat_arrays(list(bpe.encode_batches(own, iter([pa.array(texts)]))))
+    assert found.to_pylist() == [library.encode(t, add_special_tokens=False).ids for t in texts]
