@@ -18,7 +18,7 @@ task is run again over an input that came out in another order, the ids do not f
 instead of returning wrong tokens.
 
 Decoding joins the tokens with the table of token bytes (bounded by the rank file) by position:
-the bytes of a row are a slice of the joined column.
+the bytes of a row are a slice of the joined column. A batch is decoded ``DECODE_TOKENS`` at a time.
 
 Defined cases: null and empty texts have no tokens and decode to no bytes; null and unknown ids
 decode to no bytes; repeated rows are encoded alike; all other columns pass through, whatever
@@ -48,6 +48,7 @@ common.ship(__name__)
 
 BLOCK_CHARS = 8_000_000
 PART_CHARS = 1_000_000  # of a block that are at work at once
+DECODE_TOKENS = 250_000  # that are decoded at once, or one longer row
 BUCKETS_PER_PARTITION = 4
 WORDS = pa.schema([("n", pa.int32()), ("word", pa.string())])
 IDS = pa.schema([("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -140,11 +141,10 @@ def _cut(pattern: str, at: int, buckets: int) -> Callable[[Iterator[pa.RecordBat
                 yield _rows(out)
 
         for batch in batches:
-            texts = batch.column(at).to_pylist()
             rest = batch.drop_columns([batch.schema.names[at]])
-            for i, j in common.blocks(texts, lambda t: len(t or ""), min(PART_CHARS, BLOCK_CHARS)):
+            for i, j, texts in common.text_blocks(batch.column(at), min(PART_CHARS, BLOCK_CHARS)):
                 sequences = []
-                for text in texts[i:j]:
+                for text in texts:
                     found = list(map(numbers.__getitem__, words(text))) if text else []
                     sequences.append(np.array(found, np.int32))
                     name.update(text or "")
@@ -206,6 +206,12 @@ def _put_back(schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """One block: ids in place of the word numbers."""
 
     def run(rows: pa.Table, replies: pa.Table) -> pa.Table:
+        try:
+            return block(rows, replies)
+        finally:
+            common.release()
+
+    def block(rows: pa.Table, replies: pa.Table) -> pa.Table:
         parts = rows.sort_by("block").column("payload").to_pylist() if rows.num_rows and rows.column("key")[0].as_py() < 0 else []
         if not parts:
             return schema.empty_table()
@@ -251,12 +257,32 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text", ou
     source = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").cast("string"))
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # One exchange for both kinds of rows: it is written once and read by both sides below.
-    dealt = source.mapInArrow(_cut(pattern, len(kept), buckets), ROW).repartition("key")
-    coded = dealt.sortWithinPartitions("key").mapInArrow(_encode_words(file), ROW)
+    dealt = source.mapInArrow(common.released(_cut(pattern, len(kept), buckets)), ROW).repartition("key")
+    coded = dealt.sortWithinPartitions("key").mapInArrow(common.released(_encode_words(file)), ROW)
     schema = StructType([*kept, StructField(out_col, ArrayType(IntegerType()))])
     return dealt.groupBy("key").cogroup(coded.groupBy("key")).applyInArrow(_put_back(to_arrow_schema(schema)), schema)
 
 
+def decode_batches(known: dict[bytes, int], batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Bytes of batches of token ids, block by block."""
+    strings = [b""] * (max(known.values()) + 2)  # the last one for unknown ids
+    for token, rank in known.items():
+        strings[rank] = token
+    table = pa.array(strings, pa.large_binary())
+    none = len(strings) - 1
+    for batch in batches:
+        all_ends = batch.offsets.to_numpy()
+        for start, stop in common.blocks(np.diff(all_ends).tolist(), int, DECODE_TOKENS):
+            ends = all_ends[start : stop + 1] - all_ends[start]
+            ids = batch.values.slice(all_ends[start], ends[-1]).fill_null(-1).to_numpy()
+            joined = table.take(pa.array(np.where((ids < 0) | (ids >= none), none, ids)))
+            _, places, data = joined.buffers()
+            places = np.frombuffer(places, np.int64)[joined.offset : joined.offset + len(joined) + 1] if len(joined) else np.zeros(1, np.int64)
+            bounds = pa.array(places[ends], pa.int64())
+            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), stop - start, [None, bounds.buffers()[1], data])
+            yield out.cast(pa.binary())
+
+
 def decode(encoded: DataFrame, ranks: str, tokens_col: str = "tokens", out_col: str = "decoded") -> DataFrame:
     """Add ``out_col``: the bytes of every row's token ids."""
     common.require(encoded, tokens_col)
@@ -264,21 +290,7 @@ def decode(encoded: DataFrame, ranks: str, tokens_col: str = "tokens", out_col:
 
     @F.arrow_udf("binary")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = read_ranks(SparkFiles.get(file))
-        strings = [b""] * (max(known.values()) + 2)  # the last one for unknown ids
-        for token, rank in known.items():
-            strings[rank] = token
-        table = pa.array(strings, pa.large_binary())
-        for batch in batches:
-            ends = batch.offsets.to_numpy()
-            ids = batch.flatten().fill_null(-1).to_numpy().astype(np.int64)
-            ids = np.where((ids < 0) | (ids >= len(strings)), len(strings) - 1, ids)
-            joined = table.take(pa.array(ids, pa.int64()))
-            _, places, data = joined.buffers()
-            places = np.frombuffer(places, np.int64)[joined.offset : joined.offset + len(joined) + 1] if len(joined) else np.zeros(1, np.int64)
-            bounds = pa.array(places[ends - ends[0]], pa.int64())
-            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, bounds.buffers()[1], data])
-            yield out.cast(pa.binary())
+        yield from common.released(lambda x: decode_batches(read_ranks(SparkFiles.get(file)), x))(batches)
 
     ids = F.coalesce(F.col(f"`{tokens_col}`").cast("array<int>"), F.array().cast("array<int>"))
     return common.append(encoded, out_col, text(ids))

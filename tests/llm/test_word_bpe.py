@@ -73,3 +73,30 @@ def test_words_and_sequences_share_one_exchange(spark, documents):
     out = word_bpe.encode(documents.select("doc_id", "text"), PATH, public_tokenizers.PATTERN)
     out.collect()
     assert out._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") == 1
+
+
+def test_decoding_holds_a_block(monkeypatch):
+    """A batch is decoded block by block; a row's bytes do not depend on where a block ends."""
+    import pyarrow as pa
+
+    known = word_bpe.read_ranks(PATH)
+    monkeypatch.setattr(word_bpe, "DECODE_TOKENS", 100)
+    r = random.Random(5)
+    rows = [[r.choice([None, -1, 10**6, *range(50)]) for _ in range(r.randint(0, 60))] for _ in range(200)] + [list(range(500)), []]
+    by_rank = {v: k for k, v in known.items()}
+    want = [b"".join(by_rank.get(i, b"") for i in row) for row in rows]
+    whole = pa.array([[7], *rows, [8]], pa.list_(pa.int32())).slice(1, len(rows))
+    got = list(word_bpe.decode_batches(known, iter([whole, whole.slice(0, 0)])))
+    assert [x.as_py() for part in got for x in part] == want
+    assert len(got) > 20
+
+
+def test_text_blocks():
+    import pyarrow as pa
+
+    from barlake.llm import common
+
+    texts = ["é" * 40, None, "", "b" * 70, "c" * 300, "d"]
+    got = list(common.text_blocks(pa.array(texts), 100))
+    assert [(i, j) for i, j, _ in got] == list(common.blocks(texts, lambda t: len(t or ""), 100))
+    assert [t for _, _, part in got for t in part] == texts
