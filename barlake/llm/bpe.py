@@ -244,9 +244,14 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out_col: str
     text = _column(docs, text_col).cast("string")
     name = _ship_file(docs.sparkSession, tokenizer)
 
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = WordBpe(_read(name))
+        common.release()  # the file as read
+        yield from encode_batches(bpe, batches)
+
     @F.arrow_udf("array<int>")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from encode_batches(WordBpe(_read(name)), batches)
+        yield from common.released(run)(batches)
 
     return common.without(docs.withColumn("__tokens", tokens(text)), out_col).withColumnRenamed("__tokens", out_col)
 
@@ -256,8 +261,13 @@ def decode(encoded: DataFrame, tokenizer: str, tokens_col: str = "tokens", out_c
     ids = _column(encoded, tokens_col)
     name = _ship_file(encoded.sparkSession, tokenizer)
 
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        strings = token_strings(_read(name))
+        common.release()  # the file as read
+        yield from decode_batches(strings, batches)
+
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from decode_batches(token_strings(_read(name)), batches)
+        yield from common.released(run)(batches)
 
     return common.without(encoded.withColumn("__text", text(ids)), out_col).withColumnRenamed("__text", out_col)

@@ -36,6 +36,7 @@ common.ship(__name__)
 
 WINDOW = 13
 BLOCK_WORDS = 60_000  # word ids fit in 16 bits
+CLEAN_CHARS = 500_000  # of remove_contaminated: code points at work at once, or one longer text
 BORDERS = pa.list_(pa.struct([(x, pa.int64()) for x in ("item", "shift", "start", "stop")]))
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
@@ -332,13 +333,11 @@ def remove_contaminated(
         keys = common.Scratch(docs.sparkSession).write(found.where("contaminated").select(F.col("key").alias(bad)).distinct())
         return docs.join(keys, common.text_key(text) == F.col(bad), "left_anti")
 
-    @F.arrow_udf("boolean")
-    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
             out = []
-            for i, j in blocks(texts, len):
-                sizes, doc, at, _, length = match_block(texts[i:j], q)
+            for i, j, texts in common.text_blocks(batch, CLEAN_CHARS):
+                sizes, doc, at, _, length = match_block([t or "" for t in texts], q)
                 starts = np.cumsum(sizes) - sizes
                 hit = np.zeros(int(sizes.sum()) + 1, np.int64)
                 np.add.at(hit, starts[doc] + at, 1)
@@ -348,4 +347,8 @@ def remove_contaminated(
                 out.append(~((n_hit > 0) & (20 * n_hit >= sizes)))
             yield pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from common.released(run)(batches)
+
     return docs.where(clean(F.col(f"`{text_col}`").cast("string")))

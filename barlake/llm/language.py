@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm import common
-from barlake.llm.common import blocks
 
 common.ship(__name__)
 
@@ -37,6 +36,7 @@ UNKNOWN = "und"
 _SPACE = 0x20
 # Cells of the (text, language) table that are held at once.
 CELLS = 4_000_000
+BLOCK = 250_000  # code points at work at once, or one longer text
 _LETTERS: list[np.ndarray] = []
 
 
@@ -167,10 +167,6 @@ class Profiles:
         return lang, score
 
 
-def _block_limit(texts: list[str]) -> Iterator[tuple[int, int]]:
-    return blocks(texts, lambda t: len(t) + 1, 250_000)
-
-
 def fit_profiles(
     training: DataFrame,
     id_col: str = "doc_id",
@@ -198,11 +194,10 @@ def fit_profiles(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
-            for i, j in _block_limit(texts):
+            for i, j, texts in common.text_blocks(batch.column(1), BLOCK):
                 names = sorted(set(langs[i:j]))
                 number = np.array([names.index(x) for x in langs[i:j]])
-                docs, grams, n = gram_counts(texts[i:j])
+                docs, grams, n = gram_counts(texts)
                 order = np.lexsort((grams, number[docs]))
                 who, grams, n = number[docs][order], grams[order], n[order]
                 first = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (grams[1:] != grams[:-1])])[: len(who)]
@@ -215,7 +210,7 @@ def fit_profiles(
                     names=["lang", "gram", "n"],
                 )
 
-    counts = rows.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    counts = rows.select("lang", "text").mapInArrow(common.released(count), "lang string, gram long, n long")
     sums = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = sums.withColumn("r", F.row_number().over(by)).where(F.col("r") <= top)
@@ -228,19 +223,21 @@ def fit_profiles(
 def predict_column(profiles: Profiles, text: Column) -> Column:
     """struct(lang, score) of a text column."""
 
-    @F.arrow_udf("lang string, score double")
-    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
             langs, scores = [], [np.zeros(0)]
-            for i, j in _block_limit(texts):
-                lang, score = profiles.predict(texts[i:j])
+            for _, _, texts in common.text_blocks(batch, BLOCK):
+                lang, score = profiles.predict([t or "" for t in texts])
                 langs += lang
                 scores.append(score)
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], names=["lang", "score"]
             )
 
+    @F.arrow_udf("lang string, score double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from common.released(run)(batches)
+
     return predict(text.cast("string"))
 
 

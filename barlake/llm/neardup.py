@@ -40,7 +40,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm import common
-from barlake.llm.common import blocks
 
 common.ship(__name__)
 
@@ -168,9 +167,8 @@ def inverse_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, total, seen = WordHashes(), np.zeros(SKETCH, np.int64), 0
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            for i, j in blocks(rows, lambda t: len(t or ""), BLOCK):
-                words = _words(rows[i:j])
+            for _, _, rows in common.text_blocks(batch.column(0), BLOCK):
+                words = _words(rows)
                 _, ids, _ = shingle_sets(words, hashes)
                 total += np.bincount(_slots(ids), minlength=SKETCH)
                 seen += sum(map(bool, words))
@@ -179,7 +177,7 @@ def inverse_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
             [pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[seen, total[at]], pa.int64())], names=["slot", "n"]
         )
 
-    sums = texts.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    sums = texts.mapInArrow(common.released(count), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     n = int(sums.loc[sums.slot == -1, "n"].sum())
     df = np.zeros(SKETCH)
     own = sums[sums.slot >= 0]
@@ -196,9 +194,8 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, icws = WordHashes(), Icws(idf)
         for batch in batches:
-            rows = batch.column(2).to_pylist()
-            for i, j in blocks(rows, lambda t: len(t or ""), BLOCK):
-                words = _words(rows[i:j])
+            for i, j, rows in common.text_blocks(batch.column(2), BLOCK):
+                words = _words(rows)
                 doc, ids, count = shingle_sets(words, hashes)
                 bands = icws.bands_of(doc, ids, count, j - i)
                 weight = np.bincount(doc, count * idf[_slots(ids)], minlength=j - i)
@@ -215,7 +212,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
                 )
 
     kind = source.schema[0].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, t string, node binary, bands array<long>, weight double")
+    return source.mapInArrow(common.released(run), f"id {kind}, t string, node binary, bands array<long>, weight double")
 
 
 def unary(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -235,16 +232,15 @@ def unary_sets(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            rows = batch.column(1).to_pylist()
-            for i, j in blocks(rows, lambda t: len(t or ""), BLOCK):
-                doc, ids, count = shingle_sets(_words(rows[i:j]), hashes)
+            for i, j, rows in common.text_blocks(batch.column(1), BLOCK):
+                doc, ids, count = shingle_sets(_words(rows), hashes)
                 ends = np.searchsorted(doc, np.arange(j - i + 1))
                 items = [unary(ids[x:y], count[x:y]).tobytes() for x, y in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(items, pa.binary())], names=["node", "items"]
                 )
 
-    return texts.mapInArrow(run, "node binary, items binary")
+    return texts.mapInArrow(common.released(run), "node binary, items binary")
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -287,7 +283,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, idf: np.ndarray, threshold: flo
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["leader", "node"]
             )
 
-    return both.mapInArrow(run, "leader binary, node binary")
+    return both.mapInArrow(common.released(run), "leader binary, node binary")
 
 
 def join_classes(sets: list[np.ndarray], labels: np.ndarray, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
