@@ -42,9 +42,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left. The ids are written between encoding and decoding, so
+    that an executor holds the Python workers and Arrow batches of one of the two at a time."""
     path = tokenizer_path()
-    return token_digests(bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path))
+    encoded = bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "tokens")
+    return token_digests(bpe.decode(common.Scratch(spark).write(encoded), path))
 
 
 STAGES = [

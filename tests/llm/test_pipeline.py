@@ -9,8 +9,8 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from barlake.llm import language, neardup
-from barlake.llm.queries import QUERIES, tokenizer_path
+from barlake.llm import bpe, language, neardup
+from barlake.llm.queries import QUERIES, token_digests, tokenizer_path
 from tests.llm import test_decontaminate, test_language, test_line_dedup, test_neardup
 from tests.llm.conftest import SF
 
@@ -76,6 +76,18 @@ def test_edges(spark, edges):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_one_tokenizer_worker_a_task(spark):
+    """No task of the token stage runs the encoder's and the decoder's Python worker side by side."""
+    rows = [(None, None, "a"), (1, "", "a"), (2, "Two words", "a"), (2, "Two words", "b"), (3, None, "c"), (4, "日本 🙂 <|endoftext|>\n", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.token_stage(spark, docs, SF)
+    assert len(re.findall("ArrowEvalPython", out._jdf.queryExecution().executedPlan().toString())) == 1
+    path = tokenizer_path()
+    want = token_digests(bpe.decode(bpe.encode(docs, path), path))
+    assert out.schema == want.schema
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
 def test_registered():
     assert set(QUERIES) <= set(entry.queries())
     assert all(any(k.startswith(f"op{n}_") for k in QUERIES) for n in range(1, 14)) and "pipeline" in QUERIES
